@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding, token_counts
+from . import decontaminate, packing, sharding, token_counts, warc
 from .common import Staged, read, scratch
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -23,6 +23,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "archives")
+    warc.write_archives(read(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four batches over all documents, one of them sent twice: estimates from n_chars at intake, word counts that revise
     them, counts by a second tokenizer version, and the removal of all but the first of documents with equal texts."""
@@ -48,7 +54,19 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_packing": op2_packing, "op9_token_counts": op9_token_counts}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["begin"]).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_packing": op2_packing, "op8_warc": op8_warc, "op9_token_counts": op9_token_counts, "op10_decontamination": op10_decontamination}
 
 ORACLE_SQL = {
     # The recursion probes one slot a step: whose turn it is, each shard's place in its own order, and the slots claimed so far.
@@ -72,4 +90,16 @@ WITH RECURSIVE shards AS (
 SELECT doc_id, source, slot, shard::INT AS shard, 'shard-' || lpad(shard::VARCHAR, 3, '0') AS shard_name
 FROM (SELECT doc_id, source, ('0x' || substr(md5('=' || doc_id::VARCHAR), 1, 15))::BIGINT % {SLOTS} AS slot FROM documents)
 JOIN slots USING (slot)""",
+    # Base32 by arithmetic: 40 hexadecimal digits are 8 groups of 20 bits, each 4 digits of base 32.
+    "op8_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id, sha1(payload) AS h FROM p),
+d AS (
+  SELECT *, list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(h, (k // 4 * 5 + 1)::INT, 5))::BIGINT // (32 ** (3 - k % 4))::BIGINT) % 32)::INT, 1)) AS digits FROM g
+)
+SELECT page_id, strlen(payload) AS payload_bytes, list_aggregate(digits, 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d""",
 }

@@ -131,7 +131,7 @@ class WordPieces:
     regular expressions, many in one call; all other pieces go through the whole tokenizer. The memory of pieces is
     emptied at `keep`."""
 
-    def __init__(self, path: str, keep: int = 1_500_000):
+    def __init__(self, path: str, keep: int = 800_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole, self.keep = Tokenizer.from_file(path), keep
