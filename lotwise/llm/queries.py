@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_dedup, packing, sharding, suffix_dedup, token_counts, warc
+from . import decontaminate, near_dedup, packing, sharding, suffix_dedup, token_counts, toxicity, warc
 from .common import Staged, read, scratch
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -31,6 +31,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), percent=85)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), toxicity.learned())
+    return scored.select("doc_id", (~toxicity.learned()).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "archives")
     warc.write_archives(read(spark, sf_dir, "pages"), path)
@@ -74,7 +79,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_packing": op2_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_dedup": op4_near_dedup, "op8_warc": op8_warc, "op9_token_counts": op9_token_counts, "op10_decontamination": op10_decontamination}
+QUERIES = {"op1_sharding": op1_sharding, "op2_packing": op2_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_dedup": op4_near_dedup, "op7_toxicity": op7_toxicity, "op8_warc": op8_warc, "op9_token_counts": op9_token_counts, "op10_decontamination": op10_decontamination}
 
 ORACLE_SQL = {
     # The recursion probes one slot a step: whose turn it is, each shard's place in its own order, and the slots claimed so far.
