@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Staged
-from .textkit import ALNUM, batches, hash_words, words_of
+from .textkit import ALNUM, batches, hash_words, text_bytes, words_of
 
 #: Bytes of benchmark text whose phrases are broadcast at once; a larger benchmark is searched in blocks of that size.
 BLOCK_BYTES = 8 << 20
@@ -197,7 +197,7 @@ def _search(docs: DataFrame, phrases: Phrases, extra: list[str]) -> DataFrame:
             closed[inner] |= inside[inner]
             begin, end = np.flatnonzero(opened), np.flatnonzero(closed)
             owner = np.searchsorted(first, begin, side="right") - 1
-            _, text_at = _bounds(batch)
+            _, text_at = text_bytes(batch.column("text"))
             spans = pa.StructArray.from_arrays([pa.array(x) for x in (begin - first[owner], end - first[owner], starts[begin] - text_at[owner], ends[end - 1] - text_at[owner])], ["begin", "end", "from_byte", "to_byte"])
             items: list[set[str]] = [set() for _ in range(n)]
             for d, p in zip(doc_of.tolist(), item_of.tolist() if len(doc_of) else ()):
@@ -208,13 +208,7 @@ def _search(docs: DataFrame, phrases: Phrases, extra: list[str]) -> DataFrame:
                 [*extra, "n_words", "spans", "items"],
             )
 
-    return docs.select(*extra, "text").mapInArrow(run, schema)
-
-
-def _bounds(batch: pa.RecordBatch):
-    from .textkit import text_bytes
-
-    return text_bytes(batch.column("text"))
+    return docs.select(*dict.fromkeys([*extra, "text"])).mapInArrow(run, schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, keep: Sequence[str] = ("doc_id",), block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -230,7 +224,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, keep
     benchmark = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.col("text").alias("words"))
     total = benchmark.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
-    docs = docs.select(*keep, "text")
+    docs = docs.select(*dict.fromkeys([*keep, "text"]))
 
     def phrases(k: int) -> Phrases:
         rows = benchmark.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == k).collect()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, near_dedup, packing, sharding, suffix_dedup, token_counts, toxicity, warc
+from . import decontaminate, langid, near_dedup, neighbours, packing, sharding, suffix_dedup, token_counts, toxicity, warc
 from .common import Staged, read, scratch
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -36,6 +36,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (~toxicity.learned()).alias("held_out"), "lang_pred", "score")
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), toxicity.learned())
     return scored.select("doc_id", (~toxicity.learned()).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
@@ -84,7 +88,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_packing": op2_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_dedup": op4_near_dedup, "op5_language": op5_language, "op7_toxicity": op7_toxicity, "op8_warc": op8_warc, "op9_token_counts": op9_token_counts, "op10_decontamination": op10_decontamination}
+QUERIES = {"op1_sharding": op1_sharding, "op2_packing": op2_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_dedup": op4_near_dedup, "op5_language": op5_language, "op6_neighbours": op6_neighbours, "op7_toxicity": op7_toxicity, "op8_warc": op8_warc, "op9_token_counts": op9_token_counts, "op10_decontamination": op10_decontamination}
 
 ORACLE_SQL = {
     # The recursion probes one slot a step: whose turn it is, each shard's place in its own order, and the slots claimed so far.

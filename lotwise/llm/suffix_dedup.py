@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Staged
-from .textkit import BLANKS, batches, hash_words, window_hashes, words_of
+from .decontaminate import cut_spans
+from .textkit import BLANKS, batches, hash_words, text_bytes, window_hashes, words_of
 
 GRAM = 8
 #: A suffix is kept where its first gram has the least hash of STRIDE consecutive grams.
@@ -201,9 +202,6 @@ def without_repeats(docs: DataFrame, *, words: int = 50) -> DataFrame:
     names, schema = docs.columns, docs.schema
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from .decontaminate import cut_spans
-        from .textkit import text_bytes
-
         for batch in batches(it):
             text = batch.column("text")
             _, starts, ends, first = words_of(text, BLANKS)
