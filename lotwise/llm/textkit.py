@@ -177,7 +177,7 @@ class WordPieces:
         place[_TAIL[data]] = -1
         last = np.maximum.accumulate(place)[ends - 1]  # the last byte outside TAIL
         cut = (last >= starts) & (last < ends - 1)
-        low, before = data[last], data[last - 1]
+        low, before = data[np.maximum(last, 0)], data[np.maximum(last - 1, 0)]
         cut &= _LETTER[low] | ((before == 0xC3) & (low >= 0x80) & (low != 0x97) & (low != 0xB7) & (last > starts))
         many = 1 + cut
         at = np.cumsum(many) - many
