@@ -268,7 +268,7 @@ _NAMES = "CASE p_partkey % 8 WHEN 1 THEN 'wite and ' || p_name WHEN 2 THEN 'gun
 @query(f"""WITH v AS (SELECT p_partkey, {_NAMES} AS name FROM part), f AS (SELECT p_partkey, name, {_sql_color("lower(name)")} AS c FROM v)
 SELECT p_partkey, name, {_sql_verdict("c")} AS color_clean FROM f""")
 def standardize_color(spark, sf_dir):
-    return color.clean_color_column(read(spark, sf_dir, "part").select("p_partkey", F.expr(_NAMES.replace("||", "||")).alias("name")), "name")
+    return color.clean_color_column(read(spark, sf_dir, "part").select("p_partkey", F.expr(_NAMES).alias("name")), "name")
 
 
 @query(f"""WITH v AS (SELECT {_NAMES} AS name FROM part), f AS (SELECT name, {_sql_color("lower(name)")} AS c FROM v), d AS (SELECT name, {_sql_verdict("c")} AS clean FROM f)
@@ -308,11 +308,10 @@ def parse_numbers(spark, sf_dir):
     return read(spark, sf_dir, "orders").select("o_orderkey", numeric.clean_price(price).alias("price"), numeric.clean_year(year).alias("year"), numeric.clean_number(number).alias("number"))
 
 
-@query("""SELECT doc_id, nullif(trim(regexp_replace(substr(text, 1, 4000), '[\\s]+', ' ', 'g')), '') AS cleaned FROM documents WHERE regexp_matches(substr(text, 1, 4000), '^[\\x00-\\x7F]*$')""")
+@query("""SELECT doc_id, nullif(trim(regexp_replace(text, '[\\s]+', ' ', 'g')), '') AS cleaned FROM documents""")
 def clean_text(spark, sf_dir):
-    """The first 4000 characters of ASCII texts, a comparison that SQL can make; the operator takes whole texts."""
-    docs = read(spark, sf_dir, "documents").withColumn("head", F.substring("text", 1, 4000)).filter(F.col("head").rlike(r"^[\x00-\x7F]*$"))
-    return docs.select("doc_id", text.clean_text(F.col("head")).alias("cleaned"))
+    """Whole texts. Those of the tables are in compatibility form already, so SQL need not normalise them."""
+    return read(spark, sf_dir, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
 @query("""SELECT p_partkey, substr('feat_' || trim(regexp_replace(lower(trim(p_name || ' (' || p_type || ') ')), '[^a-z0-9]+', '_', 'g'), '_'), 1, 63) AS slug FROM part""")
