@@ -35,12 +35,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder of the cluster, or in a temporary one where none is set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        base = _own_dirs.get(app) or _own_dirs.setdefault(app, "file://" + tempfile.mkdtemp(prefix="spark-"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
