@@ -16,6 +16,8 @@ from .textkit import BLANKS, batches, hash_words, mix, window_hashes, words_of
 
 N_HASHES = 192
 BATCH = 32
+#: Buckets of more members are compared in blocks of full sets.
+CROWD, BLOCK = 32, 512
 #: Chance that one true link is missed: by all bands together, and by pruning.
 MISS = 1e-6
 
@@ -120,14 +122,70 @@ def pruned(pairs: DataFrame, unique: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, staged: Staged) -> DataFrame:
-    """Pairs whose full sets have 100 * intersection >= percent * union."""
+def full_sets(docs: DataFrame, ids: DataFrame, words: int, staged: Staged) -> DataFrame:
+    """(id, shingles) of the documents with these ids (doc_id): their whole sets of shingle hashes, sorted."""
 
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
             found = shingle_sets(batch.column("text"), words)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in found], pa.binary())], ["id", "shingles"])
 
+    wanted = docs.join(staged.write("set_ids", ids), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return staged.write("sets", wanted.select("doc_id", "text").mapInArrow(sets, "id long, shingles binary"))
+
+
+def linked_blocks(crowded: DataFrame, docs: DataFrame, words: int, percent: int, staged: Staged) -> DataFrame:
+    """Links (a, b) that join components of buckets with many members (bucket, id, label, size, largest).
+
+    A bucket's members are dealt to blocks of about BLOCK; each task compares the members outside the bucket's largest
+    component in one block with all members of another, on full sets, and gives no more links than it joins components."""
+
+    def run(group: pa.Table) -> pa.Table:
+        outside = np.array(group.column("outside").to_pylist(), bool)
+        ids, labels = group.column("id").to_numpy(), group.column("label").to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), "<u8") for x in group.column("shingles")]
+        sizes = np.array([len(x) for x in sets])
+        places = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        left, right = np.flatnonzero(outside), np.flatnonzero(~outside)
+        both = np.zeros((len(left), len(right)), np.float32)
+        owner, order = np.repeat(np.arange(len(sets)), sizes), np.argsort(places, kind="stable")
+        owner, places = owner[order], places[order]
+        column = np.cumsum(np.concatenate([[0], np.diff(places) > 0]))
+        for lo in range(0, int(column[-1]) + 1, 4096):
+            part = slice(*np.searchsorted(column, [lo, lo + 4096]))
+            has = np.zeros((len(sets), 4096), np.float32)
+            has[owner[part], column[part] - lo] = 1
+            both += has[left] @ has[right].T
+        union = sizes[left][:, None] + sizes[right][None, :] - both
+        i, j = np.nonzero((100 * both >= percent * union) & (labels[left][:, None] != labels[right][None, :]))
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while x in root:
+                x = root[x]
+            return x
+
+        found = []
+        for a, b in zip(left[i].tolist(), right[j].tolist()):
+            if (x := find(int(labels[a]))) != (y := find(int(labels[b]))):
+                root[max(x, y)] = min(x, y)
+                found.append((int(ids[a]), int(ids[b])))
+        return pa.table({c: pa.array([f[k] for f in found], pa.int64()) for k, c in enumerate("ab")})
+
+    table = full_sets(docs, crowded.select(F.col("id").alias("doc_id")).distinct(), words, staged)
+    n = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = crowded.withColumn("n", n).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
+    cols = ["bucket", "id", "label"]
+    outside = dealt.filter("label <> largest").select(*cols, F.lit(True).alias("outside"), F.col("block").alias("i"), others.alias("j"))
+    all_ = dealt.select(*cols, F.lit(False).alias("outside"), F.col("block").alias("j"), others.alias("i"))
+    rows = outside.unionByName(all_).join(table, "id")
+    return rows.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, staged: Staged) -> DataFrame:
+    """Pairs whose full sets have 100 * intersection >= percent * union."""
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             keep = []
@@ -138,11 +196,26 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, stage
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in "ab"], ["a", "b"])
 
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    table = staged.write("sets", docs.join(staged.write("set_ids", ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "text").mapInArrow(sets, "id long, shingles binary"))
+    table = full_sets(docs, ids, words, staged)
     side = lambda c: table.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{c}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
+def _labels(links: DataFrame, staged: Staged) -> DataFrame:
+    staged.drop("sets", "set_ids", "edges", "crossing", "better", "hooked", "likely")
+    return components(links, staged)
+
+
+def _mixed(members: DataFrame, labels: DataFrame, staged: Staged) -> DataFrame:
+    """Members (bucket, id, size, label, largest) of buckets that hold several components, with the bucket's largest."""
+    known = members.join(labels, "id", "left").select("bucket", "id", "size", F.coalesce("label", "id").alias("label"))
+    known = staged.write("known", known)
+    mixed = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
+    mixed = known.join(staged.write("mixed", mixed), "bucket", "left_semi")
+    sizes = mixed.groupBy("bucket", "label").count().groupBy("bucket").agg(F.max_by("label", F.struct("count", "label")).alias("largest"))
+    return known.join(staged.write("largest", sizes), "bucket")
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document: near-duplicate groups and the one of each that stays.
 
@@ -151,10 +224,11 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = 5, id_co
     Jaccard similarity is at least `percent` / 100; component_id is the smallest id reachable, and that document is kept.
 
     Documents of equal sets are one class, and only its smallest id goes on. Classes that share a band of MinHash values are
-    candidates, but a bucket never emits all its pairs: first all members are compared with its smallest, then, round by
-    round and in buckets that still hold several components, members outside the largest one with the members of others, a
-    bounded number of them a round, until no pair of two components is left uncompared. Candidates are pruned by signature
-    batches, survivors confirmed on full sets. A link can only be missed by chance, at most MISS each for bands and pruning.
+    candidates, but a bucket never emits all its pairs: first all members are compared with its smallest. In buckets that
+    then hold several components, members outside the largest one are compared with those of others: a bounded number of
+    them a round where the bucket has at most CROWD members, and block by block, inside tasks that give only links, where it
+    has more. Candidate pairs are pruned by signature batches and confirmed on full sets; blocks compare full sets at once.
+    A link can only be missed by chance, at most MISS each for bands and pruning.
 
     Rows that share an id are one document for linking, and null ids are linked with nothing; each row gives its own row."""
     spark = docs.sparkSession
@@ -174,6 +248,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = 5, id_co
     pairs = members.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
     open_ = members.filter("size > 2")
     done = open_.select("bucket", F.col("hub").alias("id")).distinct()
+    open_ = open_.select("bucket", "id", "size")
     links = tested = None
     hubs = 8
     while True:
@@ -184,24 +259,24 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = 5, id_co
         tested = pairs if tested is None else tested.unionByName(pairs)
         new = staged.write("links", confirmed(staged.write("likely", pruned(pairs, unique, percent)), docs, words, percent, staged))
         links = new if links is None else links.unionByName(new)
-        staged.drop("sets", "set_ids", "edges", "crossing", "better", "hooked", "likely")
-        labels = components(links, staged)
-        # Members of buckets that have not been compared with their whole bucket yet, by component.
-        known = open_.select("bucket", "id").join(labels, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
-        open_ = staged.write("open", known.join(done, ["bucket", "id"], "left_anti"))
-        mixed = open_.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-        mixed = staged.write("mixed", mixed.select("bucket"))
-        if mixed.isEmpty():
+        labels = _labels(links, staged)
+        # Members that have not been compared with their whole bucket yet, by component, of buckets with several.
+        left = _mixed(open_.join(done, ["bucket", "id"], "left_anti"), labels, staged)
+        crowded = staged.write("crowded", left.filter(F.col("size") > CROWD))
+        if not crowded.isEmpty():
+            links = links.unionByName(staged.write("links", linked_blocks(crowded, docs, words, percent, staged)))
+            labels = _labels(links, staged)
+        # Of crowded buckets no pair is left.
+        open_ = staged.write("open", left.filter(F.col("size") <= CROWD).select("bucket", "id", "size"))
+        left = _mixed(open_, labels, staged)
+        if left.isEmpty():
             break
-        open_ = staged.write("open", open_.join(mixed, "bucket", "left_semi"))
-        sizes = open_.groupBy("bucket", "label").count().groupBy("bucket").agg(F.max_by("label", F.struct("count", "label")).alias("largest"))
-        outside = open_.join(staged.write("largest", sizes), "bucket").filter("label <> largest")
+        outside = left.filter("label <> largest")
         chosen = outside.withColumn("n", F.row_number().over(Window.partitionBy("bucket").orderBy("id"))).filter(F.col("n") <= hubs)
         chosen = staged.write("chosen", chosen.select("bucket", F.col("id").alias("hub"), F.col("label").alias("hub_label")))
         done = chosen.select("bucket", F.col("hub").alias("id"))
-        across = open_.join(chosen, "bucket").filter("label <> hub_label")
+        across = left.join(chosen, "bucket").filter("label <> hub_label")
         pairs = across.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-        hubs *= 4
 
     grown = classes.join(labels, "id", "left").select(*same, F.coalesce("label", "id").alias("component_id"), "id", "copies")
     grown = staged.write("components", grown.filter("copies > 1 or component_id <> id").select(*same, "component_id"))
