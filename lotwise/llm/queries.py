@@ -90,6 +90,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op1_sharding": op1_sharding, "op2_packing": op2_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_dedup": op4_near_dedup, "op5_language": op5_language, "op6_neighbours": op6_neighbours, "op7_toxicity": op7_toxicity, "op8_warc": op8_warc, "op9_token_counts": op9_token_counts, "op10_decontamination": op10_decontamination}
 
+#: A text with A-Z in lower case and nothing else changed.
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL = {
     # The recursion probes one slot a step: whose turn it is, each shard's place in its own order, and the slots claimed so far.
     "op1_sharding": f"""
@@ -124,4 +127,24 @@ SELECT page_id, strlen(payload) AS payload_bytes, list_aggregate(digits, 'string
   CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM d""",
+    "op4_near_dedup": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS k FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT doc_id, b FROM reached JOIN edges ON other = a),
+labels AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM labels LEFT JOIN n USING (doc_id)""",
+    "op10_decontamination": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[k:k + 9], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS k FROM b WHERE len(w) > 0)),
+q AS (SELECT doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') AS g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM p) WHERE len(w) >= n)),
+found AS (SELECT doc_id, k, q.n, item_id FROM q JOIN p ON q.g = p.g AND q.n = p.n),
+hits AS (SELECT doc_id, count(DISTINCT at_word) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(k, k + n)) AS at_word FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
 }
