@@ -363,7 +363,7 @@ def upsert(spark, sf_dir):
     return table.read()
 
 
-@query(f"WITH {_ORDERS} SELECT count(*) AS ads_scraped, count(*) FILTER (o_orderkey NOT IN (SELECT o_orderkey FROM base)) AS new_ads, count(*) FILTER (o_orderkey IN (SELECT o_orderkey FROM base)) AS updated_ads, 90 AS duration_seconds FROM delta")
+@query(f"WITH {_ORDERS} SELECT count(*) AS ads_scraped, count(*) FILTER (o_orderkey NOT IN (SELECT o_orderkey FROM base)) AS new_ads, count(*) FILTER (o_orderkey IN (SELECT o_orderkey FROM base)) AS updated_ads, 90::BIGINT AS duration_seconds FROM delta")
 def run_log(spark, sf_dir):
     base, delta = _orders(spark, sf_dir)
     return sinks.run_log(sinks.tag_new(delta, base, "o_orderkey"), "2026-01-01 00:00:00", "2026-01-01 00:01:30").select("ads_scraped", "new_ads", "updated_ads", "duration_seconds")
