@@ -16,8 +16,9 @@ from .textkit import ALNUM, batches, hash_words, words_of
 #: Bounds of what is fitted and broadcast: labelled examples, taken by the hash of their id, and terms.
 MAX_EXAMPLES = 20_000
 MAX_TERMS = 4_096
-#: G-squared of a term against the label, from which it counts as a feature (chance: about 1 in 100,000).
-LEAST_G2 = 20.0
+#: A term is a feature where its G-squared against the label is over LEAST_G2 (chance: about 6 in 100,000) and its
+#: documents bear label 1 at least LEAST_LIFT times as often as all examples.
+LEAST_G2, LEAST_LIFT = 16.0, 3.0
 BLOCK = 64
 NEIGHBOURS = 20
 
@@ -47,58 +48,59 @@ def _terms(batch: pa.RecordBatch, known: np.ndarray | None) -> tuple[np.ndarray,
 
 @dataclass
 class Index:
-    """Examples' unit vectors by term, with each block's largest weight. Examples are in order of their ids."""
+    """Unit vectors of the examples that hold a term, by term and block of examples, with each block's largest weight.
+    Examples are in order of their ids."""
 
-    terms: np.ndarray  # sorted hashes
     idf: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
-    starts: np.ndarray  # postings of term t: starts[t] to starts[t + 1]
-    examples: np.ndarray
+    examples: np.ndarray  # of each posting, by term, then example
     weights: np.ndarray
+    cells: np.ndarray  # postings of (term, block) begin at cells[term * blocks + block]
     block_max: np.ndarray  # terms x blocks
     base: float  # share of label 1 among examples without any term
     knots: tuple[np.ndarray, np.ndarray] = (np.zeros(1), np.zeros(1))
 
     @classmethod
-    def of(cls, terms: np.ndarray, idf: np.ndarray, rows: list[tuple[int, int, list[int], list[int]]]) -> Index:
-        rows = sorted(rows)
+    def of(cls, idf: np.ndarray, rows: list[tuple[int, int, list[int], list[int]]]) -> Index:
+        empty = [r[1] for r in rows if not r[2]]
+        base = (sum(empty) + 0.5) / (len(empty) + 1) if rows else 0.0
+        rows = sorted(r for r in rows if r[2])
         entries = [(t, k, (1 + np.log(n)) * idf[t]) for k, r in enumerate(rows) for t, n in zip(r[2], r[3])]
-        labels = np.array([r[1] for r in rows], float)
         t, k, w = (np.array([e[j] for e in entries], d) for j, d in enumerate((np.int64, np.int64, float)))
-        norm = np.sqrt(np.bincount(k, w * w, minlength=len(rows)))
-        w = w / norm[k]
+        w = w / np.sqrt(np.bincount(k, w * w, minlength=len(rows)))[k]
         order = np.lexsort((k, t))
         t, k, w = t[order], k[order], w[order]
-        block_max = np.zeros((len(terms), -(-len(rows) // BLOCK)))
+        blocks = -(-len(rows) // BLOCK)
+        block_max = np.zeros((len(idf), blocks))
         np.maximum.at(block_max, (t, k // BLOCK), w)
-        empty = norm == 0
-        base = (labels[empty].sum() + 0.5) / (empty.sum() + 1) if len(rows) else 0.0
-        index = cls(terms, idf, np.array([r[0] for r in rows]), labels, np.searchsorted(t, np.arange(len(terms) + 1)), k, w, block_max, float(base))
+        cells = np.searchsorted(t * blocks + k // BLOCK, np.arange(len(idf) * blocks + 1))
+        index = cls(idf, np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], float), k, w, cells, block_max, float(base))
         index._calibrate(rows)
         return index
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine and these, ties to the smaller id; only those of cosine over 0.
 
-        Blocks are opened by falling upper bound until no closed block can reach the k-th cosine."""
+        Blocks are opened by falling upper bound, the first of equal ones first, until no closed block can hold a larger
+        cosine than the k-th, or one that equals it with a smaller id."""
         bounds = weights @ self.block_max[terms]
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
         best_e, best_s, at, step = np.zeros(0, np.int64), np.zeros(0), 0, 4
-        while at < len(order) and (len(best_s) < k or bounds[order[at]] >= best_s[k - 1] - 1e-9):
-            scores = np.zeros((min(step, len(order) - at), BLOCK))
-            for row, block in enumerate(order[at : at + step].tolist()):
-                for t, w in zip(terms.tolist(), weights.tolist()):
-                    if self.block_max[t, block] > 0:
-                        lo, hi = self.starts[t], self.starts[t + 1]
-                        a, b = lo + np.searchsorted(self.examples[lo:hi], [block * BLOCK, (block + 1) * BLOCK])
-                        scores[row, self.examples[a:b] - block * BLOCK] += w * self.weights[a:b]
-            row, col = np.nonzero(scores)
-            best_e = np.concatenate([best_e, order[at + row] * BLOCK + col])
-            best_s = np.concatenate([best_s, scores[row, col]])
+        while at < len(order):
+            if len(best_s) == k:
+                gap = bounds[order[at]] - best_s[-1]
+                if gap < -1e-12 or gap < 1e-12 and (order[at:] * BLOCK)[bounds[order[at:]] >= best_s[-1] - 1e-12].min() > best_e[-1]:
+                    break
+            cell = (terms[:, None] * len(bounds) + order[None, at : at + step]).ravel()
+            lo, n = self.cells[cell], self.cells[cell + 1] - self.cells[cell]
+            place = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            scores = np.bincount(self.examples[place], np.repeat(np.repeat(weights, len(cell) // len(terms)), n) * self.weights[place], minlength=len(self.ids))
+            new = np.flatnonzero(scores)
+            best_e, best_s = np.concatenate([best_e, new]), np.concatenate([best_s, scores[new]])
             keep = np.lexsort((best_e, -best_s.round(12)))[:k]
-            best_e, best_s, at, step = best_e[keep], best_s[keep], at + len(scores), step * 2
+            best_e, best_s, at, step = best_e[keep], best_s[keep], at + step, step * 2
         return best_e, best_s
 
     def votes(self, terms: np.ndarray, counts: np.ndarray, without: int = -1) -> tuple[float | None, np.ndarray, np.ndarray]:
@@ -152,7 +154,7 @@ def select_terms(examples: DataFrame) -> DataFrame:
     a, b = F.col("a"), F.col("both") - F.col("a")
     c, d = F.lit(ones) - a, F.lit(n - ones) - b
     g2 = 2 * (part(a, F.col("both") * ones / n) + part(b, F.col("both") * (n - ones) / n) + part(c, (n - F.col("both")) * ones / n) + part(d, (n - F.col("both")) * (n - ones) / n))
-    return found.filter((F.col("both") < n) & (a / ones > b / (n - ones))).withColumn("g2", g2).filter(F.col("g2") > LEAST_G2).orderBy(F.desc("g2"), "term").limit(MAX_TERMS).select("term")
+    return found.filter((F.col("both") < n) & (a / F.col("both") >= min(0.5, LEAST_LIFT * ones / n))).withColumn("g2", g2).filter(F.col("g2") > LEAST_G2).orderBy(F.desc("g2"), "term").limit(MAX_TERMS).select("term")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, train=None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,7 +191,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, train=None, *, id_col: str = "d
     for r in table.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
         df[r.term] = r["count"]
     chosen = table.join(F.broadcast(examples), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "toxic", "terms", "counts").collect()
-    index = spark.sparkContext.broadcast(Index.of(terms, np.log((n_docs + 1) / (df + 1)) + 1e-9, [tuple(r) for r in chosen]))
+    index = spark.sparkContext.broadcast(Index.of(np.log((n_docs + 1) / (df + 1)) + 1e-9, [tuple(r) for r in chosen]))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, seen = index.value, {}
