@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import delete, filesystem
+from .common import filesystem
 from .textkit import BLANKS, batches, word_pieces, words_of
 
 KEYS = ("source", "lang", "tokenizer")
@@ -53,24 +53,10 @@ class TokenRollup:
         rows = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
         return rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).filter("n_docs <> 0 or n_tokens <> 0")
 
-    def compact(self) -> None:
-        """Replaces all committed batches by nothing but their sum, kept under the ids of the batches it replaces:
-        the first holds the totals and the others stay as empty, committed folders, so repeats are still refused."""
-        paths = self.batches()
-        if len(paths) < 2:
-            return
-        summed = self.totals().collect()  # one row per key, as small as the rollup itself
-        total = self.spark.createDataFrame(summed, "source string, lang string, tokenizer string, n_docs long, n_tokens long")
-        total.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/compacting")
-        for path in paths[1:]:
-            total.limit(0).write.mode("overwrite").parquet(path)
-        self.spark.read.schema(total.schema).parquet(f"{self.path}/compacting").write.mode("overwrite").parquet(paths[0])
-        delete(self.spark, f"{self.path}/compacting")
-
-
-def changes(new: DataFrame, old: DataFrame | None = None, keys: Sequence[str] = ("doc_id", "tokenizer")) -> DataFrame:
-    """Signed changes from an old to a new table of counts: rows only in `new` are inserts, rows only in `old` deletes,
-    and a row that differs gives one of each."""
+
+def changes(new: DataFrame, old: DataFrame | None = None) -> DataFrame:
+    """Signed changes from an old to a new table of counts: every row of `new` is inserted and every row of `old` taken
+    back, so rows in both cancel out and a revised one leaves its difference."""
     cols = ["source", "lang", "tokenizer", "n_tokens"]
     insert = new.select(*cols, F.lit(1).alias("sign"))
     if old is None:
