@@ -40,8 +40,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what they share with the benchmark's phrases of 10 words."""
-    found = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark"), keep=docs.columns)
-    return _counted(decontaminate.without_spans(found.select(*docs.columns, "spans")))
+    return _counted(decontaminate.decontaminated(docs, read(spark, sf_dir, "benchmark")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

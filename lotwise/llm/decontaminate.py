@@ -167,7 +167,7 @@ def occurrences(symbols: np.ndarray, bounds: np.ndarray, phrases: Phrases) -> tu
     return (np.concatenate(places), np.concatenate(names)) if places else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def _search(docs: DataFrame, phrases: Phrases, extra: list[str]) -> DataFrame:
+def _search(docs: DataFrame, phrases: Phrases, extra: list[str], cut: bool = False) -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(phrases)
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in extra] + ["n_words bigint", f"spans {SPANS}", "items array<string>"])
@@ -202,8 +202,14 @@ def _search(docs: DataFrame, phrases: Phrases, extra: list[str]) -> DataFrame:
             items: list[set[str]] = [set() for _ in range(n)]
             for d, p in zip(doc_of.tolist(), item_of.tolist() if len(doc_of) else ()):
                 items[d].update(phrases.items[p])
+            columns = {c: batch.column(c) for c in extra}
+            if cut:
+                places = [[] for _ in range(n)]
+                for d, lo, hi in zip(owner.tolist(), spans.field("from_byte").to_pylist(), spans.field("to_byte").to_pylist()):
+                    places[d].append((lo, hi))
+                columns["text"] = pa.array(cut_spans(batch.column("text"), places), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in extra]
+                list(columns.values())
                 + [pa.array(np.diff(first)), pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), spans), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
                 [*extra, "n_words", "spans", "items"],
             )
@@ -211,7 +217,7 @@ def _search(docs: DataFrame, phrases: Phrases, extra: list[str]) -> DataFrame:
     return docs.select(*dict.fromkeys([*extra, "text"])).mapInArrow(run, schema)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, keep: Sequence[str] = ("doc_id",), block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, keep: Sequence[str] = ("doc_id",), block_bytes: int = BLOCK_BYTES, cut: bool = False) -> DataFrame:
     """The columns `keep` of every document with n_words, spans and items: what a benchmark shares with it.
 
     A phrase is `size` consecutive words of an item, or a whole shorter item that has words. `spans` are the parts of the
@@ -219,6 +225,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, keep
     ids (as sorted strings) of the items with such phrases. Documents are not shuffled: each task indexes what it reads,
     and phrases go to the tasks in blocks of bounded size, one pass a block.
 
+    `cut` takes the spans out of `text` (one of `keep`) in the same pass, where one block holds all phrases, and then adds a
+    column `cut`.
+
     Null and empty texts have no words and no spans. Repeated rows are searched each. With an empty benchmark, or one
     without words, nothing is found. Item ids may repeat or be null (as the string "null")."""
     benchmark = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.col("text").alias("words"))
@@ -231,7 +240,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, keep
         return Phrases.of([r[0] for r in rows], [r[1] for r in rows], size)
 
     if blocks == 1:
-        return _search(docs, phrases(0), list(keep))
+        found = _search(docs, phrases(0), list(keep), cut)
+        return found.withColumn("cut", F.lit(True)) if cut else found
     numbered = Staged(docs.sparkSession, "decontaminate").write("docs", docs.withColumn("_row", F.monotonically_increasing_id()))
     passes = [_search(numbered, phrases(k), ["_row", *keep]) for k in range(blocks)]
     rows = passes[0]
@@ -260,6 +270,15 @@ def cut_spans(texts: pa.Array, spans: list) -> list[str | None]:
     return out
 
 
+def decontaminated(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """All columns of `docs`, with the words inside the benchmark's phrases cut out of `text`; see `contamination`. With
+    one block of phrases, texts are searched and cut in one pass."""
+    names = ["text" if c == "text" else f"_c{k}" for k, c in enumerate(docs.columns)]  # no clash with what is found
+    found = contamination(docs.toDF(*names), benchmark, size=size, keep=names, block_bytes=block_bytes, cut=True)
+    done = found.select(*names) if "cut" in found.columns else without_spans(found.select(*names, "spans"))
+    return done.toDF(*docs.columns)
+
+
 def without_spans(docs: DataFrame, spans_col: str = "spans") -> DataFrame:
     """The documents with the bytes of their spans cut out of `text`; the column of spans goes. Null texts stay null."""
     names = [c for c in docs.columns if c != spans_col]

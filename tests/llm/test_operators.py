@@ -350,9 +350,12 @@ def test_contamination_against_brute_force(spark, monkeypatch, blocks):
 def test_cutting_leaves_nothing_of_the_benchmark(spark):
     bench = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog today ok")], "item_id long, text string")
     df = spark.createDataFrame([(1, "Café: The quick, brown fox jumps over the lazy dog today OK! end", "s"), (2, "clean", None), (3, None, "s")], DOCS + ", source string")
-    found = decontaminate.contamination(df, bench, keep=df.columns)
-    got = {r.doc_id: (r.text, r.source) for r in decontaminate.without_spans(found.select(*df.columns, "spans")).collect()}
-    assert got == {1: ("Café: ! end", "s"), 2: ("clean", None), 3: (None, "s")}
+    clash = decontaminate.decontaminated(df.withColumn("spans", F.lit(1)).withColumn("cut", F.lit(2)), bench).filter("doc_id = 1").first()
+    assert (clash.spans, clash.cut, clash.text) == (1, 2, "Café: ! end")
+    for block_bytes in (1 << 20, 10):
+        cut = decontaminate.decontaminated(df, bench, block_bytes=block_bytes)
+        assert cut.columns == df.columns
+        assert {r.doc_id: (r.text, r.source) for r in cut.collect()} == {1: ("Café: ! end", "s"), 2: ("clean", None), 3: (None, "s")}
     assert decontaminate.contamination(df, bench.limit(0)).filter("size(spans) > 0").count() == 0
     assert decontaminate.contamination(df.limit(0), bench).count() == 0
 
