@@ -1,5 +1,5 @@
-"""Repeated passages by a sparse suffix array: suffixes at minimiser positions are sorted across the cluster, neighbours
-compared, and matches extended left and right."""
+"""Repeated passages by a sparse suffix array: suffixes at minimiser positions are sorted across the cluster together with
+the words around them; where those differ among equal suffixes, every window of words is compared by itself."""
 
 from __future__ import annotations
 
@@ -7,190 +7,225 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Staged
 from .decontaminate import cut_spans
-from .textkit import BLANKS, batches, hash_words, text_bytes, window_hashes, words_of
+from .textkit import BLANKS, batches, hash_words, span_hashes, text_bytes, window_hashes, words_of
 
 GRAM = 8
 #: A suffix is kept where its first gram has the least hash of STRIDE consecutive grams.
 STRIDE = 16
 
 
-def _sliding(values: np.ndarray, size: int, pick) -> np.ndarray:
-    """pick over each window of `size` (a power of two) values; as many results as windows."""
-    step = 1
-    while step < size:
-        values = pick(values[:-step], values[step:])
+def groups(grams: np.ndarray, first: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(suffix, begin, n): windows of `words` words inside one document, grouped by the first least of the STRIDE grams at
+    their start. Each group is n windows in a row from `begin`, and which gram it is depends on the window alone."""
+    if len(grams) < STRIDE:
+        return (np.zeros(0, np.int64),) * 3
+    least, at, step = grams, np.arange(len(grams)), 1
+    while step < STRIDE:
+        right = least[step:] < least[:-step]
+        least, at = np.where(right, least[step:], least[:-step]), np.where(right, at[step:], at[:-step])
         step *= 2
-    return values
-
-
-def minimisers(grams: np.ndarray, first: np.ndarray, words: int) -> np.ndarray:
-    """Positions whose gram is the least of STRIDE grams at the start of some passage of `words` words inside one document.
-    Which these are depends on the passage alone, so equal passages have them at equal places."""
-    n = len(grams)
-    if n < STRIDE:
-        return np.zeros(0, np.int64)
-    least = _sliding(grams, STRIDE, np.minimum)
     fits = np.zeros(len(least) + 1, np.int64)
     lo, hi = first[:-1], np.minimum(first[1:] - words + 1, len(least))
     long_enough = hi > lo
     np.add.at(fits, lo[long_enough], 1)
     np.add.at(fits, hi[long_enough], -1)
-    least = np.where(np.cumsum(fits)[:-1] > 0, least, 0)
-    padded = np.concatenate([np.zeros(STRIDE - 1, np.uint64), least, np.zeros(STRIDE - 1, np.uint64)])
-    return np.flatnonzero((_sliding(padded, STRIDE, np.maximum)[:n] == grams) & (grams > 0))
+    window = np.flatnonzero(np.cumsum(fits)[:-1] > 0)
+    suffix = at[window]
+    begin = np.flatnonzero(np.concatenate([[True], suffix[1:] != suffix[:-1]])) if len(suffix) else np.zeros(0, np.int64)
+    return suffix[begin], window[begin], np.diff(np.append(begin, len(suffix)))
 
 
 def suffixes(docs: DataFrame, words: int) -> DataFrame:
-    """(key, doc_id, pos): a kept suffix by its document and word, and the hash of the words that any repeated passage of
-    `words` words has from there on."""
+    """(key, whole, doc_id, begin, n): a kept suffix by the n windows of `words` words from `begin` that belong to it, the
+    hash of the words that all of them share from the suffix on, and the hash of all their words."""
     length = words - STRIDE + 1
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
             data, starts, ends, first = words_of(batch.column("text"), BLANKS)
             hashes = hash_words(data, starts, ends)
-            at = minimisers(window_hashes(hashes, GRAM), first, words)
-            keys = window_hashes(hashes, length)[at]
-            doc = np.searchsorted(first, at, side="right") - 1
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column("doc_id").take(pa.array(doc)), pa.array(at - first[doc])], ["key", "doc_id", "pos"])
+            at, begin, n = groups(window_hashes(hashes, GRAM), first, words)
+            both = span_hashes(hashes, np.concatenate([at, begin]), np.concatenate([at + length, begin + n - 1 + words])).view(np.int64)
+            doc = np.searchsorted(first, begin, side="right") - 1
+            yield pa.RecordBatch.from_arrays([pa.array(both[: len(at)]), pa.array(both[len(at) :]), batch.column("doc_id").take(pa.array(doc)), pa.array(begin - first[doc]), pa.array(n.astype(np.int32))], ["key", "whole", "doc_id", "begin", "n"])
 
-    return docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, "key long, doc_id long, pos long")
+    return docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, "key long, whole long, doc_id long, begin long, n int")
 
 
-def neighbours(table: DataFrame, staged: Staged) -> DataFrame:
-    """(doc_id, pos, prev_doc, prev_pos, first_doc, first_pos): each suffix whose predecessor in the sorted array has its
-    key, with that predecessor and an early suffix of the same key.
+def compared(table: DataFrame) -> DataFrame:
+    """(doc_id, begin, n, source): suffixes whose words all stand earlier, with the document of their first place; and, with
+    a null source, those that may share only some windows with others, which are all first places of their words.
 
-    Suffixes are sorted by ranges of (key, doc_id, pos), so a passage that many documents share spreads over partitions.
-    The first and last suffix of every partition are compared with each other afterwards."""
+    Suffixes are sorted by ranges of (key, whole, doc_id, begin), so a passage that many documents share spreads over
+    partitions. What may go on from or into another partition is left open too."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = head = None
+        held = None  # the first places of the first and of the last `whole` of the key that is not at its end
         for batch in it:
             if not batch.num_rows:
                 continue
-            key, doc, pos = (batch.column(c).to_numpy() for c in ("key", "doc_id", "pos"))
-            first_row = held is None
-            if first_row:
-                held = head = (key[0], doc[0], pos[0])
-            key, doc, pos = (np.concatenate([[h], x]) for h, x in zip(held, (key, doc, pos)))
-            same = np.concatenate([[True], key[1:] == key[:-1]])
-            begin = np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))
-            first_doc, first_pos = np.where(begin > 0, doc[begin], head[1]), np.where(begin > 0, pos[begin], head[2])
-            found = np.flatnonzero(same[1:]) + 1
-            if first_row:
-                found = found[1:]
-            yield _neighbour_batch(key[found], doc[found], pos[found], doc[found - 1], pos[found - 1], first_doc[found], first_pos[found], 0)
-            if first_row:
-                yield _neighbour_batch(key[:1], doc[:1], pos[:1], doc[:1], pos[:1], doc[:1], pos[:1], 1)
-            held = (key[-1], doc[-1], pos[-1])
-            head = (held[0], first_doc[-1], first_pos[-1])
-        if held is not None:
-            one = [np.array([x]) for x in held]
-            yield _neighbour_batch(*one, one[1], one[2], one[1], one[2], 2)
+            rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "whole", "doc_id", "begin", "n")])
+            if held is None:
+                begins, old, told = rows[:2, 0], 0, 0
+            else:
+                old = held.shape[1]
+                told = old if old == 2 or held[0, 0] == begins[0] else 0
+                rows = np.concatenate([held, rows], axis=1)
+            key, whole, doc, begin, _ = rows
+            new_key = np.concatenate([[True], key[1:] != key[:-1]])
+            new = new_key | np.concatenate([[True], whole[1:] != whole[:-1]])
+            of_key = np.cumsum(new_key) - 1
+            several = np.bincount(of_key[new])[of_key] > 1
+            open_ = new & (several | (key == begins[0]))
+            open_[:told] = False
+            head = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+            again = ~new & ((doc != doc[head]) | (begin != begin[head]))
+            again[:old] = False
+            unsure = again & (key == begins[0]) & (whole == begins[1])
+            yield _compared_batch(rows[2:, open_ | unsure])
+            again &= ~unsure
+            yield _compared_batch(rows[2:, again], doc[head[again]])
+            last = np.flatnonzero(new & (of_key == of_key[-1]))
+            held = rows[:, last[[0, -1]] if len(last) > 1 else last]
+        if held is not None and held.shape[1] == 1 and held[0, 0] != begins[0]:
+            yield _compared_batch(held[2:])
 
-    names = ["doc_id", "pos", "prev_doc", "prev_pos", "first_doc", "first_pos"]
     n = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = table.repartitionByRange(n, "key", "doc_id", "pos").sortWithinPartitions("key", "doc_id", "pos")
-    found = staged.write("neighbours", ordered.mapInArrow(run, "key long, " + ", ".join(f"{c} long" for c in names) + ", edge int"))
-    openers = found.filter("edge = 1").select("key", "doc_id", "pos")
-    closers = found.filter("edge = 2").select("key", F.col("doc_id").alias("prev_doc"), F.col("pos").alias("prev_pos"))
-    # Closers of one key are as many as the partitions that end inside it; their latest before an opener is its predecessor.
-    before = F.struct("prev_doc", "prev_pos") < F.struct("doc_id", "pos")
-    crossing = openers.join(closers, "key").filter(before).groupBy("doc_id", "pos").agg(F.max(F.struct("prev_doc", "prev_pos")).alias("prev"), F.min(F.struct("prev_doc", "prev_pos")).alias("first"))
-    crossing = crossing.select("doc_id", "pos", "prev.prev_doc", "prev.prev_pos", F.col("first.prev_doc").alias("first_doc"), F.col("first.prev_pos").alias("first_pos"))
-    return found.filter("edge = 0").select(*names).unionByName(crossing)
+    order = ["key", "whole", "doc_id", "begin"]
+    return table.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(run, "doc_id long, begin long, n int, source long")
 
 
-def _neighbour_batch(*columns) -> pa.RecordBatch:
-    *longs, edge = columns
-    names = ["key", "doc_id", "pos", "prev_doc", "prev_pos", "first_doc", "first_pos"]
-    arrays = [pa.array(np.ascontiguousarray(x, np.int64)) for x in longs]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(np.full(len(longs[0]), edge, np.int32))], [*names, "edge"])
+def _compared_batch(rows: np.ndarray, source: np.ndarray | None = None) -> pa.RecordBatch:
+    doc, begin, n = rows
+    sources = pa.nulls(len(doc), pa.int64()) if source is None else pa.array(source)
+    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(begin), pa.array(n.astype(np.int32)), sources], ["doc_id", "begin", "n", "source"])
 
 
-def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(doc_id, pos, side, context): hashes of the STRIDE - 1 words left of a suffix, nearest first, or right of its key."""
+def windows(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(hash, doc_id, begin): the windows of `words` words of the wanted suffixes."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
             data, starts, ends, first = words_of(batch.column("text"), BLANKS)
-            hashes = hash_words(data, starts, ends)
-            out: list[tuple] = []
-            for doc, places, lo, hi in zip(batch.column("doc_id").to_pylist(), batch.column("places").to_pylist(), first.tolist(), first[1:].tolist()):
-                words = hashes[lo:hi]
-                for place in places:
-                    pos, side = place >> 1, place & 1
-                    near = words[pos + length : pos + length + STRIDE - 1] if side else words[max(0, pos - STRIDE + 1) : pos][::-1]
-                    out.append((doc, pos, side, near.tobytes()))
-            cols = list(zip(*out)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["doc_id", "pos", "side", "context"])
+            hashes = window_hashes(hash_words(data, starts, ends), words)
+            places = batch.column("places")
+            row = np.repeat(np.arange(batch.num_rows), places.value_lengths().to_numpy())
+            begin, n = np.divmod(places.flatten().to_numpy(), STRIDE)
+            n += 1
+            row, at = np.repeat(row, n), np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
+            inside = at + words <= first[row + 1] - first[row]  # rows may share an id and differ in text
+            row, at = row[inside], at[inside]
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[first[row] + at].view(np.int64)), batch.column("doc_id").take(pa.array(row)), pa.array(at)], ["hash", "doc_id", "begin"])
+
+    # A document has at most one place for each of its suffixes.
+    places = wanted.groupBy("doc_id").agg(F.collect_list(F.col("begin") * STRIDE + F.col("n") - 1).alias("places"))
+    return docs.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(run, "hash long, doc_id long, begin long")
+
+
+def later_windows(table: DataFrame, staged: Staged) -> DataFrame:
+    """(doc_id, begin, source): windows that stand earlier too, with the document of their first place.
+
+    They are sorted by ranges of (hash, doc_id, begin). The first places that a partition knows of its first and last hash,
+    two rows a partition, settle the hashes that go on from one partition into another."""
 
-    # A document has at most two places for each of its suffixes.
-    places = wanted.groupBy("doc_id").agg(F.collect_list(F.shiftleft("pos", 1).bitwiseOR(F.col("side").cast("long"))).alias("places"))
-    return docs.join(places, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "places").mapInArrow(run, "doc_id long, pos long, side int, context binary")
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = None
+        for batch in it:
+            if not batch.num_rows:
+                continue
+            key, doc, begin = (batch.column(c).to_numpy() for c in ("hash", "doc_id", "begin"))
+            if head is None:
+                head = opener = (key[0], doc[0], begin[0])
+            new = np.concatenate([[key[0] != head[0]], key[1:] != key[:-1]])
+            run_head = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
+            first_doc, first_begin = np.where(run_head < 0, head[1], doc[run_head]), np.where(run_head < 0, head[2], begin[run_head])
+            again = (doc != first_doc) | (begin != first_begin)
+            yield _window_batch(key[again], doc[again], begin[again], first_doc[again], 0)
+            head = (key[-1], first_doc[-1], first_begin[-1])
+        if head is not None:
+            for one in (opener, head):
+                yield _window_batch(*(np.array([x]) for x in (*one, one[1])), 1)
+
+    n = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["hash", "doc_id", "begin"]
+    found = table.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(run, "hash long, doc_id long, begin long, source long, edge int")
+    found = staged.write("found", found)
+    firsts = found.filter("edge = 1").groupBy("hash").agg(F.min(F.struct("doc_id", "begin")).alias("at"), F.count("*").alias("n")).filter("n > 1").orderBy("hash").collect()
+    known, known_doc, known_begin = (np.array(x, np.int64) for x in ([r["hash"] for r in firsts], [r["at"]["doc_id"] for r in firsts], [r["at"]["begin"] for r in firsts]))
+
+    def settle(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            key, doc, begin, source, edge = (batch.column(c).to_numpy() for c in ("hash", "doc_id", "begin", "source", "edge"))
+            keep = edge == 0
+            if len(known):
+                k = np.minimum(np.searchsorted(known, key), len(known) - 1)
+                goes_on = known[k] == key
+                source = np.where(goes_on, known_doc[k], source)
+                keep = keep | goes_on & ((doc != known_doc[k]) | (begin != known_begin[k]))
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (doc, begin, source)], ["doc_id", "begin", "source"])
+
+    return found.mapInArrow(settle, "doc_id long, begin long, source long")
+
+
+def _window_batch(key: np.ndarray, doc: np.ndarray, begin: np.ndarray, source: np.ndarray, edge: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*(pa.array(x) for x in (key, doc, begin, source)), pa.array(np.full(len(key), edge, np.int32))], ["hash", "doc_id", "begin", "source", "edge"])
+
+
+def merged(parts: DataFrame) -> DataFrame:
+    """(doc_id, begin, end, n_words, source_doc_id): parts of a document that overlap or touch, as one, with the source of the first."""
+    names = ["doc_id", "begin", "end", "n_words", "source_doc_id"]
+
+    def rows(doc: np.ndarray, begin: np.ndarray, end: np.ndarray, source: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc, begin, end, end - begin, source)], names)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in it:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(c).to_numpy() for c in ("doc_id", "begin", "end", "source")]
+            doc, begin, end, source = cols if held is None else [np.concatenate([h, x]) for h, x in zip(held, cols)]
+            change = np.concatenate([[True], doc[1:] != doc[:-1]])
+            up = np.cumsum(change) << 40  # ends of one document stay above those of the documents before it
+            reach = np.maximum.accumulate(up + end) - up
+            new = change.copy()
+            new[1:] |= begin[1:] > reach[:-1]
+            at = np.flatnonzero(new)
+            doc, begin, end, source = doc[at], begin[at], reach[np.append(at[1:], len(reach)) - 1], source[at]
+            yield rows(doc[:-1], begin[:-1], end[:-1], source[:-1])
+            held = doc[-1:], begin[-1:], end[-1:], source[-1:]
+        if held is not None:
+            yield rows(*held)
+
+    ordered = parts.repartition("doc_id").sortWithinPartitions("doc_id", "begin", "source")
+    return ordered.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def repeated_passages(docs: DataFrame, *, words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, begin, end, n_words, source_doc_id): parts of documents, by word, that occur earlier too.
 
     Words are cut at white space, with A-Z lower-cased. The earlier of two places is that of the smaller (doc_id, word);
-    the first place of a passage is never listed as a repeat, it is in `source_doc_id`. Any passage of `words` words or
-    more that occurs twice holds a suffix that the sparse array keeps, within its first STRIDE words. Neighbours of equal
-    keys are chained along their document, and the chain's two ends are extended by comparing words with those of its
-    neighbour and of an early occurrence; chains that stay shorter than `words` go.
+    the first place of a window is never listed as a repeat. `source_doc_id` holds the part's first `words` words at an earlier
+    place: the first one of them, or of the few more words that were compared with them. A word is listed if, and only if, it lies in a window of `words` words that stands earlier. Each window belongs to one kept
+    suffix within its first STRIDE words. Suffixes whose windows all stand earlier as they are take no more than the sort;
+    where suffixes with one key differ in the words around it, their windows are compared one by one.
 
     Null, empty and short texts have no passages, nor have rows without an id; rows that share an id and text repeat nothing
     but what the text itself repeats."""
-    length = words - STRIDE + 1
-    if length < GRAM:
+    if words - STRIDE + 1 < GRAM:
         raise ValueError(f"passages must have at least {GRAM + STRIDE - 1} words")
     staged = Staged(docs.sparkSession, "suffix-dedup")
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    table = staged.write("suffixes", suffixes(docs, words))
-    later = neighbours(table, staged).filter("prev_doc <> doc_id or prev_pos <> pos")
-    order = Window.partitionBy("doc_id").orderBy("pos")
-    chained = later.withColumn("chain", F.sum(F.when(F.col("pos") - F.lag("pos").over(order) <= STRIDE, 0).otherwise(1)).over(order))
-    partner = F.struct("prev_doc", "prev_pos", "first_doc", "first_pos")
-    chains = chained.groupBy("doc_id", "chain").agg(F.min("pos").alias("low"), F.max("pos").alias("high"), F.min_by(partner, "pos").alias("at_low"), F.max_by(partner, "pos").alias("at_high"))
-    chains = staged.write("chains", chains)
-    staged.drop("suffixes", "neighbours")
-
-    def ends(side: int, pos: str, at: str) -> DataFrame:
-        pairs = F.array_distinct(F.array(F.struct(F.col(f"{at}.prev_doc").alias("doc"), F.col(f"{at}.prev_pos").alias("pos")), F.struct(F.col(f"{at}.first_doc").alias("doc"), F.col(f"{at}.first_pos").alias("pos"))))
-        rows = chains.select("doc_id", "chain", F.lit(side).alias("side"), F.col(pos).alias("pos"), F.explode(pairs).alias("with"))
-        return rows.select("doc_id", "chain", "side", "pos", F.col("with.doc").alias("with_doc"), F.col("with.pos").alias("with_pos"))
-
-    both = staged.write("ends", ends(0, "low", "at_low").unionByName(ends(1, "high", "at_high")))
-    wanted = both.select("doc_id", "pos", "side").unionByName(both.select(F.col("with_doc").alias("doc_id"), F.col("with_pos").alias("pos"), "side")).distinct()
-    found = staged.write("contexts", contexts(docs, wanted, length))
-
-    def common(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            more = []
-            for a, b in zip(batch.column("own").to_pylist(), batch.column("other").to_pylist()):
-                n = min(len(a), len(b)) // 8
-                differ = np.flatnonzero(np.frombuffer(a, "<u8", n) != np.frombuffer(b, "<u8", n))
-                more.append(int(differ[0]) if len(differ) else n)
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("doc_id", "chain", "side")] + [pa.array(more, pa.int64())], ["doc_id", "chain", "side", "more"])
-
-    own = found.withColumnRenamed("context", "own")
-    other = found.select(F.col("doc_id").alias("with_doc"), F.col("pos").alias("with_pos"), "side", F.col("context").alias("other"))
-    extended = both.join(own, ["doc_id", "pos", "side"]).join(other, ["with_doc", "with_pos", "side"]).select("doc_id", "chain", "side", "own", "other").mapInArrow(common, "doc_id long, chain long, side int, more long")
-    grown = extended.groupBy("doc_id", "chain").agg(F.max(F.when(F.col("side") == 0, F.col("more"))).alias("left"), F.max(F.when(F.col("side") == 1, F.col("more"))).alias("right"))
-    out = chains.join(grown, ["doc_id", "chain"], "left").select(
-        "doc_id",
-        (F.col("low") - F.coalesce("left", F.lit(0))).alias("begin"),
-        (F.col("high") + length + F.coalesce("right", F.lit(0))).alias("end"),
-        F.col("at_low.first_doc").alias("source_doc_id"),
-    )
-    out = out.withColumn("n_words", F.col("end") - F.col("begin")).filter(F.col("n_words") >= words)
-    out = staged.write("result", out.select("doc_id", "begin", "end", "n_words", "source_doc_id"))
+    found = staged.write("compared", compared(staged.write("suffixes", suffixes(docs, words))))
+    staged.drop("suffixes")
+    later = later_windows(staged.write("windows", windows(docs, found.filter("source is null"), words)), staged)
+    whole = found.filter("source is not null").select("doc_id", "begin", (F.col("begin") + F.col("n") - 1 + words).alias("end"), "source")
+    out = staged.write("result", merged(whole.unionByName(later.select("doc_id", "begin", (F.col("begin") + words).alias("end"), "source"))))
     staged.drop(*[name for name in staged.paths if name != "result"])
     return out
 

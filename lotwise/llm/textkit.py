@@ -106,6 +106,14 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix((prefix[size:] - prefix[:n]) * powers(up, _INVERSE)[:n])
 
 
+def span_hashes(words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the words of each span."""
+    prefix = np.zeros(len(words) + 1, np.uint64)
+    up = 1 << max(10, int(len(words) + 1).bit_length())
+    np.cumsum(words * powers(up, _BASE)[: len(words)], out=prefix[1:])
+    return mix((prefix[end] - prefix[begin]) * powers(up, _INVERSE)[begin])
+
+
 def batches(it, limit: int = (2 << 20) - 1):
     """Arrow batches cut so that each holds about `limit` bytes of text at most (one row at least)."""
     for batch in it:

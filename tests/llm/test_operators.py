@@ -111,6 +111,35 @@ def test_repeats_against_brute_force(spark):
     assert cut[101] is None and suffix_dedup.repeated_passages(df.limit(0)).count() == 0
 
 
+def test_repeats_around_a_common_core(spark):
+    """Many documents share 40 or 60 words, and two of them a longer passage around these words."""
+    rng = np.random.default_rng(3)
+    docs = []
+    for group in range(12):
+        core, left, right = sentence(rng, 60 if group % 3 == 2 else 40), sentence(rng, 6), sentence(rng, 6)
+        for k in range(20):
+            before, after = (left, right) if k in (7, 15) else (f"a{group} b{k}", f"c{group} d{k}")
+            docs.append((20 * group + k, f"{sentence(rng, 20)} {before} {core} {after} {sentence(rng, 20)}"))
+    joined = sentence(rng, 85).split()  # two overlapping passages of 45 words, none of 50
+    docs += [(k, " ".join([sentence(rng, 30), *joined[lo:hi], sentence(rng, 30)])) for k, (lo, hi) in enumerate([(0, 45), (40, 85), (0, 85), (20, 64)], 300)]
+    docs += [(400, None), (401, ""), (402, "la " * 300), (403, "la " * 120), (404, docs[5][1]), (404, docs[5][1])]
+    seen, want = {}, {}
+    for d, t in sorted(set(docs)):
+        words = WORD.findall(lower(t))
+        marks = [0] * len(words)
+        for k in range(len(words) - 49):
+            if seen.setdefault(tuple(words[k : k + 50]), (d, k)) < (d, k):
+                marks[k : k + 50] = [1] * 50
+        if any(marks):
+            want[d] = marks
+    rows = suffix_dedup.repeated_passages(spark.createDataFrame(docs, DOCS).repartition(4)).collect()
+    assert covered(rows, docs) == want
+    texts = {d: WORD.findall(lower(t)) for d, t in docs}
+    for r in rows:
+        passage = " ".join(texts[r.doc_id][r.begin : r.begin + 50])
+        assert r.n_words == r.end - r.begin >= 50 and r.source_doc_id <= r.doc_id and passage in " ".join(texts[r.source_doc_id])
+
+
 # --- near duplicates
 
 
