@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Staged
@@ -16,8 +16,8 @@ from .textkit import BLANKS, batches, hash_words, mix, window_hashes, words_of
 
 N_HASHES = 192
 BATCH = 32
-#: Buckets of more members are compared in blocks of full sets.
-CROWD, BLOCK = 32, 512
+#: Members of one bucket that are compared in one task: so many on a side, and so many bytes of full sets.
+BLOCK, BLOCK_BYTES = 512, 4 << 20
 #: Chance that one true link is missed: by all bands together, and by pruning.
 MISS = 1e-6
 
@@ -104,18 +104,25 @@ def bands(unique: DataFrame, rows: int) -> DataFrame:
     return unique.select("id", "signature").mapInArrow(run, "bucket long, id long")
 
 
+def likely(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, least: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows (i of `left`, j of `right`) that stay likely enough after each batch of compared hashes, and their matches."""
+    matches = np.zeros(len(i), np.int64)
+    for k, m in enumerate(least):
+        part = slice(k * BATCH, (k + 1) * BATCH)
+        matches = matches + (left[i, part] == right[j, part]).sum(axis=1)
+        live = matches >= m
+        i, j, matches = i[live], j[live], matches[live]
+    return i, j, matches
+
+
 def pruned(pairs: DataFrame, unique: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that stay likely enough after each batch of compared hashes."""
+    """Pairs (a, b) that their signatures leave likely enough."""
     least = least_matches(percent)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            live, matches = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-            left, right = _rows(batch.column("sig_a")), _rows(batch.column("sig_b"))
-            for k, m in enumerate(least):
-                part = slice(k * BATCH, (k + 1) * BATCH)
-                matches[live] += (left[live, part] == right[live, part]).sum(axis=1)
-                live = live[matches[live] >= m]
+            rows = np.arange(batch.num_rows)
+            live, _, _ = likely(_rows(batch.column("sig_a")), _rows(batch.column("sig_b")), rows, rows, least)
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(live)) for c in "ab"], ["a", "b"])
 
     side = lambda c: unique.select(F.col("id").alias(c), F.col("signature").alias(f"sig_{c}"))
@@ -128,36 +135,63 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int, staged: Staged) -> Da
     def sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
             found = shingle_sets(batch.column("text"), words)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in found], pa.binary())], ["id", "shingles"])
+            at = np.cumsum([0, *map(len, found)])
+            flat = np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))], ["id", "shingles"])
 
     wanted = docs.join(staged.write("set_ids", ids), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return staged.write("sets", wanted.select("doc_id", "text").mapInArrow(sets, "id long, shingles binary"))
+    return staged.write("sets", wanted.select("doc_id", "text").mapInArrow(sets, "id long, shingles array<long>"))
 
 
-def linked_blocks(crowded: DataFrame, docs: DataFrame, words: int, percent: int, staged: Staged) -> DataFrame:
-    """Links (a, b) that join components of buckets with many members (bucket, id, label, size, largest).
+def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, staged: Staged) -> DataFrame:
+    """Pairs whose full sets have 100 * intersection >= percent * union, told row by row inside the JVM."""
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    table = full_sets(docs, ids, words, staged)
+    side = lambda c: table.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{c}"))
+    sized = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", (F.size("set_a") + F.size("set_b")).alias("n"), F.size(F.array_intersect("set_a", "set_b")).alias("both"))
+    return sized.filter(100 * F.col("both") >= percent * (F.col("n") - F.col("both"))).select("a", "b")
+
+
+def _dealt(members: DataFrame, rows: int, size: str) -> DataFrame:
+    """Members (bucket, id, label, outside) as rows of blocks (bucket, i, j): those outside a bucket's largest component in
+    the blocks i, all members in the blocks j. A block holds about `rows` members, and BLOCK_BYTES of what `size` measures."""
+    blocks = lambda part: F.ceil(F.greatest(F.count_if(part) / rows, F.sum(F.when(part, F.col(size)).otherwise(0)) / BLOCK_BYTES, F.lit(1.0))).cast("int")
+    counts = members.groupBy("bucket").agg(blocks(F.col("outside")).alias("n_i"), blocks(F.lit(True)).alias("n_j"))
+    found = members.join(counts, "bucket")
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = found.filter("outside").select("bucket", block("n_i").alias("i"), every("n_j").alias("j"), "id", "label", F.lit(True).alias("outside"))
+    return left.unionByName(found.select("bucket", every("n_i").alias("i"), block("n_j").alias("j"), "id", "label", F.lit(False).alias("outside")))
+
+
+def _block_pairs(group: pa.Table, least: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Likely pairs (rows of the group, matches) of different components: a member outside the largest one with any other."""
+    outside = np.array(group.column("outside").to_pylist(), bool)
+    label, signature = group.column("label").to_numpy(), _rows(group.column("signature"))
+    left, right = np.flatnonzero(outside), np.flatnonzero(~outside)
+    step = max(1, 32_768 // max(1, len(right)))
+    for lo in range(0, len(left), step):
+        some = left[lo : lo + step]
+        i, j = np.nonzero(label[some][:, None] != label[right][None, :])
+        yield likely(signature, signature, some[i], right[j], least)
+
+
+def linked_blocks(members: DataFrame, unique: DataFrame, docs: DataFrame, words: int, percent: int, staged: Staged) -> DataFrame:
+    """Links (a, b) between components of buckets that hold several: members (bucket, id, label, outside, n_shingles).
+
+    Signatures are compared first, block by block, and only members that still have a likely partner go on with their full
+    sets. There each block verifies its likely pairs, the likeliest first, leaves out those that it has joined already, and
+    so gives no more links than it joins components."""
+    least = least_matches(percent)
 
-    A bucket's members are dealt to blocks of about BLOCK; each task compares the members outside the bucket's largest
-    component in one block with all members of another, on full sets, and gives no more links than it joins components."""
+    def mark(group: pa.Table) -> pa.Table:
+        rows = [np.concatenate([i, j]) for i, j, _ in _block_pairs(group, least)]
+        at = np.unique(np.concatenate([*rows, np.zeros(0, np.int64)]))
+        return pa.table({c: group.column(c).take(pa.array(at)) for c in ("bucket", "id")})
 
-    def run(group: pa.Table) -> pa.Table:
-        outside = np.array(group.column("outside").to_pylist(), bool)
+    def verify(group: pa.Table) -> pa.Table:
         ids, labels = group.column("id").to_numpy(), group.column("label").to_numpy()
-        sets = [np.frombuffer(x.as_buffer(), "<u8") for x in group.column("shingles")]
-        sizes = np.array([len(x) for x in sets])
-        places = np.unique(np.concatenate(sets), return_inverse=True)[1]
-        left, right = np.flatnonzero(outside), np.flatnonzero(~outside)
-        both = np.zeros((len(left), len(right)), np.float32)
-        owner, order = np.repeat(np.arange(len(sets)), sizes), np.argsort(places, kind="stable")
-        owner, places = owner[order], places[order]
-        column = np.cumsum(np.concatenate([[0], np.diff(places) > 0]))
-        for lo in range(0, int(column[-1]) + 1, 4096):
-            part = slice(*np.searchsorted(column, [lo, lo + 4096]))
-            has = np.zeros((len(sets), 4096), np.float32)
-            has[owner[part], column[part] - lo] = 1
-            both += has[left] @ has[right].T
-        union = sizes[left][:, None] + sizes[right][None, :] - both
-        i, j = np.nonzero((100 * both >= percent * union) & (labels[left][:, None] != labels[right][None, :]))
+        sets = [x.values.to_numpy() for x in group.column("shingles")]
         root: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -166,54 +200,40 @@ def linked_blocks(crowded: DataFrame, docs: DataFrame, words: int, percent: int,
             return x
 
         found = []
-        for a, b in zip(left[i].tolist(), right[j].tolist()):
-            if (x := find(int(labels[a]))) != (y := find(int(labels[b]))):
-                root[max(x, y)] = min(x, y)
-                found.append((int(ids[a]), int(ids[b])))
+        for i, j, matches in _block_pairs(group, least):
+            order = np.argsort(-matches, kind="stable")
+            for a, b in zip(i[order].tolist(), j[order].tolist()):
+                if (x := find(int(labels[a]))) == (y := find(int(labels[b]))):
+                    continue
+                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                    root[max(x, y)] = min(x, y)
+                    found.append((int(ids[a]), int(ids[b])))
         return pa.table({c: pa.array([f[k] for f in found], pa.int64()) for k, c in enumerate("ab")})
 
-    table = full_sets(docs, crowded.select(F.col("id").alias("doc_id")).distinct(), words, staged)
-    n = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = crowded.withColumn("n", n).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
-    cols = ["bucket", "id", "label"]
-    outside = dealt.filter("label <> largest").select(*cols, F.lit(True).alias("outside"), F.col("block").alias("i"), others.alias("j"))
-    all_ = dealt.select(*cols, F.lit(False).alias("outside"), F.col("block").alias("j"), others.alias("i"))
-    rows = outside.unionByName(all_).join(table, "id")
-    return rows.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long")
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int, staged: Staged) -> DataFrame:
-    """Pairs whose full sets have 100 * intersection >= percent * union."""
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            keep = []
-            for a, b in zip(batch.column("set_a"), batch.column("set_b")):
-                a, b = (np.frombuffer(x.as_buffer(), "<u8") for x in (a, b))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in "ab"], ["a", "b"])
-
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    table = full_sets(docs, ids, words, staged)
-    side = lambda c: table.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    signatures = unique.select("id", "signature")
+    dealt = _dealt(members.withColumn("bytes", F.lit(4 * N_HASHES)), BLOCK, "bytes").join(signatures, "id")
+    marked = staged.write("marked", dealt.groupBy("bucket", "i", "j").applyInArrow(mark, "bucket long, id long").distinct())
+    open_ = staged.write("unsettled", members.join(marked, ["bucket", "id"]).withColumn("bytes", 8 * F.col("n_shingles")))
+    sets = full_sets(docs, open_.select(F.col("id").alias("doc_id")).distinct(), words, staged)
+    rows = _dealt(open_, BLOCK, "bytes").join(signatures, "id").join(sets, "id")
+    return rows.groupBy("bucket", "i", "j").applyInArrow(verify, "a long, b long")
 
 
 def _labels(links: DataFrame, staged: Staged) -> DataFrame:
-    staged.drop("sets", "set_ids", "edges", "crossing", "better", "hooked", "likely")
+    staged.drop("sets", "set_ids", "edges", "crossing", "better", "hooked", "likely", "labels")
     return components(links, staged)
 
 
 def _mixed(members: DataFrame, labels: DataFrame, staged: Staged) -> DataFrame:
-    """Members (bucket, id, size, label, largest) of buckets that hold several components, with the bucket's largest."""
-    known = members.join(labels, "id", "left").select("bucket", "id", "size", F.coalesce("label", "id").alias("label"))
-    known = staged.write("known", known)
-    mixed = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
-    mixed = known.join(staged.write("mixed", mixed), "bucket", "left_semi")
-    sizes = mixed.groupBy("bucket", "label").count().groupBy("bucket").agg(F.max_by("label", F.struct("count", "label")).alias("largest"))
-    return known.join(staged.write("largest", sizes), "bucket")
+    """Members (bucket, id, label, outside, n_shingles) of buckets that hold several components; `outside` are those that are
+    not in the bucket's largest. Of buckets with the same members one is enough."""
+    known = staged.write("known", members.join(labels, "id", "left").select("bucket", "id", "n_shingles", F.coalesce("label", "id").alias("label")))
+    sums = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    mixed = staged.write("mixed", sums.filter("low < high").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket"))
+    rows = staged.write("several", known.join(mixed, "bucket", "left_semi"))
+    largest = rows.groupBy("bucket", "label").count().groupBy("bucket").agg(F.max_by("label", F.struct("count", "label")).alias("largest"))
+    return rows.join(largest, "bucket").select("bucket", "id", "label", (F.col("label") != F.col("largest")).alias("outside"), "n_shingles")
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,13 +244,14 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = 5, id_co
     Jaccard similarity is at least `percent` / 100; component_id is the smallest id reachable, and that document is kept.
 
     Documents of equal sets are one class, and only its smallest id goes on. Classes that share a band of MinHash values are
-    candidates, but a bucket never emits all its pairs: first all members are compared with its smallest. In buckets that
-    then hold several components, members outside the largest one are compared with those of others: a bounded number of
-    them a round where the bucket has at most CROWD members, and block by block, inside tasks that give only links, where it
-    has more. Candidate pairs are pruned by signature batches and confirmed on full sets; blocks compare full sets at once.
-    A link can only be missed by chance, at most MISS each for bands and pruning.
-
-    Rows that share an id are one document for linking, and null ids are linked with nothing; each row gives its own row."""
+    candidates, but a bucket never emits all its pairs: first all members are compared with its smallest. In buckets, of any
+    size, that then hold several components, members outside the largest one are compared with those of the others, block
+    by block inside tasks that give links alone. Every comparison prunes by signature batches (posterior similarity at the
+    MISS chance) and verifies the survivors on full sets. A link can only be missed by chance, at most MISS each for bands
+    and pruning. Members of a bucket that are not linked with each other cost a comparison of signatures each.
+
+    Rows that share an id are one document for linking (a stated case: one of their texts stands for it), and null ids are
+    linked with nothing; each row gives its own row. Ids are integers. An empty table gives no rows."""
     spark = docs.sparkSession
     staged = Staged(spark, "near-dedup")
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -238,45 +259,21 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = 5, id_co
     narrow = table.select("doc_id", "n_shingles", "key1", "key2")
     same = ["n_shingles", "key1", "key2"]
     classes = staged.write("classes", narrow.filter("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")))
-    firsts = table.filter("n_shingles > 0").select(F.col("doc_id").alias("id"), "signature").join(classes.select("id"), "id", "left_semi")
+    firsts = table.filter("n_shingles > 0").select(F.col("doc_id").alias("id"), "n_shingles", "signature").join(classes.select("id"), "id", "left_semi")
     unique = staged.write("unique", firsts.dropDuplicates(["id"]))
     banded = staged.write("bands", bands(unique, band_rows(percent)))
     buckets = staged.write("buckets", banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("size")).filter("size > 1"))
     members = staged.write("members", banded.join(buckets, "bucket"))
     staged.drop("bands", "buckets")
 
-    pairs = members.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    open_ = members.filter("size > 2")
-    done = open_.select("bucket", F.col("hub").alias("id")).distinct()
-    open_ = open_.select("bucket", "id", "size")
-    links = tested = None
-    hubs = 8
-    while True:
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged.write("pairs", pairs)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        new = staged.write("links", confirmed(staged.write("likely", pruned(pairs, unique, percent)), docs, words, percent, staged))
-        links = new if links is None else links.unionByName(new)
+    pairs = staged.write("pairs", members.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
+    links = staged.write("links", confirmed(staged.write("likely", pruned(pairs, unique, percent)), docs, words, percent, staged))
+    labels = _labels(links, staged)
+    left = members.filter("size > 2").select("bucket", "id").join(unique.select("id", "n_shingles"), "id")
+    left = staged.write("left", _mixed(left, labels, staged))
+    if not left.isEmpty():
+        links = links.unionByName(staged.write("links", linked_blocks(left, unique, docs, words, percent, staged)))
         labels = _labels(links, staged)
-        # Members that have not been compared with their whole bucket yet, by component, of buckets with several.
-        left = _mixed(open_.join(done, ["bucket", "id"], "left_anti"), labels, staged)
-        crowded = staged.write("crowded", left.filter(F.col("size") > CROWD))
-        if not crowded.isEmpty():
-            links = links.unionByName(staged.write("links", linked_blocks(crowded, docs, words, percent, staged)))
-            labels = _labels(links, staged)
-        # Of crowded buckets no pair is left.
-        open_ = staged.write("open", left.filter(F.col("size") <= CROWD).select("bucket", "id", "size"))
-        left = _mixed(open_, labels, staged)
-        if left.isEmpty():
-            break
-        outside = left.filter("label <> largest")
-        chosen = outside.withColumn("n", F.row_number().over(Window.partitionBy("bucket").orderBy("id"))).filter(F.col("n") <= hubs)
-        chosen = staged.write("chosen", chosen.select("bucket", F.col("id").alias("hub"), F.col("label").alias("hub_label")))
-        done = chosen.select("bucket", F.col("hub").alias("id"))
-        across = left.join(chosen, "bucket").filter("label <> hub_label")
-        pairs = across.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
 
     grown = classes.join(labels, "id", "left").select(*same, F.coalesce("label", "id").alias("component_id"), "id", "copies")
     grown = staged.write("components", grown.filter("copies > 1 or component_id <> id").select(*same, "component_id"))

@@ -84,7 +84,7 @@ def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     """A 64-bit hash of each word: polynomial prefix sums over all bytes, cut at the word's bounds."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    size = 1 << max(21, len(data).bit_length())  # one pair of tables for all batches but those of a longer text
+    size = 1 << max(19, len(data).bit_length())  # one pair of tables for all batches but those of a longer text
     prefix = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * powers(size, _BASE)[: len(data)], out=prefix[1:])
     return mix((prefix[ends] - prefix[starts]) * powers(size, _INVERSE)[starts])
@@ -114,7 +114,7 @@ def span_hashes(words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.nda
     return mix((prefix[end] - prefix[begin]) * powers(up, _INVERSE)[begin])
 
 
-def batches(it, limit: int = (2 << 20) - 1):
+def batches(it, limit: int = (1 << 19) - 1):
     """Arrow batches cut so that each holds about `limit` bytes of text at most (one row at least)."""
     for batch in it:
         sizes = np.cumsum([0, *(len(x.as_buffer()) if x.is_valid else 0 for x in batch.column("text").cast(pa.large_binary()))])
