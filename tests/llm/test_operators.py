@@ -140,6 +140,69 @@ def test_repeats_around_a_common_core(spark):
         assert r.n_words == r.end - r.begin >= 50 and r.source_doc_id <= r.doc_id and passage in " ".join(texts[r.source_doc_id])
 
 
+def all_windows(docs):
+    """Marks of the words inside windows of 50 words that stand earlier, by plain comparison."""
+    seen, want = {}, {}
+    for d, t in sorted(set(docs)):
+        words = WORD.findall(lower(t))
+        marks = [0] * len(words)
+        for k in range(len(words) - 49):
+            if seen.setdefault(tuple(words[k : k + 50]), (d, k)) < (d, k):
+                marks[k : k + 50] = [1] * 50
+        if any(marks):
+            want[d] = marks
+    return want
+
+
+def test_partners_two_documents_apart(spark):
+    """Families of four share a passage of 50 words; the first word differs between odd and even members, so each repeat
+    stands two documents earlier and the neighbour in between does not hold it."""
+    rng = np.random.default_rng(11)
+    docs = []
+    for family in range(30):
+        passage = sentence(rng, 49)
+        for k in range(4):
+            docs.append((4 * family + k, f"{sentence(rng, 20)} x{family}{k % 2} {passage} {sentence(rng, 20)}"))
+    rows = suffix_dedup.repeated_passages(spark.createDataFrame(docs, DOCS).repartition(4)).collect()
+    assert covered(rows, docs) == all_windows(docs)
+    assert sum(r.doc_id % 4 == 3 and r.source_doc_id == r.doc_id - 2 for r in rows) == 30
+
+
+def test_two_short_repeats_make_no_long_one(spark):
+    """Passages of 42 words that overlap, each with another partner: no window of 50 words stands twice."""
+    rng = np.random.default_rng(12)
+    docs = []
+    for k in range(30):
+        joined = sentence(rng, 54).split()
+        docs += [(3 * k, f"{sentence(rng, 30)} {' '.join(joined[:42])} {sentence(rng, 30)}"), (3 * k + 1, f"{sentence(rng, 30)} {' '.join(joined[12:])} {sentence(rng, 30)}"), (3 * k + 2, f"{sentence(rng, 30)} {' '.join(joined)} {sentence(rng, 30)}")]
+    assert suffix_dedup.repeated_passages(spark.createDataFrame(docs, DOCS).repartition(4)).count() == 0
+
+
+def test_repeats_of_rows_that_share_an_id(spark):
+    rng = np.random.default_rng(13)
+    passage, other = sentence(rng, 60), sentence(rng, 55)
+    docs = [(1, f"{passage} one"), (2, f"two {passage}"), (2, f"{other} tail"), (2, f"{other} tail"), (3, f"start {other}"), (None, passage), (4, None)]
+    df = spark.createDataFrame([(d, t, 1, 2, 3) for d, t in docs], DOCS + ", spans int, print int, _spans int").repartition(3)
+    cut = suffix_dedup.without_repeats(df)
+    assert cut.columns == df.columns
+    got = sorted(((r.doc_id, (r.text or "").strip()) for r in cut.collect()), key=str)
+    assert got == sorted([(1, f"{passage} one"), (2, "two"), (2, f"{other} tail"), (2, f"{other} tail"), (3, "start"), (None, passage), (4, "")], key=str)
+    assert suffix_dedup.without_repeats(df.limit(0)).count() == 0
+
+
+def test_hot_block_over_many_batches(spark):
+    """A common passage in every document, with other words around it, sorted in batches of 16 rows."""
+    rng = np.random.default_rng(14)
+    hot, pair = sentence(rng, 58), sentence(rng, 12)
+    docs = [(k, f"{sentence(rng, 25)} {pair if k % 40 == 7 else ''} {hot} {'and' if k % 3 else 'or'} {sentence(rng, 25)}") for k in range(200)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        rows = suffix_dedup.repeated_passages(spark.createDataFrame(docs, DOCS).repartition(4)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert covered(rows, docs) == all_windows(docs)
+
+
 # --- near duplicates
 
 
