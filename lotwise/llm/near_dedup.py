@@ -256,7 +256,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = 5, id_co
     staged = Staged(spark, "near-dedup")
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     table = staged.write("signed", signed(docs, words))
-    narrow = table.select("doc_id", "n_shingles", "key1", "key2")
+    narrow = staged.write("narrow", table.select("doc_id", "n_shingles", "key1", "key2"))
     same = ["n_shingles", "key1", "key2"]
     classes = staged.write("classes", narrow.filter("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")))
     firsts = table.filter("n_shingles > 0").select(F.col("doc_id").alias("id"), "n_shingles", "signature").join(classes.select("id"), "id", "left_semi")
@@ -264,7 +264,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = 5, id_co
     banded = staged.write("bands", bands(unique, band_rows(percent)))
     buckets = staged.write("buckets", banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("size")).filter("size > 1"))
     members = staged.write("members", banded.join(buckets, "bucket"))
-    staged.drop("bands", "buckets")
+    staged.drop("signed", "bands", "buckets")
 
     pairs = staged.write("pairs", members.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
     links = staged.write("links", confirmed(staged.write("likely", pruned(pairs, unique, percent)), docs, words, percent, staged))

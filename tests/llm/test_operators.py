@@ -310,21 +310,79 @@ def test_neighbours_against_brute_force(spark):
 # --- toxicity
 
 
-def test_nearest_is_exact():
+def test_nearest_is_exact(monkeypatch):
     rng = np.random.default_rng(5)
-    rows = [(k, int(rng.integers(0, 2)), *map(list, zip(*sorted({int(t): int(rng.integers(1, 4)) for t in rng.integers(0, 40, rng.integers(1, 6))}.items())))) for k in range(500)]
-    idf = rng.uniform(1, 5, 40)
-    index = toxicity.Index.of(idf, rows)
-    dense = np.zeros((500, 40))
-    for k, _, t, n in rows:
-        dense[k, t] = (1 + np.log(n)) * idf[t]
-    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
-    for k in range(0, 500, 7):
-        t = np.array(rows[k][2])
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
+    monkeypatch.setattr(toxicity, "DENSE", 5)
+    held = rng.random((500, 40)) < np.linspace(0.02, 0.5, 40)
+    counts = held * rng.integers(1, 4, (500, 40))
+    counts[100:130] = counts[100]  # ties
+    weights, labels, ids = rng.uniform(1, 5, 40), rng.integers(0, 2, 500), rng.permutation(500)
+    example, term = np.nonzero(counts)
+    index = toxicity.Index.of(np.arange(40, dtype=np.uint64), weights, ids, labels, example, term, counts[example, term])
+    dense = np.where(held | (counts > 0), (1 + np.log(np.maximum(counts, 1))) * weights, 0) * (counts > 0)
+    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-30)
+    vectors = index.vectors(example, term.astype(np.uint64), counts[example, term], 500)
+    doc, found, cosine = index.nearest(*vectors, 500, 20)
+    for k in range(500):
         s = dense @ dense[k]
-        want = np.lexsort((np.arange(500), -s.round(12)))[:20]
-        near, cosine = index.nearest(t, dense[k, t], 20)
-        assert near.tolist() == want[s[want] > 0].tolist() and np.allclose(cosine, s[near])
+        want = np.lexsort((ids, -s.round(12)))[:20]
+        mine = doc == k
+        assert index.ids[found[mine]].tolist() == ids[want[s[want] > 0]].tolist()
+        assert np.allclose(cosine[mine], s[want[s[want] > 0]])
+
+
+def brute_scores(docs, labels):
+    """Scores by plain comparison of every document with every example, over dictionaries of words."""
+    import re
+
+    bags = [Counter(re.findall(rb"[0-9a-z\x80-\xff]+", lower(t).encode())) for _, t in docs]
+    df = Counter(w for bag in bags for w in bag)
+    examples = sorted((d, labels[d], bag) for (d, _), bag in zip(docs, bags) if d in labels)
+    share = sum(y for _, y, _ in examples) / len(examples)
+    held = [Counter(w for _, y, bag in examples if y == k for w in bag) for k in (0, 1)]
+
+    def weight(w):
+        odds = (held[1][w] + 10 * share) / (held[0][w] + 10 * (1 - share)) * (1 - share) / share
+        return np.log((len(docs) + 1) / (df[w] + 1)) * abs(np.log(odds)) if held[0][w] + held[1][w] else 0.0
+
+    def unit(bag):
+        v = {w: (1 + np.log(n)) * weight(w) for w, n in bag.items()}
+        norm = np.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items() if x} if norm else {}
+
+    vectors = [(d, y, unit(bag)) for d, y, bag in examples]
+    bare = [y for _, y, v in vectors if not v]
+    base = (sum(bare) + share) / (len(bare) + 1)
+
+    def vote(v, without=None):
+        near = sorted(((-round(sum(x * u.get(w, 0) for w, x in v.items()), 12), d, y) for d, y, u in vectors if d != without))[:20]
+        near = [n for n in near if n[0] < 0]
+        return sum(n[0] * n[2] for n in near) / sum(n[0] for n in near) if near else None
+
+    points = sorted((vote(v, d), y) for d, y, v in vectors if v and vote(v, d) is not None)
+    pools = []
+    for v, y in points:
+        pools.append([y, 1, v, v])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
+            last = pools.pop()
+            pools[-1] = [pools[-1][0] + last[0], pools[-1][1] + last[1], pools[-1][2], last[3]]
+    x, y = [(p[2] + p[3]) / 2 for p in pools], [(p[0] + 0.5 * base) / (p[1] + 0.5) for p in pools]
+    votes = [vote(unit(bag)) for bag in bags]
+    return {d: base if v is None else float(np.interp(v, x, y)) for (d, _), v in zip(docs, votes)}
+
+
+def test_toxicity_against_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(16)
+    monkeypatch.setattr(toxicity, "BLOCK", 8)
+    words = [f"w{k}" for k in range(60)]
+    text = lambda n: " ".join(rng.choice(words, n, p=np.arange(60, 0, -1) / 1830))
+    docs = [(k, text(int(rng.integers(1, 40))) + (" vile" if k % 5 == 0 and k % 7 else "")) for k in range(160)] + [(200, None), (201, ""), (202, "nothing-known"), (203, "Vile, vile")]
+    labels = {k: int(k % 5 == 0) for k in range(0, 160) if k % 3} | {202: 0}
+    table = spark.createDataFrame([*labels.items()], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.toxicity(spark.createDataFrame(docs, DOCS).repartition(3), table).collect()}
+    want = brute_scores(docs, labels)
+    assert got.keys() == want.keys() and all(abs(got[d] - want[d]) < 1e-9 for d in want)
 
 
 def test_toxicity(spark):
@@ -338,7 +396,10 @@ def test_toxicity(spark):
     assert got[1000].score < 0.3 > got[1001].score and got[1002].score >= 0.7 <= got[1003].score
     assert len(got[1002].evidence) == 20 and all(e.toxic for e in got[1002].evidence)
     assert {round(r.score, 3) for r in toxicity.toxicity(df, labels.limit(0)).collect()} == {0.0}
+    assert {round(r.score, 3) for r in toxicity.toxicity(df, labels.filter("toxic = 1")).collect()} == {1.0}
     assert toxicity.toxicity(df.limit(0), labels).count() == 0
+    again = toxicity.toxicity(df.unionByName(df).withColumn("score", F.lit("x")).withColumn("toxic", F.lit("y")), labels, F.col("doc_id") % 3 != 1)
+    assert again.count() == 808 and again.filter("doc_id = 1002").select("score").distinct().count() == 1
 
 
 # --- WARC
