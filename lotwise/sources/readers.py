@@ -12,13 +12,14 @@ from ..lookups import NA_TOKENS
 from ..schema import raw_listings
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
-    """CSV with a header, typed by a schema; the tokens are null in every column. An empty sequence keeps them as text."""
+def read_csv(spark: SparkSession, path: str, schema: str | None = None, na_tokens: Sequence[str] = NA_TOKENS, multi_line: bool = False) -> DataFrame:
+    """CSV with a header, typed by a schema; the tokens are null in every column. An empty sequence keeps them as text.
+    `multi_line` reads line breaks inside quotes, at the price of one task for each file."""
     from pyspark.sql.types import StringType, StructField, StructType
 
     fields = spark.createDataFrame([], schema or raw_listings()).schema.fields
     text = StructType([StructField(f.name, StringType()) for f in fields])
-    raw = spark.read.schema(text).option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+    raw = spark.read.schema(text).option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path)
     value = lambda c: F.when(F.trim(c).isin(*na_tokens), F.lit(None)).otherwise(c) if na_tokens else c
 
     def typed(f):
@@ -32,11 +33,16 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, na_token
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, *, partitions: int = 16, limit: int | None = None, **options: str) -> DataFrame:
-    """A database table, read in `partitions` ranges of its numeric `id`, which becomes source_pk."""
-    reader = spark.read.format("jdbc").options(url=url, **options)
-    low, high = reader.option("query", f"select coalesce(min(id), 0) lo, coalesce(max(id), 0) hi from {table}").load().first()
-    df = reader.option("dbtable", table).option("partitionColumn", "id").option("lowerBound", low).option("upperBound", high + 1).option("numPartitions", partitions).load()
-    return _from_database(df, limit)
+    """A database table, read in `partitions` ranges of its numeric `id` (in any case), which becomes source_pk."""
+
+    def scan(**more):
+        return spark.read.format("jdbc").options(url=url, **options, **more).load()
+
+    key = _key(scan(dbtable=table))
+    quoted = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(key)
+    low, high = scan(query=f"select min({quoted}) as lo, max({quoted}) as hi from {table}").first()
+    bounds = {} if low is None else {"partitionColumn": quoted, "lowerBound": low, "upperBound": high + 1, "numPartitions": partitions}
+    return _from_database(scan(dbtable=table, **bounds), limit)
 
 
 def read_table(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
@@ -44,10 +50,15 @@ def read_table(spark: SparkSession, path: str, limit: int | None = None) -> Data
     return _from_database(spark.read.parquet(path), limit)
 
 
-def _from_database(df: DataFrame, limit: int | None) -> DataFrame:
-    if "id" not in df.columns:
+def _key(df: DataFrame) -> str:
+    found = [c for c in df.columns if c.lower() == "id"]
+    if not found:
         raise ValueError("the table has no column 'id'")
-    df = df.withColumnRenamed("id", "source_pk")
+    return found[0]
+
+
+def _from_database(df: DataFrame, limit: int | None) -> DataFrame:
+    df = df.withColumnRenamed(_key(df), "source_pk")
     return df.limit(limit) if limit is not None else df
 
 

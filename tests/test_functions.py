@@ -112,5 +112,7 @@ def test_extraction_layers(spark):
     assert (two.brand, two.model, two.is_featured) == ("Zed", "One", False)
     assert (three.brand, three.model, three.year_raw, three.mileage_raw, three.color, three.registered_in, three.features) == ("Ace", "Two X", "2015", "90,000  km", "red", "Swat", ["ABS", "Air Bags"])
     assert (four.engine_capacity_raw, four.color, four.mileage_raw, four.transmission, four.price_raw, four.seller_comments, four.is_featured) == ("1300", "Silver", "130200", "Manual", "42.7 lacs", "Very good car", None)
-    assert (five.listing_id, five.features) == (77, ["Sun Roof"])
+    assert (five.listing_id, five.features) == (77, ["Sun  Roof"])  # nodes are joined by a blank; cleaning squeezes it
+    cleaned = web.extract_items(pages).filter("listing_id = 77").select(text.clean_feature_list(F.col("features")).alias("f"))
+    assert cleaned.first().f == ["Sun Roof"]
     assert (six.listing_id, six.title, six.brand) == (5, None, None)

@@ -72,6 +72,9 @@ def test_sinks(spark, tmp_path):
     assert sorted(table.read().collect()) == [(1, "a"), (2, None), (3, "c")]
     table.write(one, "append")
     assert table.read().count() == 5
+    table.write(spark.createDataFrame([(9, "z", 1)], "id long, v string, extra int"), "append")
+    assert table.read().count() == 6 and table.read().columns == ["id", "v", "extra"]
+    assert len(list((tmp_path / "t").glob("v=2-*"))) == 3  # an append leaves the snapshot's other parts alone
     with pytest.raises(ValueError):
         table.write(one, "merge")
     with pytest.raises(ValueError):
@@ -81,7 +84,32 @@ def test_sinks(spark, tmp_path):
     assert table.read().count() == 0
     assert sorted(r.id for r in sinks.insert_absent(one, two.unionByName(two), "id").collect()) == [1, 2, 3]
     tagged = sinks.tag_new(two, one, "id")
-    assert sinks.run_log(tagged, "2026-01-01 00:00:00", "2026-01-01 00:00:05").select("ads_scraped", "new_ads", "updated_ads", "duration_seconds").first() == (2, 1, 1, 5)
+    assert sinks.run_log(tagged, "2026-01-01 00:00:00", "2026-01-01 00:00:05").select("ads_scraped", "new_ads", "updated_ads", "errors", "duration_seconds").first() == (2, 1, 1, 0, 5)
+    log = sinks.run_log(tagged, "2026-01-01 00:00:00", "2026-01-01 00:00:05", failed=F.col("v").isNull()).first()
+    assert (log.ads_scraped, log.new_ads, log.updated_ads, log.errors) == (1, 1, 0, 1)
+
+
+def test_databases(spark, tmp_path):
+    url = "jdbc:derby:memory:lotwise;create=true"
+    for key in ("id", "ID"):
+        rows = spark.range(1, 41).select(F.col("id").alias(key), F.concat(F.lit("v"), "id").alias("label"))
+        sinks.write_jdbc(rows.filter("id <= 30"), url, f"ads_{key}", numPartitions="2")
+        sinks.write_jdbc(rows.filter("id > 30"), url, f"ads_{key}", "append")
+        got = readers.read_listings(spark, "jdbc", url=url, table=f"ads_{key}", partitions=4)
+        assert got.rdd.getNumPartitions() == 4 and sorted(r.source_pk for r in got.collect()) == list(range(1, 41))
+        sinks.write_jdbc(rows.filter("id = 7"), url, f"ads_{key}")
+        assert [(r.source_pk, r.label) for r in readers.read_jdbc(spark, url, f"ads_{key}", limit=5).collect()] == [(7, "v7")]
+        sinks.write_jdbc(rows.limit(0), url, f"ads_{key}")
+        assert readers.read_jdbc(spark, url, f"ads_{key}").count() == 0
+    with pytest.raises(ValueError):
+        sinks.write_jdbc(rows, url, "ads", "upsert")
+
+
+def test_csv_keeps_quotes_and_breaks(spark, tmp_path):
+    rows = [(1, 'say "hi", ok'), (2, 'two\nlines, "and" more'), (3, '"'), (4, "back\\slash")]
+    sinks.write_csv(spark.createDataFrame(rows, "id long, v string"), f"file://{tmp_path}/c")
+    got = readers.read_csv(spark, f"file://{tmp_path}/c", "id long, v string", multi_line=True)
+    assert sorted(tuple(r) for r in got.collect()) == rows
 
 
 def test_readers(spark, tmp_path):
