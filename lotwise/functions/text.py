@@ -22,7 +22,7 @@ def _nfkc(values: pd.Series) -> pd.Series:
 
 
 def nfkc(c: Column) -> Column:
-    """Unicode compatibility form. Only values outside ASCII cross to Python."""
+    """Unicode compatibility form. Values outside ASCII cross to Python in Arrow batches; others cross as nulls."""
     return F.coalesce(_nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
 
 

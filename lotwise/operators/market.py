@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,11 +48,28 @@ def market_features(df: DataFrame, keys: Sequence[str] = SEGMENT, price: str = "
     return df.join(stats, list(keys), "left").withColumns(comparisons(F.col(price), F.col(mileage), F.col(score)))
 
 
-def market_features_by_window(df: DataFrame, keys: Sequence[str] = SEGMENT, price: str = "price") -> DataFrame:
-    """The price comparisons by one window over each segment: one exchange of whole rows, for tables of very many segments."""
-    w = Window.partitionBy(*keys)
-    stats = {"market_avg_price": F.avg(price).over(w), "market_std_price": F.stddev_samp(price).over(w), "market_listing_count": F.count(price).over(w)}
-    return df.withColumns(stats).withColumns({k: v for k, v in comparisons(F.col(price), F.lit(None), F.lit(None)).items() if "price" in k or "percent" in k})
+def segment_and_city_statistics(df: DataFrame, keys: Sequence[str] = SEGMENT, city: str = "city", price: str = "price", mileage: str = "mileage", score: str = "equipment_score") -> DataFrame:
+    """The rows of `segment_statistics` and of `city_statistics` (those with is_city) from one pass over narrow rows."""
+    narrow = df.select(*keys, city, price, mileage, score)
+    sets = [[F.col(k) for k in keys], [F.col(city)]]
+    found = narrow.groupingSets(sets, *keys, city).agg(
+        F.grouping(keys[0]).cast("boolean").alias("is_city"),
+        F.avg(price).alias("market_avg_price"),
+        F.median(price).cast("double").alias("market_median_price"),
+        F.stddev_samp(price).alias("market_std_price"),
+        F.count(price).alias("market_listing_count"),
+        F.avg(mileage).alias("market_avg_mileage"),
+        F.avg(score).alias("market_avg_equipment_score"),
+        F.sum(price).alias("_total"),
+    )
+    return found.filter(F.when(F.col("is_city"), F.col(city).isNotNull()).otherwise(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])))
+
+
+def split_statistics(both: DataFrame, keys: Sequence[str] = SEGMENT, city: str = "city") -> tuple[DataFrame, DataFrame]:
+    """Segment statistics and city statistics out of `segment_and_city_statistics`."""
+    segments = both.filter("not is_city").select(*keys, "market_avg_price", "market_median_price", "market_std_price", "market_listing_count", "market_avg_mileage", "market_avg_equipment_score")
+    cities = both.filter("is_city").select(city, F.col("market_avg_price").alias("city_avg_price"), F.col("market_listing_count").alias("city_listing_count"), "_total")
+    return segments, cities
 
 
 def segment_counts(df: DataFrame, keys: Sequence[str] = SEGMENT) -> DataFrame:
@@ -63,10 +81,10 @@ def city_statistics(df: DataFrame, city: str = "city", price: str = "price") ->
     return df.select(city, price).dropna(subset=[city]).groupBy(city).agg(F.avg(price).alias("city_avg_price"), F.count(price).alias("city_listing_count"), F.sum(price).alias("_total"))
 
 
-def location_features(df: DataFrame, city: str = "city", price: str = "price", large: Sequence[str] = LARGE_CITIES, leave_one_out: bool = False) -> DataFrame:
-    """City size, mean price and count. The mean includes the row itself, which leaks a target into small cities;
-    `leave_one_out` takes it out (null for the only row)."""
-    joined = df.join(city_statistics(df, city, price), city, "left").withColumn("is_large_city", F.coalesce(F.col(city).isin(*large), F.lit(False)))
+def location_features(df: DataFrame, city: str = "city", price: str = "price", large: Sequence[str] = LARGE_CITIES, leave_one_out: bool = False, statistics: DataFrame | None = None) -> DataFrame:
+    """City size, mean price and count, from `statistics` where an earlier run saved them. The mean includes the row itself,
+    which leaks a target into small cities; `leave_one_out` takes it out (null for the only row)."""
+    joined = df.join(statistics if statistics is not None else city_statistics(df, city, price), city, "left").withColumn("is_large_city", F.coalesce(F.col(city).isin(*large), F.lit(False)))
     if leave_one_out:
         own = F.col(price).isNotNull().cast("int")
         joined = joined.withColumn("city_avg_price", ratio(F.col("_total") - F.coalesce(price, F.lit(0)), F.col("city_listing_count") - own))

@@ -21,6 +21,11 @@ def standardisation_counts(df: DataFrame, before: Column, after: Column, ignore_
     return df.agg(F.count_if(changed).alias("n_changed"), F.count_if(~changed).alias("n_same"), F.count_if(after == "Unknown").alias("n_unknown"))
 
 
+def repair_counts(df: DataFrame, missing: Column, after: Column) -> DataFrame:
+    """(n_filled, n_unknown) of a column after repair: rows that were missing and got a value, and those that found none."""
+    return df.agg(F.count_if(missing & (after != "Unknown")).alias("n_filled"), F.count_if(missing & (after == "Unknown")).alias("n_unknown"))
+
+
 def removal(before: DataFrame, after: DataFrame) -> DataFrame:
     """(n_before, n_after, percent_removed); an empty table has lost nothing."""
     n = before.agg(F.count("*").alias("n_before")).crossJoin(after.agg(F.count("*").alias("n_after")))

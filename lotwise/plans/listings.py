@@ -10,6 +10,7 @@ from ..config import DEFAULTS, Settings
 from ..functions import color, numeric, text
 from ..operators import cleaning, features, market
 from ..sources.readers import attach_source_pk
+from ..sources.scratch import staged
 
 
 def clean_nulls(df: DataFrame) -> DataFrame:
@@ -25,19 +26,34 @@ def clean_duplicates_and_impossibles(df: DataFrame, settings: Settings = DEFAULT
 
 
 def clean_listings(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    df = clean_nulls(cleaning.fill_blank(df, schema.OPTIONAL_TEXT))
-    df = color.clean_color_column(df).drop("color").withColumnRenamed("color_clean", "color")
-    return clean_duplicates_and_impossibles(df, settings)
+    """Clean rows, written once: repair reads the input twice (narrow, for body types, and whole), and everything after it
+    reads the written rows. No rule looks at a colour, so colours come last, from one narrow pass over what is left."""
+    rows = clean_duplicates_and_impossibles(clean_nulls(cleaning.fill_blank(df, schema.OPTIONAL_TEXT)), settings)
+    return color.clean_color_column(staged(rows, "clean")).drop("color").withColumnRenamed("color_clean", "color")
 
 
-def build_features(df: DataFrame, settings: Settings = DEFAULTS, include_log_price: bool = False, statistics: DataFrame | None = None) -> DataFrame:
-    """All derived columns. Standard text comes before what groups by it, flags before scores, scores before segments."""
+def row_features(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """What a row alone tells. Standard text comes before what groups by it, and flags before scores."""
     df = text.standardize_text_columns(df, schema.TEXT_COLUMNS)
     df = text.keyword_flags(df, lookups.SELLER_PHRASES | lookups.CONTAINS_PHRASES)
     df = features.add_scores(df, schema.SCORES | schema.SELLER_SCORES)
     date = F.col("scrape_date") if "scrape_date" in df.columns else None
-    df = df.withColumns(numeric.numeric_features(F.col("year"), F.col("mileage"), F.col("engine_capacity"), F.col("price"), date, settings))
-    df = market.location_features(market.market_features(df, statistics=statistics))
+    return df.withColumns(numeric.numeric_features(F.col("year"), F.col("mileage"), F.col("engine_capacity"), F.col("price"), date, settings))
+
+
+def statistics_of(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(segments, cities) of rows with standard text and scores, written once: what later runs read to score single ads."""
+    return market.split_statistics(staged(market.segment_and_city_statistics(df), "statistics"))
+
+
+def build_features(df: DataFrame, settings: Settings = DEFAULTS, include_log_price: bool = False, statistics: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """All derived columns. Segments and cities are compared with their own rows, or with `statistics` (segments, cities) that
+    an earlier run saved, so that one ad or a stream of them gets the same columns."""
+    if statistics is None:
+        narrow = text.standardize_text_columns(df, [*market.SEGMENT[:2], "city"])
+        statistics = statistics_of(features.add_scores(narrow, {"equipment_score": schema.SCORES["equipment_score"]}))
+    segments, cities = statistics
+    df = market.location_features(market.market_features(row_features(df, settings), statistics=segments), statistics=cities)
     log_price = F.log1p(F.greatest("price", F.lit(0))) if include_log_price else F.lit(None).cast("double")
     return df.withColumn("log_price", log_price)
 
@@ -58,11 +74,15 @@ def process_listings(raw: DataFrame, settings: Settings = DEFAULTS, include_log_
 
 def refresh_segments(processed: DataFrame, raw: DataFrame, changed: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Processed rows to merge after some raw rows changed (`changed`: brand, model, year and city of rows before and
-    after, in standard form): those of every touched segment or city, rebuilt. Statistics need the whole segment, so rows
-    are picked after cleaning and before features."""
+    after, in standard form): those of every touched segment or city, rebuilt. Features are built for these rows alone, and
+    statistics for their segments and cities, which need all rows of both but no more than narrow ones."""
     ready = text.standardize_text_columns(clean_listings(attach_source_pk(raw), settings), schema.TEXT_COLUMNS)
-    by_segment = ready.join(changed.select(*market.SEGMENT).distinct(), list(market.SEGMENT), "left_semi").select("source_pk")
-    by_city = ready.join(changed.select("city").distinct(), "city", "left_semi").select("source_pk")
-    keys = by_segment.unionByName(by_city).distinct()
-    built = build_features(ready, settings).join(keys, "source_pk", "left_semi")
+    in_segment = changed.select(*market.SEGMENT).distinct().withColumn("_segment", F.lit(True))
+    in_city = changed.select("city").distinct().withColumn("_city", F.lit(True))
+    marked = ready.join(in_segment, list(market.SEGMENT), "left").join(in_city, "city", "left")
+    touched = staged(marked.filter("_segment or _city").drop("_segment", "_city"), "touched")
+    scored = features.add_scores(ready, {"equipment_score": schema.SCORES["equipment_score"]})
+    segments = market.segment_statistics(scored.join(touched.select(*market.SEGMENT).distinct(), list(market.SEGMENT), "left_semi"))
+    cities = market.city_statistics(scored.join(touched.select("city").distinct(), "city", "left_semi"))
+    built = build_features(touched, settings, statistics=(segments, cities))
     return select_processed(built.drop("listing_id").withColumnRenamed("source_pk", "listing_id"))

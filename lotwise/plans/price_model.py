@@ -28,6 +28,15 @@ def train(df: DataFrame, categories: Sequence[str], numbers: Sequence[str], targ
     return Pipeline(stages=stages).fit(_numeric(df, [*numbers, target]))
 
 
+def save(model: PipelineModel, path: str) -> None:
+    """The model with its encoders, in a folder that `load` reads; an older one there is replaced."""
+    model.write().overwrite().save(path)
+
+
+def load(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def score(model: PipelineModel, df: DataFrame, numbers: Sequence[str], target: str = "price") -> DataFrame:
     """`df` with predicted_price and price_difference, the asked minus the fair price; works on one row or a stream."""
     out = model.transform(_numeric(df, [*numbers, target]))

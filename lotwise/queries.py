@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +13,7 @@ from .functions import color, numeric, text, web
 from .operators import cleaning, features, market, profile, streak
 from .plans import ingest, listings, price_model
 from .sources import readers, sinks
+from .sources.scratch import scratch
 from .streaming import ingest as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,18 +34,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-_own_dirs: dict[str, str] = {}
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of the cluster, or in a temporary one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        app = spark.sparkContext.applicationId
-        base = _own_dirs.get(app) or _own_dirs.setdefault(app, "file://" + tempfile.mkdtemp(prefix="spark-"))
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as offers of parts: whole cents, so that sums do not depend on their order."""
     items, parts = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "part")
@@ -97,14 +84,19 @@ def market_comparison(spark, sf_dir):
     return df.select("l_orderkey", "l_linenumber", *[F.round(c, n).alias(c) for c, n in (("market_price_difference", 6), ("market_price_ratio", 9), ("mileage_difference", 6))], "better_equipped_than_average")
 
 
-@query("""SELECT l_orderkey, l_linenumber, count(*) OVER w AS market_listing_count,
-  round((avg(price) OVER w - price) / avg(price) OVER w * 100, 6) AS percent_below_market
-FROM (SELECT l_orderkey, l_linenumber, l_suppkey, l_returnflag, round(l_extendedprice * 100)::BIGINT AS price FROM lineitem)
+@query("""SELECT l_orderkey, l_linenumber, count(*) OVER w AS market_listing_count, median(price) OVER w AS market_median_price,
+  round((avg(price) OVER w - price) / avg(price) OVER w * 100, 6) AS percent_below_market, round(mileage - avg(mileage) OVER w, 6) AS mileage_difference,
+  equipment_score > avg(equipment_score) OVER w AS better_equipped_than_average
+FROM (SELECT l_orderkey, l_linenumber, l_suppkey, l_returnflag, round(l_extendedprice * 100)::BIGINT AS price, l_quantity::BIGINT AS mileage, l_linenumber % 5 AS equipment_score FROM lineitem)
 WINDOW w AS (PARTITION BY l_suppkey, l_returnflag)""")
 def market_window(spark, sf_dir):
-    items = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", F.round(F.col("l_extendedprice") * 100).cast("long").alias("price"))
-    df = market.market_features_by_window(items, ["l_suppkey", "l_returnflag"])
-    return df.select("l_orderkey", "l_linenumber", "market_listing_count", F.round("percent_below_market", 6).alias("percent_below_market"))
+    """Comparisons with large segments, as a window would give them, from narrow aggregates that are joined back."""
+    items = read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", F.round(F.col("l_extendedprice") * 100).cast("long").alias("price"),
+        F.col("l_quantity").cast("long").alias("mileage"), (F.col("l_linenumber") % 5).alias("equipment_score"),
+    )
+    df = market.market_features(items, ["l_suppkey", "l_returnflag"])
+    return df.select("l_orderkey", "l_linenumber", "market_listing_count", "market_median_price", *[F.round(c, 6).alias(c) for c in ("percent_below_market", "mileage_difference")], "better_equipped_than_average")
 
 
 @query(f"""WITH {OFFERS} SELECT count(*) AS segments, count(*) FILTER (market_listing_count = 1) AS singletons FROM stats""")
@@ -158,6 +150,17 @@ def fill_from_mode(spark, sf_dir):
     return cleaning.fill_from_mode(read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", label.alias("label")), "label", ["p_brand", "p_size"])
 
 
+@query("""WITH p AS (SELECT p_brand, p_size, p_partkey % 7 = 0 OR p_partkey % 11 = 0 AS missing FROM part),
+known AS (SELECT DISTINCT p_brand, p_size FROM p WHERE NOT missing)
+SELECT count(*) FILTER ((p_brand, p_size) IN (SELECT (p_brand, p_size) FROM known)) AS n_filled, count(*) FILTER ((p_brand, p_size) NOT IN (SELECT (p_brand, p_size) FROM known)) AS n_unknown
+FROM p WHERE missing""")
+def fill_counts(spark, sf_dir):
+    """How many labels were missing and filled, and for how many there was no value."""
+    label = F.when(F.col("p_partkey") % 7 == 0, F.lit(None)).when(F.col("p_partkey") % 11 == 0, F.lit(" n/a")).otherwise(F.col("p_type"))
+    parts = read(spark, sf_dir, "part").select("p_brand", "p_size", label.alias("before"), label.alias("label"))
+    return profile.repair_counts(cleaning.fill_from_mode(parts, "label", ["p_brand", "p_size"]), cleaning.is_missing_label(F.col("before")), F.col("label"))
+
+
 @query("SELECT event_id, ts, user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1")
 def keep_first(spark, sf_dir):
     return cleaning.keep_first(read(spark, sf_dir, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select("event_id", "ts", "user_id", "event_type")
@@ -248,7 +251,7 @@ def standardize_text(spark, sf_dir):
 def _sql_color(c: str) -> str:
     """The colour rules as a CASE, for values in lower case without punctuation."""
     fixed = c
-    for word, good in sorted(((w, g) for g, ws in lookups.SPELLING_FIXES.items() for w in ws), key=lambda x: -len(x[0])):
+    for word, good in sorted(lookups.SPELLING_FIXES.items(), key=lambda x: -len(x[0])):
         fixed = f"regexp_replace({fixed}, '\\b{word}\\b', '{good}', 'g')"
     return fixed
 
@@ -257,7 +260,7 @@ def _sql_verdict(c: str) -> str:
     named = " + ".join(f"regexp_matches({c}, '\\b{w}\\b')::INT" for w in lookups.CANONICAL_COLORS)
     multi = " OR ".join(f"regexp_matches({c}, '{p}')" for p in lookups.MULTICOLOR_PATTERNS)
     direct = " ".join(f"WHEN contains({c}, '{w}') THEN '{n}'" for w, n in lookups.DIRECT_COLORS.items())
-    special = " ".join(f"WHEN regexp_matches({c}, '\\b{w}\\b') THEN '{n}'" for w, n in sorted(((w, n) for n, ws in lookups.SPECIAL_COLORS.items() for w in ws), key=lambda x: -len(x[0])))
+    special = " ".join(f"WHEN regexp_matches({c}, '\\b{w}\\b') THEN '{n}'" for w, n in sorted(lookups.SPECIAL_COLORS.items(), key=lambda x: -len(x[0])))
     garbage = ", ".join(f"'{g}'" for g in lookups.GARBAGE_COLORS)
     return (
         f"CASE WHEN {c} = '' OR {c} IN ({garbage}) OR NOT regexp_matches({c}, '[a-zA-Z]') THEN 'Unknown' WHEN {multi} OR ({named}) >= 2 "
@@ -363,10 +366,10 @@ def upsert(spark, sf_dir):
     return table.read()
 
 
-@query(f"WITH {_ORDERS} SELECT count(*) AS ads_scraped, count(*) FILTER (o_orderkey NOT IN (SELECT o_orderkey FROM base)) AS new_ads, count(*) FILTER (o_orderkey IN (SELECT o_orderkey FROM base)) AS updated_ads, 90::BIGINT AS duration_seconds FROM delta")
+@query(f"WITH {_ORDERS} SELECT count(*) FILTER (o_orderstatus IS NOT NULL) AS ads_scraped, count(*) FILTER (o_orderstatus IS NOT NULL AND o_orderkey NOT IN (SELECT o_orderkey FROM base)) AS new_ads, count(*) FILTER (o_orderstatus IS NOT NULL AND o_orderkey IN (SELECT o_orderkey FROM base)) AS updated_ads, count(*) FILTER (o_orderstatus IS NULL) AS errors, 90::BIGINT AS duration_seconds FROM delta")
 def run_log(spark, sf_dir):
     base, delta = _orders(spark, sf_dir)
-    return sinks.run_log(sinks.tag_new(delta, base, "o_orderkey"), "2026-01-01 00:00:00", "2026-01-01 00:01:30").select("ads_scraped", "new_ads", "updated_ads", "duration_seconds")
+    return sinks.run_log(sinks.tag_new(delta, base, "o_orderkey"), "2026-01-01 00:00:00", "2026-01-01 00:01:30", failed=F.col("o_orderstatus").isNull()).select("ads_scraped", "new_ads", "updated_ads", "errors", "duration_seconds")
 
 
 @query(f"WITH {_ORDERS} SELECT * FROM base UNION ALL SELECT * FROM delta WHERE o_orderkey NOT IN (SELECT o_orderkey FROM base)")
@@ -423,13 +426,13 @@ def next_page(spark, sf_dir):
 @query()
 def extract_items(spark, sf_dir):
     """Raw items of all pages; they hold titles alone, so the fallbacks of fuller pages are tested on fixtures."""
-    return web.extract_items(read(spark, sf_dir, "pages")).drop("features")
+    return web.extract_items(read(spark, sf_dir, "pages")).withColumn("features", F.sort_array("features"))
 
 
 @query()
 def pages_to_listings(spark, sf_dir):
     pages = read(spark, sf_dir, "pages").withColumn("url", F.concat("url", F.lit("-"), (F.col("page_id") + 1).cast("string")))
-    return ingest.pages_to_listings(pages).drop(*schema.FEAT[5:])
+    return ingest.pages_to_listings(pages)
 
 
 def raw_view(spark, sf_dir) -> DataFrame:
@@ -451,40 +454,117 @@ def raw_view(spark, sf_dir) -> DataFrame:
     return j.select(*[v.alias(n) for n, v in labels.items()], *[v.alias(n) for n, v in flags.items()])
 
 
-@query("""WITH r AS (SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey AS id, l_orderkey * 10 + l_linenumber AS ad, p_brand, p_type, year(l_shipdate)::INT + 10 AS year, n_name, (l_quantity * 4000)::BIGINT AS mileage, p_size % 4 AS size, l_suppkey % 30 + 1 AS cc,
-    round(l_extendedprice * 100)::BIGINT AS price, year(l_shipdate)::INT + 20 AS seen
+_LISTINGS = """WITH r AS (SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey AS id, l_orderkey * 10 + l_linenumber AS ad, p_name, p_brand, p_type, year(l_shipdate)::INT + 10 AS year, n_name, (l_quantity * 4000)::BIGINT AS mileage,
+    'Type ' || p_size % 4 AS body, l_suppkey % 30 + 1 AS cc, round(l_extendedprice * 100)::BIGINT AS price, year(l_shipdate)::INT + 20 AS seen
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+modes AS (SELECT p_brand, p_type, body AS mode FROM (SELECT p_brand, p_type, body, count(*) AS n FROM r WHERE id % 13 <> 0 GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY p_brand, p_type ORDER BY n DESC, body) = 1),
 c AS (SELECT * FROM r WHERE id % 29 <> 0 QUALIFY row_number() OVER (PARTITION BY ad ORDER BY id) = 1),
-k AS (SELECT * FROM c WHERE price > 0 AND year BETWEEN 1900 AND 2027)
-SELECT id AS listing_id, year, mileage, greatest(0, seen - year) AS car_age, CASE WHEN id % 17 = 0 THEN 0 ELSE cc * 100 END::DOUBLE AS engine_capacity,
-  round(avg(price) OVER s, 6) AS market_avg_price, count(*) OVER s AS market_listing_count, round(price / avg(price) OVER s, 9) AS market_price_ratio, count(*) OVER t AS city_listing_count,
-  id % 3 = 0 AS seller_urgent_sale, id % 4 = 0 AS seller_price_negotiable, id % 3 = 0 AS contains_first_owner, (id % 3 = 0)::INT + (id % 4 = 0)::INT AS seller_urgency_score, coalesce(id % 2 = 0, false) AS is_featured
-FROM k WINDOW s AS (PARTITION BY p_brand, p_type, year), t AS (PARTITION BY n_name)""")
+k AS (SELECT *, CASE WHEN id % 17 = 0 THEN 0 ELSE cc * 100 END::DOUBLE AS engine, greatest(0, seen - year) AS age, FEATS FROM c WHERE price > 0 AND year BETWEEN 1900 AND 2027),
+e AS (SELECT k.*, CASE WHEN id % 13 = 0 THEN coalesce(mode, 'Unknown') ELSE body END AS body_type, mileage / (greatest(1, age) * 9500.0) AS usage, SCORES FROM k LEFT JOIN modes USING (p_brand, p_type))
+SELECT COLUMNS FROM e WINDOW s AS (PARTITION BY p_brand, p_type, year), t AS (PARTITION BY n_name)"""
+
+
+def _listing_columns(log_price: str) -> dict[str, str]:
+    """SQL of each processed column over the rows `e`."""
+    title = lambda c: f"upper(substr({c}, 1, 1)) || lower(substr({c}, 2))"
+    r = lambda x: f"round({x}, 6)"
+    hits = {"seller_urgent_sale": "id % 3 = 0", "seller_price_negotiable": "id % 4 = 0", "contains_first_owner": "id % 3 = 0"}
+    mean = "avg(price) OVER s"
+    columns = {
+        "listing_id": "id", "brand": "p_brand", "model": title("p_type"), "year": "year", "city": title("n_name"), "mileage": "mileage",
+        "fuel_type": "CASE WHEN id % 17 = 0 THEN 'Electric' ELSE 'Petrol' END", "transmission": "'Manual'", "engine_capacity": "engine", "body_type": "body_type",
+        "color": "CASE WHEN p_name LIKE 'red %' THEN 'Red' WHEN p_name LIKE 'blue %' THEN 'Blue' WHEN p_name LIKE 'green %' THEN 'Green' ELSE 'Unknown' END",
+        "registered_in": "'Lahore'", "assembly": "'Local'", "is_featured": "coalesce(id % 2 = 0, false)", "car_age": "age::INT", "mileage_per_year": r("mileage / greatest(1, age)"),
+        "is_new_car": "age <= 1", "is_very_old": "age > 15",
+        "engine_size_category": "CASE WHEN engine <= 0 THEN 'Electric' WHEN engine <= 800 THEN '<=800cc' WHEN engine <= 1000 THEN '801-1000cc' WHEN engine <= 1300 THEN '1001-1300cc' "
+        "WHEN engine <= 1600 THEN '1301-1600cc' WHEN engine <= 2000 THEN '1601-2000cc' WHEN engine <= 2500 THEN '2001-2500cc' WHEN engine <= 3000 THEN '2501-3000cc' ELSE '3000cc+' END",
+        "mileage_category": "CASE WHEN mileage <= 20000 THEN '<20k' WHEN mileage <= 50000 THEN '20k-50k' WHEN mileage <= 100000 THEN '50k-100k' WHEN mileage <= 150000 THEN '100k-150k' ELSE '150k+' END",
+        "mileage_ratio": r("usage"), "is_high_mileage": "usage > 1.2", "is_low_mileage": "usage < 0.5", "log_mileage": r("ln(1 + mileage)"), "log_engine_capacity": r("ln(1 + engine)"),
+        **{c: c for c in [*schema.FEAT, *schema.SCORES]},
+        **{c: hits.get(c, "false") for c in [*schema.SELLER_FLAGS, *schema.CONTAINS]},
+        "seller_confidence_score": "0", "seller_risk_score": "0", "seller_urgency_score": "(id % 3 = 0)::INT + (id % 4 = 0)::INT",
+        "market_avg_mileage": r("avg(mileage) OVER s"), "mileage_difference": r("mileage - avg(mileage) OVER s"), "market_avg_equipment_score": r("avg(equipment_score) OVER s"),
+        "better_equipped_than_average": "equipment_score > avg(equipment_score) OVER s", "is_large_city": "false", "city_avg_price": r("avg(price) OVER t"), "city_listing_count": "count(*) OVER t",
+        "price": "price", "description": "CASE WHEN id % 3 = 0 THEN 'Urgent sale, first owner' ELSE '' END", "seller_comments": "CASE WHEN id % 4 = 0 THEN 'Price is flexible.' ELSE '' END",
+        "price_per_cc": r("price / nullif(engine, 0)"), "mileage_density": r("mileage / nullif(engine, 0)"), "log_price": log_price, "market_price_difference": r(f"price - {mean}"),
+        "market_price_ratio": r(f"price / {mean}"), "percent_below_market": r(f"({mean} - price) / ({mean}) * 100"), "market_avg_price": r(mean), "market_median_price": "median(price) OVER s",
+        "market_std_price": "round(stddev_samp(price) OVER s, 3)", "market_listing_count": "count(*) OVER s",
+    }
+    return columns
+
+
+def _listing_sql(columns: list[str], log_price: str = "NULL::DOUBLE") -> str:
+    made = _listing_columns(log_price)
+    feats = ", ".join(f"(id + {n}) % {n + 2} = 0 AS {c}" for n, c in enumerate(schema.FEAT))
+    scores = ", ".join(" + ".join(f"{c}::INT" for c in flags) + f" AS {name}" for name, flags in schema.SCORES.items())
+    return _LISTINGS.replace("FEATS", feats).replace("SCORES", scores).replace("COLUMNS", ", ".join(f"{made[c]} AS {c}" for c in columns))
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    digits = {"market_std_price": 3}
+    return df.select(*[F.round(c, digits.get(c, 6)).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes])
+
+
+@query(_listing_sql(schema.PROCESSED))
 def process_listings(spark, sf_dir):
-    df = listings.process_listings(raw_view(spark, sf_dir))
-    return df.select("listing_id", "year", "mileage", "car_age", "engine_capacity", F.round("market_avg_price", 6).alias("market_avg_price"), "market_listing_count", F.round("market_price_ratio", 9).alias("market_price_ratio"), "city_listing_count", "seller_urgent_sale", "seller_price_negotiable", "contains_first_owner", "seller_urgency_score", "is_featured")
+    """All 127 columns."""
+    return _rounded(listings.process_listings(raw_view(spark, sf_dir)))
 
 
-@query()
+@query(_listing_sql(schema.PROCESSED, "round(ln(1 + price), 6)"))
 def processed_table(spark, sf_dir):
     """All 127 columns, as written and read back."""
     path = scratch(spark, "processed")
     df = listings.process_listings(raw_view(spark, sf_dir), Settings(), include_log_price=True)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return _rounded(spark.read.parquet(path))
 
 
-@query()
+@query(_listing_sql(schema.TRAINING))
 def training_table(spark, sf_dir):
-    return listings.process_listings(raw_view(spark, sf_dir)).select(*schema.TRAINING)
+    return _rounded(listings.process_listings(raw_view(spark, sf_dir)).select(*schema.TRAINING))
+
 
+_TOUCHED = "SELECT * FROM (" + _listing_sql(["listing_id", "brand", "model", "year", "city", "market_listing_count", "city_listing_count", "market_avg_price", "city_avg_price"]) + ")"
 
-@query("SELECT c_custkey, c_name, c_nationkey, round(c_acctbal * 100)::BIGINT AS cents, nullif(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer")
+
+@query(f"""WITH whole AS ({_TOUCHED}), changed AS (
+  SELECT p_brand AS brand, upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2)) AS model, year(l_shipdate)::INT + 10 AS year, 'Nation_3' AS city
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  WHERE p_brand = 'Brand#7' AND n_name = 'NATION_3' AND (((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey) % 29 <> 0)
+SELECT * FROM whole WHERE (brand, model, year) IN (SELECT (brand, model, year) FROM changed) OR city IN (SELECT city FROM changed)""")
+def refresh_segments(spark, sf_dir):
+    """Rows to merge after one brand's ads of one city changed: those of their segments and of the city."""
+    raw = raw_view(spark, sf_dir)
+    changed = raw.filter("brand = 'brand#7' and city = 'NATION_3' and registered_in is not null").select(F.initcap("brand").alias("brand"), F.initcap("model").alias("model"), "year", F.initcap("city").alias("city"))
+    part = _rounded(listings.refresh_segments(None, raw, changed))
+    return part.select("listing_id", "brand", "model", "year", "city", "market_listing_count", "city_listing_count", "market_avg_price", "city_avg_price")
+
+
+@query(f"""WITH whole AS ({_TOUCHED}) SELECT listing_id, market_listing_count, city_listing_count, market_avg_price, city_avg_price FROM whole WHERE listing_id % 10 = 3""")
+def score_with_saved_statistics(spark, sf_dir):
+    """Some ads, given the columns that they have among all, from segments and cities that were saved before."""
+    ready = listings.clean_listings(readers.attach_source_pk(raw_view(spark, sf_dir)))
+    scored = features.add_scores(text.standardize_text_columns(ready, schema.TEXT_COLUMNS), {"equipment_score": schema.SCORES["equipment_score"]})
+    saved = listings.statistics_of(scored)
+    built = _rounded(listings.build_features(ready.filter("source_pk % 10 = 3"), statistics=saved))
+    return built.select(F.col("source_pk").alias("listing_id"), "market_listing_count", "city_listing_count", "market_avg_price", "city_avg_price")
+
+
+@query("""SELECT c_custkey, c_name || ' said "hi", ok' || chr(10) || 'and "left"' AS c_name, c_nationkey, round(c_acctbal * 100)::BIGINT AS cents, nullif(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer""")
 def csv_round_trip(spark, sf_dir):
     path = scratch(spark, "csv")
-    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", F.round(F.col("c_acctbal") * 100).cast("long").alias("cents"), F.when(F.col("c_mktsegment") == "BUILDING", F.lit("N/A")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
+    customers = read(spark, sf_dir, "customer").select("c_custkey", F.concat("c_name", F.lit(' said "hi", ok\nand "left"')).alias("c_name"), "c_nationkey", F.round(F.col("c_acctbal") * 100).cast("long").alias("cents"), F.when(F.col("c_mktsegment") == "BUILDING", F.lit("N/A")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
     sinks.write_csv(customers, path)
-    return readers.read_csv(spark, path, "c_custkey long, c_name string, c_nationkey int, cents long, c_mktsegment string")
+    return readers.read_csv(spark, path, "c_custkey long, c_name string, c_nationkey int, cents long, c_mktsegment string", multi_line=True)
+
+
+@query("SELECT o_orderkey AS source_pk, o_totalprice FROM orders")
+def read_by_source(spark, sf_dir):
+    """A stored table, read by the name of its source."""
+    path = scratch(spark, "stored")
+    read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_totalprice").write.parquet(path)
+    return readers.read_listings(spark, "parquet", path=path)
 
 
 @query("SELECT r_regionkey AS source_pk, r_name FROM region UNION ALL SELECT n_nationkey + 100, n_name FROM nation")
@@ -509,19 +589,31 @@ def summaries(spark, sf_dir):
     return profile.max_key(read(spark, sf_dir, "orders"), "o_orderkey").crossJoin(profile.distinct_counts(read(spark, sf_dir, "customer"), "c_nationkey")).crossJoin(means)
 
 
-@query("SELECT user_id, event_id, event_type, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, event_type DESC) = 1")
-def stream_upsert(spark, sf_dir):
-    """Events in three landed files, each a batch of a stream, merged by user."""
-    landed = scratch(spark, "landed")
+def _merged_stream(spark, sf_dir) -> tuple[sinks.SnapshotTable, str]:
+    """Events that land in three parts, each merged by user as it comes; the table and the folder of the run log."""
+    landed, runs = scratch(spark, "landed"), scratch(spark, "runs")
     events = read(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
-    for n in range(3):
-        events.filter(F.col("event_id") % 3 == n).coalesce(1).write.mode("append").parquet(landed)
     ordered = lambda df: df.withColumn("_at", F.struct("ts", "event_id"))
     table = sinks.SnapshotTable(spark, scratch(spark, "latest"), "user_id", "user_id long, event_id long, event_type string, ts timestamp_ntz, _at struct<ts:timestamp_ntz,event_id:long>")
-    stream = streaming.read_stream(spark, landed, events.schema, files_per_batch=1)
     merged = lambda df: sinks.latest(ordered(df).unionByName(table.read()), "user_id", "_at")
-    streaming.upsert_stream(stream, table, "_at", scratch(spark, "stream"), scratch(spark, "runs"), prepare=merged).awaitTermination()
-    return table.read().drop("_at")
+    checkpoint = scratch(spark, "stream")
+    for n in range(3):  # a run after each landing goes on where the one before ended
+        events.filter(F.col("event_id") % 3 == n).write.mode("append").parquet(landed)
+        stream = streaming.read_stream(spark, landed, events.schema)
+        streaming.upsert_stream(stream, table, "_at", checkpoint, runs, prepare=merged).awaitTermination()
+    return table, runs
+
+
+@query("SELECT user_id, event_id, event_type, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, event_type DESC) = 1")
+def stream_upsert(spark, sf_dir):
+    return _merged_stream(spark, sf_dir)[0].read().drop("_at")
+
+
+@query("SELECT count(DISTINCT user_id) AS new_ads FROM events")
+def stream_log(spark, sf_dir):
+    """New keys of all batches of the merging stream, by its run log."""
+    runs = _merged_stream(spark, sf_dir)[1]
+    return spark.read.option("basePath", runs).parquet(f"{runs}/batch=*").agg(F.sum("new_ads").alias("new_ads"))
 
 
 @query("""WITH marked AS (SELECT *, (event_type IN ('error', 'view')) AS hit FROM events),
@@ -529,23 +621,17 @@ runs AS (SELECT *, sum((NOT hit)::INT) OVER (PARTITION BY user_id ORDER BY ts, e
 s AS (SELECT *, sum(hit::INT) OVER (PARTITION BY user_id, run ORDER BY ts, event_id) AS streak FROM runs)
 SELECT user_id::VARCHAR AS feed, arg_max(streak, (ts, event_id))::BIGINT AS streak, max(streak) >= 4 AS cut_off FROM s GROUP BY user_id""")
 def stream_streak(spark, sf_dir):
+    """Events that land in two parts, the earlier half first, each followed by a run that goes on from the state before."""
     landed, out = scratch(spark, "feed"), scratch(spark, "streaks")
     events = read(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
-    middle = events.agg(F.percentile(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).first()[0]
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    middle = events.agg(F.percentile(at, 0.5)).first()[0]
     for late in (False, True):
-        events.filter((F.unix_micros(F.col("ts").cast("timestamp")) > middle) == late).coalesce(1).write.mode("append").parquet(landed)
-    files = spark.read.parquet(landed).select(F.input_file_name().alias("f"), "ts").groupBy("f").agg(F.min("ts").alias("t")).orderBy("t").collect()
-    by_time = scratch(spark, "ordered")
-    for n, r in enumerate(files):
-        spark.read.parquet(r.f).coalesce(1).write.mode("append").parquet(f"{by_time}/part={n}")
-    q = None
-    for n in range(len(files)):  # one run for each landed part, as a daily job would
-        stream = streaming.read_stream(spark, f"{by_time}/part={{{','.join(map(str, range(n + 1)))}}}", events.schema)
-        found = streaming.streak_stream(stream, F.col("event_type").isin("error", "view"), "user_id", ["ts", "event_id"], 4)
-        q = found.writeStream.outputMode("update").foreachBatch(lambda b, i: b.withColumn("batch", F.lit(i)).write.mode("append").parquet(out)).option("checkpointLocation", f"{out}-log").trigger(availableNow=True).start()
-        q.awaitTermination()
-    rows = spark.read.parquet(out)
-    return sinks.latest(rows, "feed", "batch").drop("batch")
+        events.filter((at > middle) == late).write.mode("append").parquet(landed)
+        found = streaming.streak_stream(streaming.read_stream(spark, landed, events.schema, files_per_batch=1_000_000), F.col("event_type").isin("error", "view"), "user_id", ["ts", "event_id"], 4)
+        save = lambda b, i: b.withColumn("batch", F.lit(i)).write.mode("append").parquet(out)
+        found.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", f"{out}-log").trigger(availableNow=True).start().awaitTermination()
+    return sinks.latest(spark.read.parquet(out), "feed", "batch").drop("batch")
 
 
 @query()
@@ -558,6 +644,26 @@ def fair_prices(spark, sf_dir):
     return scored.orderBy("price_difference").limit(50)
 
 
+@query("SELECT count(*) AS n_offers, 0::BIGINT AS n_differ FROM lineitem JOIN part ON l_partkey = p_partkey")
+def saved_model(spark, sf_dir):
+    """A forest that is saved, loaded and asked again: it answers as before."""
+    df, path = offers(spark, sf_dir), scratch(spark, "model")
+    numbers = ["year", "mileage", "equipment_score"]
+    model = price_model.train(df, ["brand", "model"], numbers, trees=2, depth=3)
+    price_model.save(model, path)
+    before = price_model.score(model, df, numbers).withColumnRenamed("predicted_price", "before")
+    both = price_model.score(price_model.load(path), before.drop("price_difference"), numbers)
+    return both.agg(F.count("*").alias("n_offers"), F.count_if(F.col("before") != F.col("predicted_price")).alias("n_differ"))
+
+
+@query(f"""WITH {OFFERS}, p AS (SELECT price, market_median_price AS predicted, (market_avg_price - price) / market_avg_price * 100 AS below FROM offers JOIN stats USING (brand, model, year))
+SELECT (floor(below / 10) * 10)::BIGINT AS bucket, count(*) AS n, round(avg(abs(price - predicted)), 4) AS mae FROM p GROUP BY 1""")
+def error_by_distance(spark, sf_dir):
+    """Errors of the median as a price, by distance from the market."""
+    df = market.market_features(offers(spark, sf_dir)).withColumn("predicted_price", F.col("market_median_price"))
+    return price_model.error_by_market_distance(df).withColumn("mae", F.round("mae", 4))
+
+
 @query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 100")
 def feed_order(spark, sf_dir):
     return read(spark, sf_dir, "orders").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(100).select("o_orderkey", "o_orderdate")

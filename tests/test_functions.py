@@ -99,20 +99,23 @@ PAGES = {
     "https://a.example/a-1": f"<title>Zed One 2019 for sale in Lahore | Site</title>{LD.format(CAR)}<div id='myCarousel'><div class='x featured-ribbon'></div></div>",
     "https://a.example/a-2": f"<title>T</title>{LD.format('{broken')}{LD.format('[{}]'.format('{' + chr(34) + '@type' + chr(34) + ': ' + chr(34) + 'BreadcrumbList' + chr(34) + '},' + CAR))}<div id='myCarousel'></div>",
     "https://a.example/a-3": "<title>Ace Two X 2015 for sale in Swat</title><ul id='scroll_car_detail'><li>Mileage</li><li><b>90,000</b> km</li><li>Colour</li><li>red</li><li>Registered In</li><li>Swat</li><li>odd</li></ul><img class='feature-icon' alt='ABS'><img class='feature-icon' alt=' Air Bags '>",
-    "https://a.example/a-4": "<title>Ace</title><meta name='description' content='Ace for PKR 42.7 lacs . Buy this 1300 cc, Silver 130200 KM Driven, Manual Car.'><h2 id='scroll_seller_comments'>C</h2><p>no</p><div>Very <b>good</b><br>car</div><div>not this</div>",
+    "https://a.example/a-4": "<title>Ace</title><meta name='description' content='Yours for PKR 31.5 lacs . See a 1600 cc, Maroon 88400 KM Driven, Automatic Car.'><h2 id='scroll_seller_comments'>C</h2><p>no</p><div>Very <b>good</b><br>car</div><div>not this</div>",
     "https://a.example/none": "<title>Q</title><input id='id' value='77'><ul class='car-feature-list'><li>Sun <i>Roof</i></li></ul>",
     "https://a.example/empty-5": None,
+    "https://a.example/cut-6": "<ul id='scroll_car_detail'><li>Color</li><li>teal",
 }
 
 
 def test_extraction_layers(spark):
     pages = spark.createDataFrame(list(PAGES.items()), "url string, html string")
-    one, two, three, four, five, six = (r for r in web.extract_items(pages).orderBy("ad_url").collect()[:4] + web.extract_items(pages).filter("ad_url like '%none'").collect() + web.extract_items(pages).filter("ad_url like '%empty%'").collect())
+    one, two, three, four, five, six = (r for r in web.extract_items(pages).filter("listing_id < 5").orderBy("ad_url").collect() + web.extract_items(pages).filter("ad_url like '%none'").collect() + web.extract_items(pages).filter("ad_url like '%empty%'").collect())
     assert (one.listing_id, one.brand, one.model, one.year_raw, one.engine_capacity_raw, one.price_raw, one.city, one.is_featured) == (1, "Zed", "One", "2019", "1300cc", "4270000", "Lahore", True)
     assert (two.brand, two.model, two.is_featured) == ("Zed", "One", False)
     assert (three.brand, three.model, three.year_raw, three.mileage_raw, three.color, three.registered_in, three.features) == ("Ace", "Two X", "2015", "90,000  km", "red", "Swat", ["ABS", "Air Bags"])
-    assert (four.engine_capacity_raw, four.color, four.mileage_raw, four.transmission, four.price_raw, four.seller_comments, four.is_featured) == ("1300", "Silver", "130200", "Manual", "42.7 lacs", "Very good car", None)
+    assert (four.engine_capacity_raw, four.color, four.mileage_raw, four.transmission, four.price_raw, four.seller_comments, four.is_featured) == ("1600", "Maroon", "88400", "Automatic", "31.5 lacs", "Very good car", None)
     assert (five.listing_id, five.features) == (77, ["Sun  Roof"])  # nodes are joined by a blank; cleaning squeezes it
     cleaned = web.extract_items(pages).filter("listing_id = 77").select(text.clean_feature_list(F.col("features")).alias("f"))
     assert cleaned.first().f == ["Sun Roof"]
+    cut = web.extract_items(pages).filter("listing_id = 6").first()
+    assert (cut.color, cut.title) == ("teal", None)
     assert (six.listing_id, six.title, six.brand) == (5, None, None)

@@ -51,11 +51,11 @@ def test_refresh_rebuilds_touched_segments_only(spark):
 
 
 def test_ingest(spark, tmp_path):
-    html = "<title>Ace Two 2015 for sale in Swat</title><meta name='description' content='for PKR 42.7 lacs . Buy this 1300 cc, Silver 130,200 KM Driven, Manual Car.'><img class='feature-icon' alt='ABS'>"
+    html = "<title>Ace Two 2015 for sale in Swat</title><meta name='description' content='for PKR 31.5 lacs . See a 1600 cc, Maroon 88,400 KM Driven, Automatic Car.'><img class='feature-icon' alt='ABS'>"
     pages = spark.createDataFrame([("https://a.example/ace-9", html), ("https://a.example/noid", html), ("https://a.example/ace-9", html)], "url string, html string")
     got = ingest.pages_to_listings(pages)
     row = got.first()
-    assert (row.listing_id, row.price, row.mileage, row.engine_capacity, row.year, row.city, row.feat_abs, row.feat_drls) == (9, 4270000, 130200, 1300.0, 2015, "Swat", True, False)
+    assert (row.listing_id, row.price, row.mileage, row.engine_capacity, row.year, row.city, row.feat_abs, row.feat_drls) == (9, 3150000, 88400, 1600.0, 2015, "Swat", True, False)
     table = sinks.SnapshotTable(spark, f"file://{tmp_path}/raw", "listing_id", got.schema.simpleString()[7:-1].replace(":", " ") + ", scrape_date timestamp")
     for want in ((1, 1, 0), (1, 0, 1)):
         log = ingest.merge_listings(table, got, "2026-01-01 00:00:00", "2026-01-01 00:01:00").first()
