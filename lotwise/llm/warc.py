@@ -35,7 +35,7 @@ def records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     full = full.withColumns({"bytes": F.octet_length("payload"), "digest": base32_sha1(F.col("payload"))})
     groups = full.filter(F.col("bytes") >= min_revisit_bytes).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies"))
     first = staged.write("first", groups.filter("copies > 1 and first_id is not null").select("digest", "first_id"))
-    joined = full.join(first, "digest", "left")
+    joined = full.join(first.hint("merge"), "digest", "left")  # a row for each group of pages: not to be broadcast
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(END))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">\r\n"))
@@ -58,16 +58,31 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0) -> N
 
 
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
-    """What lies between occurrences of the magic line, with each chunk's split and place in it."""
+    """What lies between occurrences of the magic line, with each chunk's file and split, numbered in a row inside a split."""
     raw = spark.read.option("lineSep", MAGIC).text(path)
-    return raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth"))
+    return raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("nth"))
 
 
-def _with_offsets(chunks: DataFrame) -> DataFrame:
-    """Adds `offset`, the place of the magic line before each chunk; nothing stands before a file's first chunk, which is dropped."""
-    order = Window.partitionBy("file").orderBy("block", "nth")
-    placed = chunks.withColumns({"row": F.row_number().over(order), "offset": F.sum("bytes").over(order) - F.col("bytes")})
-    return placed.filter("row > 1").withColumn("offset", F.col("offset") + (F.col("row") - 2) * len(MAGIC)).drop("row", "block", "nth")
+def _placed(chunks: DataFrame) -> DataFrame:
+    """Chunks with their `place` in the split, from 1; payloads are not shuffled for it."""
+    first = chunks.groupBy("file", "split").agg(F.min("nth").alias("first"))
+    return chunks.join(first, ["file", "split"]).withColumn("place", F.col("nth") - F.col("first") + 1).drop("nth", "first")
+
+
+def _with_offsets(chunks: DataFrame, staged: Staged) -> DataFrame:
+    """Chunks (file, split, place, bytes) with `offset`, where the magic line before each stands. Nothing stands before a
+    file's first chunk, which is dropped.
+
+    Sums run inside splits, and over the splits of a file, which are a row each."""
+    ends = [F.count("*").alias("chunks"), F.sum("bytes").alias("size")]
+    sizes = staged.write("splits", chunks.groupBy("file", "split").agg(*ends))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sizes.select("file", "split", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("chunks", "size")])
+    inside = Window.partitionBy("file", "split").orderBy("place")
+    placed = chunks.withColumn("inside", F.sum("bytes").over(inside) - F.col("bytes")).join(sums, ["file", "split"])
+    nth = F.col("chunks_before") + F.col("place")
+    offset = F.col("size_before") + F.col("inside") + (nth - 2) * len(MAGIC)
+    return placed.filter(nth > 1).withColumn("offset", offset).drop("inside", "chunks_before", "size_before")
 
 
 def _field(head: Column, name: str, pattern: str) -> Column:
@@ -85,7 +100,7 @@ def _parsed(df: DataFrame) -> DataFrame:
     payload = F.expr(f"substring(block, length(http) + {len(END) + 1})")
     page = lambda name: F.expr(f"try_cast(regexp_extract(head, '(?:^|\\r\\n){name}: *<urn:page:([0-9-]*)>', 1) as bigint)")
     return df.select(
-        *[c for c in df.columns if c not in ("value", "head", "block", "http", "split")],
+        *[c for c in df.columns if c not in ("value", "head", "block", "http")],
         whole.alias("whole"),
         page("WARC-Record-ID").alias("page_id"),
         _field(F.col("head"), "WARC-Type", "([a-z]+)").alias("record_type"),
@@ -94,7 +109,6 @@ def _parsed(df: DataFrame) -> DataFrame:
         F.expr("try_cast(regexp_extract(http, '(?:^|\\r\\n)Content-Length: *([0-9]+)', 1) as bigint)").alias("declared_bytes"),
         F.octet_length(payload).cast("long").alias("payload_bytes"),
         F.when(whole, base32_sha1(payload)).alias("payload_digest"),
-        *([F.col("split").alias("block")] if "split" in df.columns else []),
     )
 
 
@@ -120,44 +134,54 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     lengths from its file's start reaches.
 
     Tasks cut the archives at the magic line and emit candidates: where each begins and, by its own Content-Length, where
-    its successor begins. Runs of candidates that follow each other without a gap are one node; pointer jumping over the
-    nodes keeps what is reachable from the file's start, so magic lines inside payloads, whole records among them, are
-    rejected. A record whose payload holds magic lines is put together from its chunks again. Sizes and digests of
-    responses are measured on the payload read; those of revisits are the ones that the record declares.
+    its successor begins. Inside each split of a file, candidates that follow each other without a gap are one node, so an
+    archive of any size has a node for each split and for each break; pointer jumping over the nodes, across the splits,
+    keeps what is reachable from the file's start, so magic lines inside payloads, whole records among them, are rejected.
+    A record whose payload holds magic lines is put together from its chunks again. Sizes and digests of responses are
+    measured on the payload read; those of revisits are the ones that the record declares.
 
     A last record that is cut short or followed by other bytes keeps its row, with null size and digest. An empty folder
-    and a file with no record at its start give no rows."""
+    and a file with no record at its start give no rows. Null and repeated page ids and urls are read as they were written."""
     staged = Staged(spark, "warc-read")
-    candidates = staged.write("candidates", _with_offsets(_parsed(_chunks(spark, path).withColumn("split", F.col("block")))))
-    order = Window.partitionBy("file").orderBy("offset")
+    parsed = staged.write("parsed", _parsed(_chunks(spark, path)))
+    candidates = staged.write("candidates", _with_offsets(_placed(parsed), staged))
+    order = Window.partitionBy("file", "split").orderBy("offset")
     successor = F.col("offset") + len(MAGIC) + F.col("head_bytes") + F.col("length") + 2 * len(END)
-    linked = candidates.select("file", "offset", successor.alias("successor"))
+    linked = candidates.select("file", "split", "offset", successor.alias("successor"))
     linked = linked.withColumn("follows", F.coalesce(F.lag("successor").over(order) == F.col("offset"), F.lit(False)))
     linked = linked.withColumn("steady", F.coalesce(F.lead("offset").over(order) == F.col("successor"), F.lit(False)))
     landings = linked.filter("not steady and successor is not null").select("file", F.col("successor").alias("offset"), F.lit(True).alias("landing")).distinct()
     linked = linked.join(landings, ["file", "offset"], "left")
     new_run = F.when(F.col("follows") & F.col("landing").isNull(), 0).otherwise(1)
-    runs = staged.write("runs", linked.withColumn("run", F.sum(new_run).over(order)))
-    heads = runs.groupBy("file", "run").agg(F.min("offset").alias("node"), F.coalesce(F.max_by("successor", "offset"), F.lit(-1)).alias("next"))
+    runs = staged.write("runs", linked.withColumn("run", F.sum(new_run).over(order)).select("file", "split", "offset", "successor", "run"))
+    heads = staged.write("heads", runs.groupBy("file", "split", "run").agg(F.min("offset").alias("node"), F.coalesce(F.max_by("successor", "offset"), F.lit(-1)).alias("next")))
     good = reachable(staged.write("links", heads.select("file", "node", "next")), staged)
-    reached_runs = heads.join(good, ["file", "node"]).select("file", "run")
-    kept = staged.write("kept", runs.join(reached_runs, ["file", "run"]).select("file", "offset"))
-    marked = candidates.join(kept.withColumn("kept", F.lit(True)), ["file", "offset"], "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+    reached_runs = staged.write("reached", heads.join(good, ["file", "node"]).select("file", "split", "run", F.lit(True).alias("reached")))
+    kept = staged.write("kept", runs.join(reached_runs, ["file", "split", "run"], "left").select("file", "offset", F.coalesce("reached", F.lit(False)).alias("kept")))
+    marked = staged.write("marked", candidates.join(kept.hint("merge"), ["file", "offset"]))
     named = ["file", "offset", "page_id", "record_type", "refers_to", "declared_bytes", "payload_bytes", "declared_digest", "payload_digest"]
     single = marked.filter("kept and whole").select(*named)
 
-    parts = marked.withColumn("owner", F.last(F.when(F.col("kept"), F.col("offset")), ignorenulls=True).over(order))
-    broken = parts.filter("kept and not whole").select("file", F.col("offset").alias("owner"))
-    pieces = staged.write("pieces", parts.join(broken, ["file", "owner"], "left_semi").select("file", "offset", "owner"))
-    again = _chunks(spark, path).join(pieces.select("file").distinct(), "file", "left_semi").withColumn("bytes", F.octet_length("value").cast("long"))
-    again = _with_offsets(again).join(pieces, ["file", "offset"])
+    # Of each chunk the record that it belongs to: the last kept one, in its split or else in the splits before.
+    own = F.when(F.col("kept"), F.col("offset"))
+    last = marked.groupBy("file", "split").agg(F.max(own).alias("last"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select("file", "split", F.max("last").over(before).alias("carried"))
+    owner = F.coalesce(F.max(own).over(order.rowsBetween(Window.unboundedPreceding, 0)), "carried")
+    parts = marked.select("file", "split", "place", "offset", "kept").join(carried, ["file", "split"]).withColumn("owner", owner)
+    broken = marked.filter("kept and not whole").select("file", F.col("offset").alias("owner"))
+    pieces = staged.write("pieces", parts.join(broken, ["file", "owner"], "left_semi").select("file", "split", "place", "offset", "owner"))
+    torn = staged.write("torn", pieces.select("file", "split").distinct())
+    again = _placed(_chunks(spark, path).join(torn, ["file", "split"], "left_semi")).join(pieces, ["file", "split", "place"])
     ordered = F.sort_array(F.collect_list(F.struct("offset", "value")))
     whole = again.groupBy("file", F.col("owner").alias("offset")).agg(F.array_join(F.transform(ordered, lambda x: x["value"]), MAGIC).alias("value"))
     several = _parsed(whole).select(*named)
-    out = single.unionByName(several)
     is_revisit = F.col("record_type") == "revisit"
-    return out.select(
+    out = single.unionByName(several).select(
         "file", "offset", "page_id", "record_type", "refers_to",
         F.when(is_revisit, F.col("declared_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
         F.when(is_revisit, F.col("declared_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
     )
+    out = staged.write("result", out)
+    staged.drop(*[name for name in staged.paths if name != "result"])
+    return out

@@ -424,6 +424,21 @@ def test_archives_round_trip(spark, tmp_path):
         assert (got[k].record_type, got[k].refers_to) == (("response", None) if first == k else ("revisit", first))
 
 
+def test_one_archive_of_many_splits(spark, tmp_path):
+    """One file, read in some 200 splits: small records, magic lines inside payloads, and payloads longer than a split."""
+    rng = np.random.default_rng(17)
+    inner = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:5>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    html = [f"{k} " + (inner * int(rng.integers(1, 80)) if k % 9 == 0 else "x" * int(rng.integers(0, 3000))) for k in range(300)]
+    pages = spark.createDataFrame([(k, f"u{k}", h) for k, h in enumerate(html)], "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(pages, f"file://{tmp_path}/w")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        got = {r.page_id: (r.record_type, r.payload_bytes, r.payload_digest) for r in warc.read_archives(spark, f"file://{tmp_path}/w").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {k: ("response", len(h), base64.b32encode(hashlib.sha1(h.encode()).digest()).decode()) for k, h in enumerate(html)}
+
+
 def test_archives_of_nothing(spark, tmp_path):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_archives(empty, f"file://{tmp_path}/w")
