@@ -10,11 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Staged
-from .textkit import ALNUM, batches, hash_words, text_bytes, words_of
+from .common import Staged, delete, scratch
+from .textkit import ALNUM, batches, hash_words, mix, span_hashes, text_bytes, words_of
 
-#: Bytes of benchmark text whose phrases are broadcast at once; a larger benchmark is searched in blocks of that size.
-BLOCK_BYTES = 8 << 20
+#: Bytes of benchmark text whose phrases are broadcast at once; a larger benchmark is searched in blocks of that size. A
+#: byte of text costs some 12 bytes as phrases.
+BLOCK_BYTES = 4 << 20
 #: Words of one index. A longer document is indexed in overlapping parts.
 SHARD_WORDS = 1 << 20
 #: One text position in so many is kept for locating.
@@ -30,22 +31,37 @@ class Phrases:
     vocabulary: np.ndarray  # sorted word hashes
     symbols: np.ndarray  # phrases, one a row, filled up with -1 on the right
     lengths: np.ndarray
-    items: list[list[str]]  # of each phrase
+    ids: np.ndarray  # sorted distinct item ids
+    first: np.ndarray  # the items of phrase p: items[first[p] : first[p + 1]], as places in ids
+    items: np.ndarray
 
     @classmethod
     def of(cls, item_ids: Sequence[str], texts: Sequence[str | None], size: int) -> Phrases:
         data, starts, ends, first = words_of(pa.array(texts, pa.string()), ALNUM)
         words = hash_words(data, starts, ends)
-        vocabulary = np.unique(words)
-        symbols = np.searchsorted(vocabulary, words) + 2
-        found: dict[tuple[int, ...], set[str]] = {}
-        for item, lo, hi in zip(item_ids, first.tolist(), first[1:].tolist()):
-            for at in range(lo, max(lo + (hi > lo), hi - size + 1)):
-                found.setdefault(tuple(symbols[at : min(hi, at + size)].tolist()), set()).add(item)
-        table = np.full((len(found), size), -1, np.int64)
-        for row, phrase in zip(table, found):
-            row[: len(phrase)] = phrase
-        return cls(vocabulary, table, np.array([len(p) for p in found], np.int64), [sorted(x) for x in found.values()])
+        ids, item = np.unique(np.array(item_ids, object), return_inverse=True) if len(item_ids) else (np.zeros(0, object), np.zeros(0, np.int64))
+        n = np.diff(first)
+        count = np.where(n > 0, np.maximum(1, n - size + 1), 0)  # phrases of each item
+        owner = np.repeat(np.arange(len(n)), count)
+        begin = np.repeat(first[:-1] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        length = np.minimum(n, size)[owner]
+        keys = mix(span_hashes(words, begin, begin + length) + length.astype(np.uint64))
+        _, one, phrase = np.unique(keys, return_index=True, return_inverse=True)
+        vocabulary, symbol = np.unique(words, return_inverse=True)
+        symbols = np.full((len(one), size), -1, np.int32)
+        for k in range(size):
+            has = length[one] > k
+            symbols[has, k] = symbol[begin[one[has]] + k] + 2
+        pairs = np.unique(phrase * max(1, len(ids)) + item[owner])
+        return cls(vocabulary, symbols, length[one], ids, np.searchsorted(pairs // max(1, len(ids)), np.arange(len(one) + 1)), (pairs % max(1, len(ids))).astype(np.int32))
+
+    def items_of(self, doc: np.ndarray, phrase: np.ndarray, n_docs: int) -> pa.Array:
+        """The sorted item ids of each document's phrases."""
+        n = self.first[phrase + 1] - self.first[phrase]
+        item = self.items[np.repeat(self.first[phrase] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        pairs = np.unique(np.repeat(doc, n) * max(1, len(self.ids)) + item)
+        at = np.searchsorted(pairs // max(1, len(self.ids)), np.arange(n_docs + 1))
+        return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(self.ids, pa.string()).take(pa.array(pairs % max(1, len(self.ids)))))
 
 
 def suffix_array(first: np.ndarray) -> np.ndarray:
@@ -128,7 +144,7 @@ class FMIndex:
             live = np.flatnonzero((hi > lo) & (phrases.lengths >= back))
             if not len(live):
                 break
-            symbol = phrases.symbols[live, phrases.lengths[live] - back]
+            symbol = phrases.symbols[live, phrases.lengths[live] - back].astype(np.int64)
             base = self.before[symbol]
             lo[live], hi[live] = base + self.rank(symbol, lo[live]), base + self.rank(symbol, hi[live])
         return lo, np.maximum(lo, hi)
@@ -167,9 +183,8 @@ def occurrences(symbols: np.ndarray, bounds: np.ndarray, phrases: Phrases) -> tu
     return (np.concatenate(places), np.concatenate(names)) if places else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def _search(docs: DataFrame, phrases: Phrases, extra: list[str], cut: bool = False) -> DataFrame:
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(phrases)
+def _search(docs: DataFrame, shared, extra: list[str], cut: bool = False) -> DataFrame:
+    """Documents with what the broadcast phrases share with them."""
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in extra] + ["n_words bigint", f"spans {SPANS}", "items array<string>"])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +193,7 @@ def _search(docs: DataFrame, phrases: Phrases, extra: list[str], cut: bool = Fal
             data, starts, ends, first = words_of(batch.column("text"), ALNUM)
             n = batch.num_rows
             hit = np.zeros(len(starts) + 1, np.int64)
-            doc_of, item_of = np.zeros(0, np.int64), []
+            doc_of = phrase_of = np.zeros(0, np.int64)
             if len(starts) and len(phrases.lengths):
                 words = hash_words(data, starts, ends)
                 near = np.minimum(np.searchsorted(phrases.vocabulary, words), len(phrases.vocabulary) - 1)
@@ -187,7 +202,7 @@ def _search(docs: DataFrame, phrases: Phrases, extra: list[str], cut: bool = Fal
                 np.add.at(hit, at, 1)
                 np.add.at(hit, at + phrases.lengths[phrase], -1)
                 pairs = np.unique((np.searchsorted(first, at, side="right") - 1) * len(phrases.lengths) + phrase)
-                doc_of, item_of = pairs // len(phrases.lengths), pairs % len(phrases.lengths)
+                doc_of, phrase_of = pairs // len(phrases.lengths), pairs % len(phrases.lengths)
             inside = np.zeros(len(starts) + 2, bool)
             inside[1:-1] = np.cumsum(hit)[:-1] > 0
             opened = inside[1:] & ~inside[:-1]
@@ -199,9 +214,6 @@ def _search(docs: DataFrame, phrases: Phrases, extra: list[str], cut: bool = Fal
             owner = np.searchsorted(first, begin, side="right") - 1
             _, text_at = text_bytes(batch.column("text"))
             spans = pa.StructArray.from_arrays([pa.array(x) for x in (begin - first[owner], end - first[owner], starts[begin] - text_at[owner], ends[end - 1] - text_at[owner])], ["begin", "end", "from_byte", "to_byte"])
-            items: list[set[str]] = [set() for _ in range(n)]
-            for d, p in zip(doc_of.tolist(), item_of.tolist() if len(doc_of) else ()):
-                items[d].update(phrases.items[p])
             columns = {c: batch.column(c) for c in extra}
             if cut:
                 places = [[] for _ in range(n)]
@@ -210,7 +222,7 @@ def _search(docs: DataFrame, phrases: Phrases, extra: list[str], cut: bool = Fal
                 columns["text"] = pa.array(cut_spans(batch.column("text"), places), pa.string())
             yield pa.RecordBatch.from_arrays(
                 list(columns.values())
-                + [pa.array(np.diff(first)), pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), spans), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
+                + [pa.array(np.diff(first)), pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), spans), phrases.items_of(doc_of, phrase_of, n)],
                 [*extra, "n_words", "spans", "items"],
             )
 
@@ -218,42 +230,54 @@ def _search(docs: DataFrame, phrases: Phrases, extra: list[str], cut: bool = Fal
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, size: int = 10, keep: Sequence[str] = ("doc_id",), block_bytes: int = BLOCK_BYTES, cut: bool = False) -> DataFrame:
-    """The columns `keep` of every document with n_words, spans and items: what a benchmark shares with it.
+    """The columns `keep` (each once, under any names but n_words, spans, items and cut) of every document with n_words, spans
+    and items: what a benchmark shares with it.
 
     A phrase is `size` consecutive words of an item, or a whole shorter item that has words. `spans` are the parts of the
     document inside occurrences of phrases, merged where they overlap or touch, by word and by UTF-8 byte; `items` are the
     ids (as sorted strings) of the items with such phrases. Documents are not shuffled: each task indexes what it reads,
-    and phrases go to the tasks in blocks of bounded size, one pass a block.
+    and phrases go to the tasks in blocks of bounded size, one pass a block; of later blocks only documents with hits go on.
 
     `cut` takes the spans out of `text` (one of `keep`) in the same pass, where one block holds all phrases, and then adds a
     column `cut`.
 
     Null and empty texts have no words and no spans. Repeated rows are searched each. With an empty benchmark, or one
     without words, nothing is found. Item ids may repeat or be null (as the string "null")."""
+    spark = docs.sparkSession
+    staged = Staged(spark, "decontaminate")
     benchmark = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.col("text").alias("words"))
     total = benchmark.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
-    docs = docs.select(*dict.fromkeys([*keep, "text"]))
+    names = list(dict.fromkeys(keep))
+    inner = {c: "text" if c == "text" else f"_k{k}" for k, c in enumerate(names)}  # no clash with what is found
+    docs = docs.select(*[F.col(c).alias(inner[c]) for c in names], *([] if "text" in names else ["text"]))
+    mine = list(inner.values())
 
-    def phrases(k: int) -> Phrases:
-        rows = benchmark.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == k).collect()
-        return Phrases.of([r[0] for r in rows], [r[1] for r in rows], size)
+    def outer(df: DataFrame, *found: str) -> DataFrame:
+        return df.select(*[F.col(inner[c]).alias(c) for c in names], *found)
 
     if blocks == 1:
-        found = _search(docs, phrases(0), list(keep), cut)
-        return found.withColumn("cut", F.lit(True)) if cut else found
-    numbered = Staged(docs.sparkSession, "decontaminate").write("docs", docs.withColumn("_row", F.monotonically_increasing_id()))
-    passes = [_search(numbered, phrases(k), ["_row", *keep]) for k in range(blocks)]
-    rows = passes[0]
-    for more in passes[1:]:
-        rows = rows.unionByName(more)
-    one = rows.groupBy("_row").agg(*[F.first(c).alias(c) for c in (*keep, "n_words")], F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        rows = benchmark.collect()
+        found = _search(docs, spark.sparkContext.broadcast(Phrases.of([r[0] for r in rows], [r[1] for r in rows], size)), mine, cut)
+        return outer(found.withColumn("cut", F.lit(True)) if cut else found, "n_words", "spans", "items", *(["cut"] if cut else []))
+    dealt = scratch(spark, "decontaminate-benchmark")
+    benchmark.withColumn("block", F.pmod(F.xxhash64("item", "words"), F.lit(blocks)).cast("int")).write.partitionBy("block").parquet(dealt)
+    numbered = staged.write("docs", docs.withColumn("_row", F.monotonically_increasing_id()))
+    rows = None
+    for k in range(blocks):  # one block of phrases is in memory at a time
+        part = spark.read.schema("item string, words string, block int").parquet(dealt).filter(F.col("block") == k).select("item", "words").collect()
+        shared = spark.sparkContext.broadcast(Phrases.of([r[0] for r in part], [r[1] for r in part], size))
+        found = staged.write("hits", _search(numbered, shared, ["_row"]).filter("size(spans) > 0" if k else "true"))
+        shared.unpersist()
+        rows = found if rows is None else rows.unionByName(found)
+    one = rows.groupBy("_row").agg(F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    delete(spark, dealt)
     joined = F.expr(
         f"aggregate(spans, cast(array() as {SPANS}), (done, x) -> if(size(done) > 0 and element_at(done, -1).end >= x.begin, "
         "concat(slice(done, 1, size(done) - 1), array(named_struct('begin', element_at(done, -1).begin, 'end', greatest(element_at(done, -1).end, x.end), "
         "'from_byte', element_at(done, -1).from_byte, 'to_byte', greatest(element_at(done, -1).to_byte, x.to_byte)))), concat(done, array(x))))"
     )
-    return one.select(*keep, "n_words", joined.alias("spans"), "items")
+    return outer(numbered.join(one.select("_row", "n_words", joined.alias("spans"), "items"), "_row"), "n_words", "spans", "items")
 
 
 def cut_spans(texts: pa.Array, spans: list) -> list[str | None]:

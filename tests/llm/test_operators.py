@@ -528,6 +528,26 @@ def test_cutting_leaves_nothing_of_the_benchmark(spark):
     assert decontaminate.contamination(df.limit(0), bench).count() == 0
 
 
+def test_phrases_of_a_large_benchmark_stay_small():
+    import tracemalloc
+
+    rng = np.random.default_rng(18)
+    texts = [sentence(rng, 15_000) for _ in range(50)]  # some 4 MB
+    tracemalloc.start()
+    phrases = decontaminate.Phrases.of([str(k) for k in range(50)], texts, 10)
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    assert len(phrases.lengths) > 700_000 and sum(x.nbytes for x in (phrases.symbols, phrases.lengths, phrases.items, phrases.first)) < 60 << 20
+
+
+def test_contamination_keeps_names_that_clash(spark):
+    bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    df = spark.createDataFrame([(1, "say one two three", 5, 6)], DOCS + ", _row int, _k0 int")
+    for block_bytes in (1 << 20, 1):
+        got = decontaminate.contamination(df, bench, keep=["doc_id", "_row", "_k0"], block_bytes=block_bytes).first()
+        assert (got.doc_id, got._row, got._k0, got.n_words, list(got["items"])) == (1, 5, 6, 4, ["1"])
+
+
 def test_index_finds_every_phrase():
     rng = np.random.default_rng(8)
     symbols = rng.integers(1, 5, 3000)
@@ -535,7 +555,7 @@ def test_index_finds_every_phrase():
     symbols[-1] = 0
     index = decontaminate.FMIndex(symbols, 4)
     table = np.array([[*rng.integers(1, 5, 4)] for _ in range(60)])
-    lo, hi = index.search(decontaminate.Phrases(np.zeros(3, np.uint64), table, np.full(60, 4), [[]] * 60))
+    lo, hi = index.search(decontaminate.Phrases(np.zeros(3, np.uint64), table, np.full(60, 4), *[np.zeros(0, np.int64)] * 3))
     for p, a, b in zip(table, lo, hi):
         want = [k for k in range(len(symbols) - 3) if (symbols[k : k + 4] == p).all()]
         assert sorted(index.locate(np.arange(a, b)).tolist()) == want
