@@ -38,12 +38,15 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, vector) of rows that take part: an id, and a vector of the commonest length without null or non-finite
-    components that is not zero."""
+    components that is not zero. Vectors are scaled by a power of two, which is exact and changes no cosine, so that their
+    largest component is near 1: squares of very small and very large doubles neither vanish nor overflow."""
     v = F.col(vector_col)
     good = rows.filter(F.col(id_col).isNotNull() & v.isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: x.cast("double")).alias("vector"))
     good = good.filter(F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0))
     length = good.groupBy(F.size("vector").alias("length")).count().orderBy(F.desc("count"), "length").limit(1).collect()
-    return good.filter(F.size("vector") == (length[0].length if length else 0))
+    good = good.filter(F.size("vector") == (length[0].length if length else 0))
+    power = F.greatest(F.lit(-1022), F.least(F.lit(1022), -F.floor(F.log2(F.array_max(F.transform("vector", lambda x: F.abs(x)))))))
+    return good.withColumn("_scale", F.pow(F.lit(2.0), power.cast("double"))).select("id", F.transform("vector", lambda x: x * F.col("_scale")).alias("vector"))
 
 
 @dataclass
@@ -118,7 +121,7 @@ def _packed(owner: np.ndarray, other: np.ndarray, near: np.ndarray, n_parts: int
 
 
 CANDIDATES = "part long, owner binary, other binary, near binary"
-GRAPH = "part long, id long, vec binary, nbrs binary, near binary, fresh binary, n_fresh long"
+GRAPH = "part long, id long, vec binary, nbrs binary, near binary, fresh binary, n_fresh long, kth float"
 
 
 def _first_blocks(nodes: DataFrame, trees: list[Tree], k: int, n_parts: int) -> DataFrame:
@@ -171,9 +174,10 @@ def _updated(graph: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
         at = np.searchsorted(owner, np.append(ids, np.iinfo(np.int64).max)).tolist()
         cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary())
         n_fresh = [int(fresh[a:b].sum()) for a, b in zip(at, at[1:])]
+        kth = [float(near[b - 1]) if b - a >= k else -9.0 for a, b in zip(at, at[1:])]  # what a candidate must beat
         vec = left.column("vec").take(pa.array(order))
         part = left.column("part").take(pa.array(order))
-        return pa.table({"part": part, "id": pa.array(ids), "vec": vec, "nbrs": cut(other), "near": cut(near), "fresh": cut(fresh.view(np.uint8)), "n_fresh": pa.array(n_fresh, pa.int64())})
+        return pa.table({"part": part, "id": pa.array(ids), "vec": vec, "nbrs": cut(other), "near": cut(near), "fresh": cut(fresh.view(np.uint8)), "n_fresh": pa.array(n_fresh, pa.int64()), "kth": pa.array(kth, pa.float32())})
 
     return graph.groupBy("part").cogroup(candidates.groupBy("part")).applyInArrow(run, GRAPH)
 
@@ -241,20 +245,10 @@ def _joined(graph: DataFrame, k: int, n_parts: int) -> DataFrame:
 
     sent = graph.select("id", "nbrs", "fresh").mapInArrow(messages, "part long, mid binary, member binary, fresh binary")
     wanted = sent.select("part", "member").mapInArrow(needs, "part long, id long").distinct()
-    vectors = wanted.join(graph.select("id", "vec", _kth(k).alias("kth")), "id").select("part", "id", "vec", "kth")
+    vectors = wanted.join(graph.select("id", "vec", "kth"), "id").select("part", "id", "vec", "kth")
     return sent.groupBy("part").cogroup(vectors.groupBy("part")).applyInArrow(join, CANDIDATES)
 
 
-def _kth(k: int):
-    """The nearness that a candidate must beat: that of the last of k neighbours."""
-
-    @F.pandas_udf("float")
-    def kth(near):
-        return near.map(lambda raw: float(np.frombuffer(raw, np.float32)[-1]) if len(raw) >= 4 * k else -9.0)
-
-    return kth("near")
-
-
 def neighbour_graph(nodes: DataFrame, staged: Staged, k: int = 48) -> DataFrame:
     """The k nearest neighbours that NN-descent finds for every node (id, vector), as rows of GRAPH.
 
@@ -267,7 +261,7 @@ def neighbour_graph(nodes: DataFrame, staged: Staged, k: int = 48) -> DataFrame:
                 ids = batch.column("id").to_numpy()
                 v = _unit(batch.column("vector").flatten().to_numpy().reshape(len(ids), -1)).astype(np.float16)
                 empty = pa.array([b""] * len(ids), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(_parts(ids, n_parts)), batch.column("id"), pa.array([x.tobytes() for x in v], pa.binary()), empty, empty, empty, pa.array(np.zeros(len(ids), np.int64))], ["part", "id", "vec", "nbrs", "near", "fresh", "n_fresh"])
+                yield pa.RecordBatch.from_arrays([pa.array(_parts(ids, n_parts)), batch.column("id"), pa.array([x.tobytes() for x in v], pa.binary()), empty, empty, empty, pa.array(np.zeros(len(ids), np.int64)), pa.array(np.full(len(ids), -9, np.float32))], ["part", "id", "vec", "nbrs", "near", "fresh", "n_fresh", "kth"])
 
     n = nodes.count()
     n_parts = max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // NODES))
@@ -288,11 +282,13 @@ def neighbour_graph(nodes: DataFrame, staged: Staged, k: int = 48) -> DataFrame:
     return graph
 
 
-def greedy_search(graph: DataFrame, queries: DataFrame, staged: Staged, *, beam: int = 64, open_at_once: int = 12, rounds: int = 4) -> DataFrame:
-    """(query_id, id) of the `beam` nearest nodes that each query (query_id, vec, start: ids as binary) reaches.
+def greedy_search(graph: DataFrame, queries: DataFrame, staged: Staged, *, beam: int = 64, open_at_once: int = 16) -> DataFrame:
+    """(query_id, id) of the `beam` nearest nodes that each query (query_id, vec, entry: a node, start: more ids as binary)
+    reaches.
 
-    Each round opens the nearest nodes of a query's beam that are not open yet, by a join with the graph, measures their
-    neighbours by a join with the vectors, and ends when no beam has anything to open."""
+    Each round opens the nearest nodes of a query's beam that are not open yet, by a join with the graph, and measures their
+    neighbours by a join with the vectors. The search ends when every node of every beam is open; queries that are done take
+    no part in later rounds."""
     vectors = graph.select("id", "vec")
     state = "query_id long, vec binary, ids binary, near binary, opened binary, seen binary"
     names = ["query_id", "vec", "ids", "near", "opened", "seen"]
@@ -335,18 +331,19 @@ def greedy_search(graph: DataFrame, queries: DataFrame, staged: Staged, *, beam:
             new = [i[~np.isin(i, o)][:open_at_once] for i, o in zip(ids, before)]
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("query_id").to_numpy(), [len(x) for x in new])), pa.array(np.concatenate([*new, np.zeros(0, np.int64)]))], ["query_id", "id"])
 
-    for round_ in range(rounds + 1):
-        pairs = wanted.mapInArrow(fresh, "query_id long, id long").distinct()
-        measured = pairs.join(vectors, "id").select("query_id", "id", F.col("vec").alias("other"))
+    pairs = wanted.mapInArrow(fresh, "query_id long, id long").unionByName(queries.select("query_id", F.col("entry").alias("id")))
+    done = None
+    while True:
+        measured = pairs.distinct().join(vectors, "id").select("query_id", "id", F.col("vec").alias("other"))
         beams = staged.write("beams", beams.groupBy("query_id").cogroup(measured.groupBy("query_id")).applyInArrow(step, state))
-        if round_ == rounds:
-            break
         frontier = staged.write("frontier", beams.select("query_id", "ids", "opened").mapInArrow(last_opened, "query_id long, id long"))
+        busy = frontier.select("query_id").distinct()
+        ended = beams.join(busy, "query_id", "left_anti").select("query_id", "ids")
+        done = ended if done is None else done.unionByName(ended)
         if frontier.isEmpty():
-            break
-        beams = beams.mapInArrow(choose, state)
-        wanted = frontier.join(graph.select("id", "nbrs"), "id").select("query_id", "nbrs")
-    return beams.select("query_id", F.col("ids").alias("nbrs")).mapInArrow(fresh, "query_id long, id long")
+            return done.withColumnRenamed("ids", "nbrs").mapInArrow(fresh, "query_id long, id long")
+        beams = beams.join(busy, "query_id", "left_semi").mapInArrow(choose, state)
+        pairs = frontier.join(graph.select("id", "nbrs"), "id").select("query_id", "nbrs").mapInArrow(fresh, "query_id long, id long")
 
 
 def nearest(rows: DataFrame, is_query, *, top: int = 5, k: int = 48, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -354,9 +351,10 @@ def nearest(rows: DataFrame, is_query, *, top: int = 5, k: int = 48, id_col: str
 
     Rows with equal vectors are one node of the graph and only the `top` + 1 smallest ids of a node are ever needed, so a
     vector that many rows share costs no more than another. A query starts at its own node's neighbours. Nodes found are
-    measured again by the cosine of the original vectors in double precision; ties go to the smaller id.
+    measured again by the cosine of the original vectors in double precision; ties go to the smaller id. Vectors that are the
+    same but for a power of two have the same cosines with all others and count as equal.
 
-    Null, zero, ragged and non-finite vectors and null ids take no part; with fewer candidates than `top` all are given."""
+    Ids are integers; rows that share an id and differ in their vector are taken as they come. Null, zero, ragged and non-finite vectors and null ids take no part; with fewer candidates than `top` all are given."""
     staged = Staged(rows.sparkSession, "neighbours")
     table = staged.write("rows", usable(rows, id_col, vector_col).withColumn("key", F.md5(F.concat_ws(",", F.transform("vector", lambda x: (x + 0.0).cast("string"))).cast("binary"))))
     nodes = staged.write("nodes", table.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
@@ -367,7 +365,7 @@ def nearest(rows: DataFrame, is_query, *, top: int = 5, k: int = 48, id_col: str
     members = staged.write("members", members.join(nodes.select("key", F.col("id").alias("node")), "key").select("node", "vec_id"))
     asked = table.withColumnRenamed("id", id_col).filter(is_query).select(F.col(id_col).alias("query_id"), "key")
     asked = staged.write("asked", asked.join(nodes.select("key", F.col("id").alias("node")), "key").select("query_id", "node"))
-    starts = asked.select("node").distinct().join(graph, F.col("node") == F.col("id")).select(F.col("node").alias("query_id"), "vec", F.concat("nbrs", _own_id("id")).alias("start"))
+    starts = asked.select("node").distinct().join(graph, F.col("node") == F.col("id")).select(F.col("node").alias("query_id"), "vec", F.col("id").alias("entry"), F.col("nbrs").alias("start"))
     found = staged.write("found", greedy_search(graph, staged.write("starts", starts), staged))
     a, b = vectors.select(F.col("id").alias("query_id"), F.col("vector").alias("a")), vectors.select("id", F.col("vector").alias("b"))
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
@@ -379,10 +377,3 @@ def nearest(rows: DataFrame, is_query, *, top: int = 5, k: int = 48, id_col: str
     out = pairs.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return out.select("query_id", "rank", "vec_id", "score")
 
-
-def _own_id(column: str):
-    @F.pandas_udf("binary")
-    def raw(ids):
-        return ids.map(lambda x: np.int64(x).tobytes())
-
-    return raw(F.col(column))
