@@ -11,11 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Staged
 from .textkit import LOWER, batches, text_bytes
 
 BITS = 17
-#: The model has at most MAX_LANGUAGES times 2^BITS counts.
-MAX_LANGUAGES = 256
+#: Languages whose 2^BITS counts each are in memory and broadcast at once. More languages are taken block by block.
+BLOCK = 64
 SMOOTHING = 0.1
 #: A language enters a document's set where it raises the log-likelihood by more than PENALTY * log(words).
 PENALTY = 2.0
@@ -55,13 +56,16 @@ class Model:
     table: np.ndarray  # log-likelihood of each gram by language
 
     def words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Likelihoods of each word by language, over the largest of them, and the first word of each text."""
+        """Log-likelihood of each word by language, and the first word of each text."""
         gram, start, first = grams(column)
         if not len(start):
             return np.zeros((0, len(self.languages)), np.float32), first
-        likelihood = np.add.reduceat(self.table[gram], start, axis=0)
-        likelihood -= likelihood.max(axis=1, keepdims=True)
-        return np.exp(likelihood), first
+        return np.add.reduceat(self.table[gram], start, axis=0), first
+
+
+def _likelihoods(logs: np.ndarray) -> np.ndarray:
+    """Likelihoods of words, each over its largest."""
+    return np.exp(logs - logs.max(axis=1, keepdims=True))
 
 
 def shares(like: np.ndarray, first: np.ndarray, allowed: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,68 +111,128 @@ def mixtures(like: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def learn(docs: DataFrame) -> Model:
-    """Gram counts of every given document (text, lang), by language."""
-    names = [r.lang for r in docs.groupBy("lang").count().orderBy("lang").select("lang").limit(MAX_LANGUAGES + 1).collect()]
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+def learn(docs: DataFrame, staged: Staged, block: int = BLOCK) -> list[Model]:
+    """Gram counts of every given document (text, lang), by language: a model for each block of languages."""
+    names = sorted(r.lang for r in docs.select("lang").distinct().collect())
     place = {x: k for k, x in enumerate(names)}
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(len(names) << BITS, np.int64)
+        at, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches(it):
             gram, start, first = grams(batch.column("text"))
             lang = np.array([place[x] for x in batch.column("lang").to_pylist()], np.int64)
             bounds = np.append(start, len(gram))[first]
-            counts += np.bincount(np.repeat(lang, np.diff(bounds)) << BITS | gram, minlength=len(counts))
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["at", "n"])
+            new, count = np.unique(np.repeat(lang, np.diff(bounds)) << BITS | gram[: bounds[-1]], return_counts=True)
+            at, both = np.unique(np.concatenate([at, new]), return_inverse=True)
+            n = np.bincount(both, np.concatenate([n, count]), minlength=len(at)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], ["at", "n"])
+
+    counted = staged.write("counts", docs.select("text", "lang").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")))
+    models = []
+    for lo in range(0, len(names), block):
+        some = names[lo : lo + block]
+        rows = counted.filter((F.col("at") >= lo << BITS) & (F.col("at") < lo + len(some) << BITS)).toArrow()
+        counts = np.full(len(some) << BITS, SMOOTHING)
+        counts[rows.column("at").to_numpy() - (lo << BITS)] += rows.column("n").to_numpy()
+        counts = counts.reshape(len(some), -1)
+        models.append(Model(some, np.log(counts / counts.sum(axis=1, keepdims=True)).T.astype(np.float32).copy()))
+    return models
+
+
+def _has_letter(text: pa.Array) -> np.ndarray:
+    data, at = text_bytes(text)
+    some, wide = (np.concatenate([[0], np.cumsum(x)]) for x in ((LOWER[data] >= 0x61) & (LOWER[data] < 0x7B), data >= 0x80))
+    has = some[at[1:]] > some[at[:-1]]
+    for k in np.flatnonzero(~has & (wide[at[1:]] > wide[at[:-1]])):
+        has[k] = any(map(str.isalpha, text[int(k)].as_py()))
+    return has
+
+
+def _of_rows(first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words of some texts, and the first of each of these with one bound more."""
+    n = np.diff(first)[rows]
+    return np.repeat(first[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum()), np.concatenate([[0], np.cumsum(n)])
+
 
-    counts = np.zeros((max(1, len(names)), 1 << BITS))
-    if names:
-        for r in docs.select("text", "lang").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toLocalIterator():
-            counts.flat[r["at"]] = r["n"]
-    counts += SMOOTHING
-    return Model(names, np.log(counts / counts.sum(axis=1, keepdims=True)).T.astype(np.float32).copy())
+def _decided(doc_ids: pa.Array, rows: np.ndarray, theta: np.ndarray, names: list[list[str]]) -> pa.RecordBatch:
+    """Rows of the result; `names` are the languages of theta's columns for each of `rows`, the other texts are "und"."""
+    pred, score, found = ["und"] * len(doc_ids), np.zeros(len(doc_ids)), [[] for _ in range(len(doc_ids))]
+    for k, share, langs in zip(rows.tolist(), theta, names):
+        order = [j for j in np.argsort(-share, kind="stable").tolist() if share[j] > 0]
+        found[k] = [(langs[j], float(share[j])) for j in order]
+        pred[k], score[k] = langs[order[0]], min(1.0, float(share[order[0]]))
+    return pa.RecordBatch.from_arrays([doc_ids, pa.array(pred), pa.array(score), pa.array(found, pa.map_(pa.string(), pa.float64()))], ["doc_id", "lang_pred", "score", "shares"])
 
 
-def identify(docs: DataFrame, train=None, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+KEPT = "array<struct<lang:string,logs:binary>>"
+
+
+def identify(docs: DataFrame, train=None, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", block: int = BLOCK) -> DataFrame:
     """(doc_id, lang_pred, score, shares) of every whole text: its main language, that language's share of the words, and
     the shares of all languages in the set whose penalised likelihood is best.
 
     Grams are counted over all documents with a language for which `train` holds (sums of each task go to the shuffle,
     so a language that most documents have is one row of it a gram and task); the model's size depends on the languages
-    alone. Prediction reads nothing but the text.
+    alone. With more than `block` languages, each block of them gives the set that it would choose, and the mixture over
+    these sets' languages is inferred at the end; no language is left out. Prediction reads nothing but the text.
 
-    A null text, one without a letter, and any text where nothing could be learned are "und" with score 0 and no shares."""
+    A null text, one without a letter, and any text where nothing could be learned are "und" with score 0 and no shares.
+    Repeated and null ids give a row each; an empty table gives none."""
+    spark = docs.sparkSession
+    staged = Staged(spark, "language")
     source = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     source = source.filter(train) if train is not None else source
-    model = learn(source.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")))
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches(it):
-            text = batch.column("text")
-            data, at = text_bytes(text)
-            has = np.zeros(batch.num_rows, bool)
-            some, wide = (np.concatenate([[0], np.cumsum(x)]) for x in ((LOWER[data] >= 0x61) & (LOWER[data] < 0x7B), data >= 0x80))
-            has = some[at[1:]] > some[at[:-1]]
-            for k in np.flatnonzero(~has & (wide[at[1:]] > wide[at[:-1]])):
-                has[k] = any(map(str.isalpha, text[int(k)].as_py()))
-            like, first = model.words(text)
-            rows = np.flatnonzero(has & (np.diff(first) > 0)) if model.languages else np.zeros(0, np.int64)
-            names, scores, found = ["und"] * batch.num_rows, np.zeros(batch.num_rows), [[] for _ in range(batch.num_rows)]
-            if len(rows):
-                n = np.diff(first)[rows]
-                picked = np.repeat(first[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                theta = mixtures(like[picked], np.concatenate([[0], np.cumsum(n)]))
-                for k, share in zip(rows.tolist(), theta):
-                    top = int(share.argmax())
-                    names[k], scores[k] = model.languages[top], min(1.0, float(share[top]))
-                    found[k] = [(model.languages[j], float(share[j])) for j in np.argsort(-share) if share[j] > 0]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names), pa.array(scores), pa.array(found, pa.map_(pa.string(), pa.float64()))], ["doc_id", "lang_pred", "score", "shares"])
-
+    models = learn(source.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), staged, block)
+    staged.drop("counts")
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, shares map<string,double>")
+    result = f"doc_id {kind}, lang_pred string, score double, shares map<string,double>"
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    if len(models) < 2:
+        shared = spark.sparkContext.broadcast(models[0] if models else None)
+
+        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = shared.value
+            for batch in batches(it):
+                rows, theta, names = np.zeros(0, np.int64), np.zeros((0, 0)), []
+                if model:
+                    logs, first = model.words(batch.column("text"))
+                    rows = np.flatnonzero(_has_letter(batch.column("text")) & (np.diff(first) > 0))
+                    if len(rows):
+                        picked, bounds = _of_rows(first, rows)
+                        theta, names = mixtures(_likelihoods(logs[picked]), bounds), [model.languages] * len(rows)
+                yield _decided(batch.column("doc_id"), rows, theta, names)
+
+        return texts.mapInArrow(run, result)
+
+    def one_block(shared):
+        """Adds the languages that a block would choose, with the log-likelihoods of all words."""
+
+        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = shared.value
+            for batch in batches(it):
+                logs, first = model.words(batch.column("text"))
+                kept = [x or [] for x in batch.column("kept").to_pylist()]
+                rows = np.flatnonzero(_has_letter(batch.column("text")) & (np.diff(first) > 0))
+                if len(rows):
+                    picked, bounds = _of_rows(first, rows)
+                    for k, share in zip(rows.tolist(), mixtures(_likelihoods(logs[picked]), bounds)):
+                        kept[k] += [{"lang": model.languages[j], "logs": logs[first[k] : first[k + 1], j].tobytes()} for j in np.flatnonzero(share)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(kept, pa.list_(pa.struct([("lang", pa.string()), ("logs", pa.binary())])))], ["doc_id", "text", "kept"])
+
+        return run
+
+    def final(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            rows, theta, names = [], [], []
+            for k, kept in enumerate(batch.column("kept").to_pylist()):
+                if kept:
+                    logs = np.stack([np.frombuffer(x["logs"], np.float32) for x in kept], axis=1)
+                    rows.append(k)
+                    theta.append(mixtures(_likelihoods(logs), np.array([0, len(logs)]))[0])
+                    names.append([x["lang"] for x in kept])
+            yield _decided(batch.column("doc_id"), np.array(rows, np.int64), theta, names)
+
+    found = texts.withColumn("kept", F.lit(None).cast(KEPT))
+    for model in models:
+        found = found.mapInArrow(one_block(spark.sparkContext.broadcast(model)), f"doc_id {kind}, text string, kept {KEPT}")
+    return found.select("doc_id", "kept").mapInArrow(final, result)

@@ -277,6 +277,80 @@ def test_languages(spark):
     assert set(got[101].shares) == {"zz", "mm"} and abs(got[101].shares["zz"] - 2 / 3) < 0.1 and got[106].lang_pred in letters
     assert {r.lang_pred for r in langid.identify(df, F.lit(False)).collect()} == {"und"}
     assert langid.identify(df.limit(0)).count() == 0
+    again = {r.doc_id: r for r in langid.identify(df, F.col("doc_id") < 100, block=2).collect()}  # two blocks of languages
+    assert {d: r.lang_pred for d, r in again.items()} == {d: r.lang_pred for d, r in got.items()}
+    assert again[101].shares == pytest.approx(got[101].shares, abs=1e-4)
+    odd = df.unionByName(df.filter("doc_id in (101, 102)")).unionByName(df.filter("doc_id = 0").withColumn("doc_id", F.lit(None).cast("long")))
+    assert langid.identify(odd.withColumn("shares", F.lit(1)).withColumn("kept", F.lit(2)), F.col("doc_id") < 100).count() == len(train + test) + 3
+
+
+def test_more_languages_than_a_block(spark):
+    """300 languages of three letters each, in blocks of 64."""
+    letters = [chr(0x4E00 + 3 * k) + chr(0x4E01 + 3 * k) + chr(0x4E02 + 3 * k) for k in range(300)]
+    rng = np.random.default_rng(20)
+    text = lambda k: " ".join("".join(rng.choice([*letters[k]], 4)) for _ in range(12))
+    rows = [(k, text(k), f"l{k:03d}") for k in range(300)] + [(300 + k, text(k), None) for k in range(0, 300, 7)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.col("doc_id") < 300)
+    assert all(r.lang_pred == f"l{r.doc_id % 300:03d}" for r in got.collect())
+
+
+def plain_mixtures(train, texts):
+    """Shares by expectation-maximisation over dictionaries, word by word, and the choice of languages by penalised likelihood."""
+    from math import exp, log
+
+    def words(text):
+        for word in "".join(c if c.isalpha() else " " for c in lower(text)).split(" "):
+            if word:
+                codes = [ord(c) for c in word] + [32]
+                grams = []
+                for k, c in enumerate(codes):
+                    one = codes[k - 1] if k else 32
+                    two = codes[k - 2] if k > 1 else 32
+                    grams.append((((c | one << 8 | two << 16) * 0x9E3779B1) % 2**32) >> 15)
+                yield grams
+
+    langs = sorted({lang for _, lang in train})
+    counts = {x: Counter(g for t, lang in train if lang == x for w in words(t) for g in w) for x in langs}
+    total = {x: sum(counts[x].values()) + 0.1 * 2**17 for x in langs}
+    out = []
+    for text in texts:
+        logs = [{x: sum(log((counts[x][g] + 0.1) / total[x]) for g in w) for x in langs} for w in words(text)]
+        like = [{x: exp(v - max(one.values())) for x, v in one.items()} for one in logs]
+
+        def em(allowed):
+            theta = {x: 1 / len(allowed) for x in allowed}
+            for _ in range(8):
+                new = dict.fromkeys(allowed, 0.0)
+                for one in like:
+                    sums = sum(theta[x] * one[x] for x in allowed)
+                    for x in allowed:
+                        new[x] += theta[x] * one[x] / sums / len(like)
+                theta = new
+            return theta, sum(log(sum(theta[x] * one[x] for x in allowed)) for one in like)
+
+        cost = 2 * log(len(like) + 1)
+        theta, fit = em(langs)
+        best, score = theta, fit - cost * (len(langs) - 1)
+        while len(theta) > 1:
+            theta, fit = em(sorted(theta, key=theta.get)[1:])
+            if fit - cost * (len(theta) - 1) <= score:
+                break
+            best, score = theta, fit - cost * (len(theta) - 1)
+        out.append({x: v for x, v in best.items() if v > 1e-9})
+    return out
+
+
+def test_mixtures_against_plain_expectation_maximisation(spark):
+    rng = np.random.default_rng(21)
+    shape = {"aa": [8, 6, 4, 2, 1, 1, 1, 1], "bb": [1, 1, 2, 4, 6, 8, 2, 1], "cc": [1, 4, 1, 4, 1, 4, 8, 8]}  # they share all letters
+    word = lambda lang: "".join(rng.choice([*"abcdefgh"], 5, p=np.array(shape[lang]) / sum(shape[lang])))
+    text = lambda *langs: " ".join(word(lang) for lang in langs for _ in range(30))
+    train = [(text(lang), lang) for lang in [*shape] * 6]
+    texts = [text("aa"), text("aa", "bb"), text("cc", "bb"), text("aa", "bb", "cc"), text("bb", "bb", "cc"), word("aa"), text("cc")]
+    rows = [(k, t, lang) for k, (t, lang) in enumerate(train)] + [(100 + k, t, None) for k, t in enumerate(texts)]
+    found = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.col("doc_id") < 100).filter("doc_id >= 100").orderBy("doc_id").collect()
+    for r, want in zip(found, plain_mixtures(train, texts), strict=True):
+        assert r.shares == pytest.approx(want, abs=2e-3) and r.lang_pred == max(want, key=want.get)
 
 
 # --- neighbours
@@ -307,6 +381,18 @@ def test_neighbours_against_brute_force(spark):
     assert neighbours.nearest(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_neighbours_of_tiny_and_huge_vectors(spark):
+    rng = np.random.default_rng(19)
+    x = rng.normal(size=(60, 8))
+    scale = np.array([1e-200, 1e200, 1.0, 5e-310])[np.arange(60) % 4]
+    rows = [(k, (v * c).tolist()) for k, (v, c) in enumerate(zip(x, scale))]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") < 10, k=16).collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for r in got:
+        assert abs(r.score - unit[r.query_id] @ unit[r.vec_id]) < 1e-9
+    assert len(got) == 50 and all(r.vec_id == sorted(range(60), key=lambda k: -(unit[r.query_id] @ unit[k]))[1] for r in got if r["rank"] == 1)
+
+
 # --- toxicity
 
 
