@@ -24,7 +24,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+    return suffix_dedup.repeated_passages(read(spark, sf_dir, "documents")).select("doc_id", "begin", "end", "n_words")
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +72,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("0002-revised", token_counts.changes(words, estimate)),
     ):
         rollup.commit(batch_id, rows)
+        if batch_id == "0003-pieces":
+            rollup.compact()  # the fourth batch is added to totals that hold the first three
     staged.drop("counts", "first", "copies")
     return rollup.totals()
 
@@ -127,6 +129,14 @@ SELECT page_id, strlen(payload) AS payload_bytes, list_aggregate(digits, 'string
   CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM d""",
+    # Every window of 50 words with a place before its own; runs of places whose windows touch or overlap are one passage.
+    "op3_suffix_dedup": rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, k, md5(array_to_string(w[k + 1:k + 50], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(0, len(w) - 49)) AS k FROM w WHERE len(w) >= 50)),
+r AS (SELECT doc_id, k FROM g QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, k) > 1),
+s AS (SELECT doc_id, k, coalesce(k > lag(k) OVER o + 50, true)::INT AS opens FROM r WINDOW o AS (PARTITION BY doc_id ORDER BY k)),
+p AS (SELECT doc_id, k, sum(opens) OVER (PARTITION BY doc_id ORDER BY k) AS part FROM s)
+SELECT doc_id, min(k)::BIGINT AS "begin", (max(k) + 50)::BIGINT AS "end", (max(k) + 50 - min(k))::BIGINT AS n_words FROM p GROUP BY doc_id, part""",
     "op4_near_dedup": rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS k FROM w WHERE len(w) > 0)),

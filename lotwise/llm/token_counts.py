@@ -2,61 +2,106 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filesystem
+from .common import delete, filesystem
 from .textkit import BLANKS, batches, word_pieces, words_of
 
 KEYS = ("source", "lang", "tokenizer")
 
 
+COUNTS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
+
+
 class TokenRollup:
     """Totals of documents and tokens by source, language and tokenizer version, in a folder of the shared store.
 
     A batch of changes has a row (source, lang, tokenizer, n_tokens, sign) per change: sign 1 inserts a document's count,
     -1 takes it back, and a revised count is one row of each. `commit` sums a batch to one row per key (partly before the
-    shuffle, so a source with most rows is one row per task) and writes it under the batch's id. A batch counts once
-    its folder holds the writer's success mark: a failed attempt leaves nothing that `totals` reads and is written anew,
-    a repeated commit does nothing. Null keys are groups of their own; a null count is zero tokens; an empty batch is
-    valid and changes nothing."""
+    shuffle, so a source with most rows is one row per task), writes it beside the store and moves it to the batch's name
+    in one step that fails where the name is taken. So a batch counts once, whole or not at all: a failed attempt leaves
+    nothing that `totals` reads, and of two writers of one batch the later changes nothing.
+
+    `compact` maintains the totals: it adds all batches that the newest totals lack to them and moves sums and the names of
+    what they hold, as one folder, to the next number, again exclusively. Batches go only after that, so one that dies
+    anywhere loses nothing and counts nothing twice. Null keys are groups of their own; a null count is zero tokens; an empty
+    batch is valid and changes nothing. Batch names are those of folders."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _done(self, path: str) -> bool:
-        fs, p = filesystem(self.spark, f"{path}/_SUCCESS")
-        return fs.exists(p)
+    def _names(self, kind: str) -> list[str]:
+        fs, p = filesystem(self.spark, f"{self.path}/{kind}=*")
+        return sorted(x.getPath().getName().split("=", 1)[1] for x in fs.globStatus(p) or [])
+
+    def _move(self, attempt: str, name: str) -> bool:
+        """True if the attempt's folder has got the name; false, and the attempt is deleted, if another had it before."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        hadoop = jvm.org.apache.hadoop.fs
+        source, target = hadoop.Path(attempt), hadoop.Path(f"{self.path}/{name}")
+        options = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
+        try:
+            hadoop.FileContext.getFileContext(source.toUri(), conf).rename(source, target, options)
+            return True
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            delete(self.spark, attempt)
+            return False
+
+    def _held(self) -> tuple[int, set[str]]:
+        """The number of the newest totals, 0 without any, and the batches in them."""
+        numbers = sorted(map(int, self._names("total")))
+        if not numbers:
+            return 0, set()
+        return numbers[-1], {r.batch for r in self.spark.read.schema("batch string").parquet(f"{self.path}/total={numbers[-1]}/batches").collect()}
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """True if the batch was new."""
-        path = f"{self.path}/batch={batch_id}"
-        if self._done(path):
+        if batch_id in self._names("batch") or batch_id in self._held()[1]:
             return False
+        attempt = f"{self.path}/attempt-{uuid.uuid4().hex}"
         delta = changes.groupBy(*KEYS).agg(F.sum(F.col("sign").cast("long")).alias("n_docs"), F.sum(F.coalesce(F.col("n_tokens"), F.lit(0)) * F.col("sign")).cast("long").alias("n_tokens"))
-        delta.write.mode("overwrite").parquet(path)
-        return True
+        delta.write.parquet(attempt)
+        return self._move(attempt, f"batch={batch_id}")
 
-    def batches(self) -> list[str]:
-        fs, p = filesystem(self.spark, f"{self.path}/batch=*")
-        found = sorted(x.getPath().toString() for x in fs.globStatus(p) or [])
-        return [x for x in found if self._done(x)]
+    def _summed(self, number: int, batches: list[str]) -> DataFrame:
+        paths = [f"{self.path}/batch={b}" for b in batches] + ([f"{self.path}/total={number}/sums"] if number else [])
+        rows = self.spark.read.schema(COUNTS).parquet(*paths) if paths else self.spark.createDataFrame([], COUNTS)
+        return rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).filter("n_docs <> 0 or n_tokens <> 0")
+
+    def compact(self) -> bool:
+        """True if the totals have been brought up to the batches committed so far."""
+        number, held = self._held()
+        new = [b for b in self._names("batch") if b not in held]
+        if new:
+            attempt = f"{self.path}/attempt-{uuid.uuid4().hex}"
+            self._summed(number, new).write.parquet(f"{attempt}/sums")
+            self.spark.createDataFrame([(b,) for b in [*held, *new]], "batch string").coalesce(1).write.parquet(f"{attempt}/batches")
+            if not self._move(attempt, f"total={number + 1}"):
+                return False
+        number, held = self._held()
+        for name in [f"batch={b}" for b in self._names("batch") if b in held] + [f"total={n}" for n in self._names("total") if int(n) < number - 1]:
+            delete(self.spark, f"{self.path}/{name}")
+        return True
 
     def totals(self) -> DataFrame:
-        """Keys whose documents are all taken back are left out."""
-        schema = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
-        paths = self.batches()
-        rows = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
-        return rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).filter("n_docs <> 0 or n_tokens <> 0")
+        """The newest totals and the batches committed since. Keys whose documents are all taken back are left out."""
+        number, held = self._held()
+        return self._summed(number, [b for b in self._names("batch") if b not in held])
 
 
 def changes(new: DataFrame, old: DataFrame | None = None) -> DataFrame:
     """Signed changes from an old to a new table of counts: every row of `new` is inserted and every row of `old` taken
-    back, so rows in both cancel out and a revised one leaves its difference."""
+    back, so rows in both cancel out and a revised one leaves its difference. Other columns are not read. A document that
+    stands twice in a table counts twice; null keys and counts go through as they are."""
     cols = ["source", "lang", "tokenizer", "n_tokens"]
     insert = new.select(*cols, F.lit(1).alias("sign"))
     if old is None:

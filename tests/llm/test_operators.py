@@ -549,6 +549,41 @@ def test_rollup(spark, tmp_path):
     assert rollup.commit("3", rows()) and rollup.commit("4", rows((None, "en", "t1", None, -1)))
     assert [tuple(r) for r in rollup.totals().collect()] == [("s", "en", "t1", 2, 14)]
     assert not rollup.commit("4", rows(("s", "en", "t1", 1, 1)))
+    for _ in range(2):  # compaction changes no total, and is lasting
+        assert rollup.compact() and not rollup.commit("4", rows(("s", "en", "t1", 1, 1)))
+        assert [tuple(r) for r in rollup.totals().collect()] == [("s", "en", "t1", 2, 14)]
+    assert rollup.commit("5", rows(("s", "en", "t1", 1, 1))) and rollup.totals().first().n_tokens == 15
+    assert rollup.compact() and rollup.totals().first().n_tokens == 15 and rollup._names("batch") == []
+
+
+def test_rollup_of_two_writers_and_crashes(spark, tmp_path, monkeypatch):
+    schema = "source string, lang string, tokenizer string, n_tokens long, sign int"
+    rows = lambda *r: spark.createDataFrame(list(r), schema)
+    path = f"file://{tmp_path}/r"
+    one, two = token_counts.TokenRollup(spark, path), token_counts.TokenRollup(spark, path)
+    with monkeypatch.context() as m:  # both have looked before either has written
+        m.setattr(one, "_names", lambda kind: [])
+        m.setattr(two, "_names", lambda kind: [])
+        assert [one.commit("a", rows(("s", "en", "t", 5, 1))), two.commit("a", rows(("s", "en", "t", 7, 1)))] == [True, False]
+    assert two.totals().first().n_tokens == 5
+    with monkeypatch.context() as m:  # written, but not yet named
+        m.setattr(one, "_move", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            one.commit("b", rows(("s", "en", "t", 9, 1)))
+        with pytest.raises(ZeroDivisionError):
+            one.compact()
+    assert one.totals().first().n_tokens == 5 and one.commit("b", rows(("s", "en", "t", 9, 1)))
+    with monkeypatch.context() as m:  # totals are named, but the batches have not gone yet
+        m.setattr(token_counts, "delete", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            one.compact()
+    assert two.totals().first().n_tokens == 14 and two.compact() and two.totals().first().n_tokens == 14
+    with monkeypatch.context() as m:  # a compaction that began before another has ended
+        m.setattr(one, "_held", lambda: (0, set()))
+        m.setattr(one, "_names", lambda kind: ["late"] if kind == "batch" else [])
+        two.commit("late", rows(("s", "en", "t", 1, 1)))
+        assert not one.compact()
+    assert one.totals().first().n_tokens == 15
 
 
 def test_token_count_query(spark, tmp_path):
