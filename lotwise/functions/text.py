@@ -67,9 +67,15 @@ def standardize_text(c: Column, *, garbage: Sequence[str] = GARBAGE_TEXT, acrony
     return F.when(value.isNull() | F.lower(value).isin(*garbage), F.lit("Unknown")).otherwise(title_case(value, acronyms))
 
 
-def standardize_text_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Columns that `df` has are standardised; others are skipped."""
-    return df.withColumns({c: standardize_text(F.col(c)) for c in columns if c in df.columns})
+def standardize_text_columns(df: DataFrame, columns: Sequence[str], unicode: bool = True) -> DataFrame:
+    """Columns that `df` has are standardised; others are skipped. Without `unicode` values are taken to be in Unicode
+    compatibility form already, and nothing crosses to Python."""
+    return df.withColumns({c: standardize_text(F.col(c), unicode=unicode) for c in columns if c in df.columns})
+
+
+def normalize_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Columns that `df` has, in Unicode compatibility form."""
+    return df.withColumns({c: nfkc(F.col(c)) for c in columns if c in df.columns})
 
 
 def search_corpus(df: DataFrame, columns: Sequence[str] = ("description", "seller_comments")) -> Column:

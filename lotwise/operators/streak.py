@@ -3,22 +3,39 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import staged
+
 
 def streaks(df: DataFrame, hit: Column, order: Sequence[str], per: Sequence[str] = ()) -> DataFrame:
-    """`df` with `streak`: how many rows up to this one hit in a row, 0 where it does not. Each feed is one sequence, so
-    a table is as parallel as it has feeds."""
-    w = Window.partitionBy(*per).orderBy(*order)
-    hits = F.coalesce(hit, F.lit(False))
-    runs = df.withColumn("_hit", hits).withColumn("_run", F.sum((~F.col("_hit")).cast("int")).over(w))
-    inside = Window.partitionBy(*per, "_run").orderBy(*order)
-    return runs.withColumn("streak", F.sum(F.col("_hit").cast("int")).over(inside)).drop("_hit", "_run")
+    """`df` with `streak`: how many rows up to this one hit in a row, 0 where it does not.
+
+    Rows are written sorted in ranges of (per, order), so a feed of any size spreads over many tasks. Streaks are counted
+    inside each range; what one range carries into the next, a row at most for each range, is added to its first run. The
+    order must tell the rows of a feed apart. Null feeds are feeds; a null hit is none; an empty table stays empty."""
+    marked = df.withColumn("_hit", F.coalesce(hit, F.lit(False)))
+    ranged = staged(marked.repartitionByRange(*per, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    misses = F.sum((~F.col("_hit")).cast("int"))
+    runs = ranged.withColumn("_run", misses.over(Window.partitionBy(*per, "_range").orderBy(*order)))
+    counted = runs.withColumn("streak", F.sum(F.col("_hit").cast("int")).over(Window.partitionBy(*per, "_range", "_run").orderBy(*order)))
+    ends = counted.groupBy(*per, "_range").agg(misses.alias("_misses"), F.max_by("streak", F.struct(*order)).alias("_tail"))
+    along = Window.partitionBy(*per).orderBy("_range")
+    group = ends.withColumn("_group", F.sum((F.col("_misses") > 0).cast("int")).over(along))
+    sums = group.withColumn("_sum", F.sum("_tail").over(Window.partitionBy(*per, "_group").orderBy("_range")))
+    into = sums.withColumn("_carried", F.lag("_sum").over(along)).filter("_carried > 0")
+    into = F.broadcast(into.select(*[F.col(c).alias(f"_k{k}") for k, c in enumerate(per)], F.col("_range").alias("_kr"), "_carried"))
+    same = reduce(lambda a, b: a & b, [counted[c].eqNullSafe(into[f"_k{k}"]) for k, c in enumerate(per)], counted["_range"] == into["_kr"])
+    carried = F.when(F.col("_hit") & (F.col("_run") == 0), F.coalesce("_carried", F.lit(0))).otherwise(0)
+    return counted.join(into, same, "left").select(*df.columns, (F.col("streak") + carried).alias("streak"))
 
 
 def first_cutoff(df: DataFrame, hit: Column, order: Sequence[str], per: Sequence[str], limit: int) -> DataFrame:
     """Per feed, the first row at which `limit` rows in a row have hit: where a catch-up run may stop."""
+    rest = [c for c in df.columns if c not in per]
     at = streaks(df, hit, order, per).filter(F.col("streak") >= limit)
-    return at.withColumn("_n", F.row_number().over(Window.partitionBy(*per).orderBy(*order))).filter("_n = 1").drop("_n")
+    best = at.groupBy(*per).agg(F.min_by(F.struct(*rest, "streak"), F.struct(*order)).alias("_first"))
+    return best.select(*per, "_first.*").select(*df.columns, "streak")

@@ -25,16 +25,18 @@ def clean_duplicates_and_impossibles(df: DataFrame, settings: Settings = DEFAULT
     return cleaning.drop_impossible(cleaning.keep_first(df, ["listing_id"], ["source_pk"]), settings=settings)
 
 
-def clean_listings(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def clean_listings(df: DataFrame, settings: Settings = DEFAULTS, normalize: bool = False) -> DataFrame:
     """Clean rows, written once: repair reads the input twice (narrow, for body types, and whole), and everything after it
-    reads the written rows. No rule looks at a colour, so colours come last, from one narrow pass over what is left."""
+    reads the written rows. No rule looks at a colour, so colours come last, from one narrow pass over what is left.
+    `normalize` puts the text columns in Unicode compatibility form as they are written, so that no later pass has to."""
     rows = clean_duplicates_and_impossibles(clean_nulls(cleaning.fill_blank(df, schema.OPTIONAL_TEXT)), settings)
+    rows = text.normalize_columns(rows, schema.TEXT_COLUMNS) if normalize else rows
     return color.clean_color_column(staged(rows, "clean")).drop("color").withColumnRenamed("color_clean", "color")
 
 
-def row_features(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def row_features(df: DataFrame, settings: Settings = DEFAULTS, unicode: bool = True) -> DataFrame:
     """What a row alone tells. Standard text comes before what groups by it, and flags before scores."""
-    df = text.standardize_text_columns(df, schema.TEXT_COLUMNS)
+    df = text.standardize_text_columns(df, schema.TEXT_COLUMNS, unicode)
     df = text.keyword_flags(df, lookups.SELLER_PHRASES | lookups.CONTAINS_PHRASES)
     df = features.add_scores(df, schema.SCORES | schema.SELLER_SCORES)
     date = F.col("scrape_date") if "scrape_date" in df.columns else None
@@ -46,14 +48,14 @@ def statistics_of(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return market.split_statistics(staged(market.segment_and_city_statistics(df), "statistics"))
 
 
-def build_features(df: DataFrame, settings: Settings = DEFAULTS, include_log_price: bool = False, statistics: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+def build_features(df: DataFrame, settings: Settings = DEFAULTS, include_log_price: bool = False, statistics: tuple[DataFrame, DataFrame] | None = None, unicode: bool = True) -> DataFrame:
     """All derived columns. Segments and cities are compared with their own rows, or with `statistics` (segments, cities) that
     an earlier run saved, so that one ad or a stream of them gets the same columns."""
     if statistics is None:
-        narrow = text.standardize_text_columns(df, [*market.SEGMENT[:2], "city"])
+        narrow = text.standardize_text_columns(df, [*market.SEGMENT[:2], "city"], unicode)
         statistics = statistics_of(features.add_scores(narrow, {"equipment_score": schema.SCORES["equipment_score"]}))
     segments, cities = statistics
-    df = market.location_features(market.market_features(row_features(df, settings), statistics=segments), statistics=cities)
+    df = market.location_features(market.market_features(row_features(df, settings, unicode), statistics=segments), statistics=cities)
     log_price = F.log1p(F.greatest("price", F.lit(0))) if include_log_price else F.lit(None).cast("double")
     return df.withColumn("log_price", log_price)
 
@@ -67,8 +69,8 @@ def select_processed(df: DataFrame, columns: list[str] = schema.PROCESSED) -> Da
 
 def process_listings(raw: DataFrame, settings: Settings = DEFAULTS, include_log_price: bool = False) -> DataFrame:
     """End to end. The processed listing_id is the raw table's own key, not the ad's number."""
-    df = clean_listings(attach_source_pk(raw), settings)
-    df = build_features(df, settings, include_log_price)
+    df = clean_listings(attach_source_pk(raw), settings, normalize=True)
+    df = build_features(df, settings, include_log_price, unicode=False)
     return select_processed(df.drop("listing_id").withColumnRenamed("source_pk", "listing_id"))
 
 
@@ -76,7 +78,7 @@ def refresh_segments(processed: DataFrame, raw: DataFrame, changed: DataFrame, s
     """Processed rows to merge after some raw rows changed (`changed`: brand, model, year and city of rows before and
     after, in standard form): those of every touched segment or city, rebuilt. Features are built for these rows alone, and
     statistics for their segments and cities, which need all rows of both but no more than narrow ones."""
-    ready = text.standardize_text_columns(clean_listings(attach_source_pk(raw), settings), schema.TEXT_COLUMNS)
+    ready = text.standardize_text_columns(clean_listings(attach_source_pk(raw), settings, normalize=True), schema.TEXT_COLUMNS, unicode=False)
     in_segment = changed.select(*market.SEGMENT).distinct().withColumn("_segment", F.lit(True))
     in_city = changed.select("city").distinct().withColumn("_city", F.lit(True))
     marked = ready.join(in_segment, list(market.SEGMENT), "left").join(in_city, "city", "left")
@@ -84,5 +86,5 @@ def refresh_segments(processed: DataFrame, raw: DataFrame, changed: DataFrame, s
     scored = features.add_scores(ready, {"equipment_score": schema.SCORES["equipment_score"]})
     segments = market.segment_statistics(scored.join(touched.select(*market.SEGMENT).distinct(), list(market.SEGMENT), "left_semi"))
     cities = market.city_statistics(scored.join(touched.select("city").distinct(), "city", "left_semi"))
-    built = build_features(touched, settings, statistics=(segments, cities))
+    built = build_features(touched, settings, statistics=(segments, cities), unicode=False)
     return select_processed(built.drop("listing_id").withColumnRenamed("source_pk", "listing_id"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,12 +40,13 @@ def streak_stream(stream: DataFrame, hit: Column, feed: str, order: list[str], l
     rows = stream.select(F.col(feed).cast("string").alias("feed"), *[F.col(c).alias(p) for c, p in zip(order, places)], F.coalesce(hit, F.lit(False)).alias("_hit"))
 
     def run(key: tuple, pages: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        streak, done = state.get if state.exists else (0, False)
-        seen = pd.concat(list(pages)).sort_values(places)
-        for value in seen["_hit"]:
-            streak = streak + 1 if value else 0
-            done = done or streak >= limit
-        state.update((streak, bool(done)))
-        yield pd.DataFrame({"feed": [key[0]], "streak": [streak], "cut_off": [bool(done)]})
+        carried, done = state.get if state.exists else (0, False)
+        hits = pd.concat(list(pages)).sort_values(places)["_hit"].to_numpy(bool)
+        nth = np.arange(1, len(hits) + 1)
+        last_miss = np.maximum.accumulate(np.where(hits, 0, nth))
+        runs = nth - last_miss + np.where(last_miss == 0, carried, 0)
+        found = int(runs[-1]), bool(done or (runs >= limit).any())
+        state.update(found)
+        yield pd.DataFrame({"feed": [key[0]], "streak": [found[0]], "cut_off": [found[1]]})
 
     return rows.groupBy("feed").applyInPandasWithState(run, "feed string, streak long, cut_off boolean", "streak long, done boolean", "update", GroupStateTimeout.NoTimeout)

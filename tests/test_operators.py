@@ -55,6 +55,21 @@ def test_streaks(spark):
     got = streak.streaks(df, F.col("known") == 1, ["n"], ["feed"]).orderBy("n").collect()
     assert [r.streak for r in got] == [1, 2, 0, 1, 2, 3]
     assert streak.first_cutoff(df, F.col("known") == 1, ["n"], ["feed"], 3).first().n == 5
+    # one long feed, a null feed and short ones, over several ranges
+    rows = [("long", k, int(k % 97 != 5 and not 300 < k < 310)) for k in range(700)] + [(None, k, 1) for k in range(40)] + [(f"f{k % 9}", k, k % 2) for k in range(90)]
+    many = spark.createDataFrame(rows, "feed string, n int, known int")
+    want, state = {}, {}
+    for feed, n, known in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        state[feed] = want[feed, n] = state.get(feed, 0) + 1 if known else 0
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # four ranges, however few the rows
+    try:
+        got = streak.streaks(many, F.col("known") == 1, ["n"], ["feed"]).collect()
+        alone = streak.streaks(many.filter("feed = 'long'"), F.col("known") == 1, ["n"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {(r.feed, r.n): r.streak for r in got} == want
+    assert {("long", r.n): r.streak for r in alone} == {k: v for k, v in want.items() if k[0] == "long"}
+    assert streak.streaks(many.limit(0), F.col("known") == 1, ["n"], ["feed"]).count() == 0
 
 
 def test_profile_of_empty_tables(spark):
