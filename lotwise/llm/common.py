@@ -2,30 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.scratch import scratch, shared_dir
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-_own_dirs: dict[str, str] = {}
+__all__ = ["Staged", "delete", "filesystem", "read", "scratch", "shared_dir"]
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (local tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        app = spark.sparkContext.applicationId
-        found = _own_dirs.get(app) or _own_dirs.setdefault(app, "file://" + tempfile.mkdtemp(prefix="spark-"))
-    return found.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 class Staged:
