@@ -9,6 +9,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Word bytes of two readings of a text. BLANKS: anything but space, \t \n \v \f \r. ALNUM: 0-9, a-z after lower-casing, and every byte of a non-ASCII letter.
 BLANKS = np.ones(256, bool)
@@ -117,7 +118,7 @@ def span_hashes(words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.nda
 def batches(it, limit: int = (1 << 19) - 1):
     """Arrow batches cut so that each holds about `limit` bytes of text at most (one row at least)."""
     for batch in it:
-        sizes = np.cumsum([0, *(len(x.as_buffer()) if x.is_valid else 0 for x in batch.column("text").cast(pa.large_binary()))])
+        sizes = np.concatenate([[0], np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy(), dtype=np.int64)])
         lo = 0
         while lo < batch.num_rows:
             hi = max(lo + 1, int(np.searchsorted(sizes, sizes[lo] + limit, side="right")) - 1)

@@ -140,7 +140,7 @@ class Index:
         """(document, example, cosine): each document's k examples of largest cosine over 0, nearest first, ties to the
         smaller id. Documents are searched some at a time, so that the gathered cells stay few."""
         found = []
-        size = 64 + np.bincount(doc, self.cells[term + 1] - self.cells[term], minlength=n_docs)
+        size = 1000 + np.bincount(doc, self.cells[term + 1] - self.cells[term], minlength=n_docs)
         chunk = np.cumsum(size) // CELLS
         for c in np.unique(chunk):
             lo, hi = np.searchsorted(chunk, [c, c + 1])
