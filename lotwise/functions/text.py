@@ -67,15 +67,23 @@ def standardize_text(c: Column, *, garbage: Sequence[str] = GARBAGE_TEXT, acrony
     return F.when(value.isNull() | F.lower(value).isin(*garbage), F.lit("Unknown")).otherwise(title_case(value, acronyms))
 
 
-def standardize_text_columns(df: DataFrame, columns: Sequence[str], unicode: bool = True) -> DataFrame:
-    """Columns that `df` has are standardised; others are skipped. Without `unicode` values are taken to be in Unicode
-    compatibility form already, and nothing crosses to Python."""
-    return df.withColumns({c: standardize_text(F.col(c), unicode=unicode) for c in columns if c in df.columns})
+def standardize_text_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Columns that `df` has are standardised; others are skipped."""
+    return df.withColumns({c: standardize_text(F.col(c)) for c in columns if c in df.columns})
 
 
-def normalize_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Columns that `df` has, in Unicode compatibility form."""
-    return df.withColumns({c: nfkc(F.col(c)) for c in columns if c in df.columns})
+def standard_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, standard) of the distinct values of the columns, from one pass over them alone."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])).alias("pair")
+    return df.select(pairs).select("pair.*").distinct().withColumn("standard", standardize_text(F.col("value")))
+
+
+def with_standard_values(df: DataFrame, columns: Sequence[str], values: DataFrame) -> DataFrame:
+    """The columns replaced by their standard form, from a table of `standard_values` that is small enough to be broadcast."""
+    for c in columns:
+        known = F.broadcast(values.filter(F.col("column") == c).select(F.col("value").alias("_value"), F.col("standard").alias("_standard")))
+        df = df.join(known, df[c].eqNullSafe(known["_value"]), "left").withColumn(c, F.col("_standard")).drop("_value", "_standard")
+    return df
 
 
 def search_corpus(df: DataFrame, columns: Sequence[str] = ("description", "seller_comments")) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,30 +47,6 @@ def market_features(df: DataFrame, keys: Sequence[str] = SEGMENT, price: str = "
     return df.join(stats, list(keys), "left").withColumns(comparisons(F.col(price), F.col(mileage), F.col(score)))
 
 
-def segment_and_city_statistics(df: DataFrame, keys: Sequence[str] = SEGMENT, city: str = "city", price: str = "price", mileage: str = "mileage", score: str = "equipment_score") -> DataFrame:
-    """The rows of `segment_statistics` and of `city_statistics` (those with is_city) from one pass over narrow rows."""
-    narrow = df.select(*keys, city, price, mileage, score)
-    sets = [[F.col(k) for k in keys], [F.col(city)]]
-    found = narrow.groupingSets(sets, *keys, city).agg(
-        F.grouping(keys[0]).cast("boolean").alias("is_city"),
-        F.avg(price).alias("market_avg_price"),
-        F.median(price).cast("double").alias("market_median_price"),
-        F.stddev_samp(price).alias("market_std_price"),
-        F.count(price).alias("market_listing_count"),
-        F.avg(mileage).alias("market_avg_mileage"),
-        F.avg(score).alias("market_avg_equipment_score"),
-        F.sum(price).alias("_total"),
-    )
-    return found.filter(F.when(F.col("is_city"), F.col(city).isNotNull()).otherwise(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])))
-
-
-def split_statistics(both: DataFrame, keys: Sequence[str] = SEGMENT, city: str = "city") -> tuple[DataFrame, DataFrame]:
-    """Segment statistics and city statistics out of `segment_and_city_statistics`."""
-    segments = both.filter("not is_city").select(*keys, "market_avg_price", "market_median_price", "market_std_price", "market_listing_count", "market_avg_mileage", "market_avg_equipment_score")
-    cities = both.filter("is_city").select(city, F.col("market_avg_price").alias("city_avg_price"), F.col("market_listing_count").alias("city_listing_count"), "_total")
-    return segments, cities
-
-
 def segment_counts(df: DataFrame, keys: Sequence[str] = SEGMENT) -> DataFrame:
     """(segments, singletons)."""
     return df.groupBy(*keys).count().agg(F.count("*").alias("segments"), F.count_if(F.col("count") == 1).alias("singletons"))

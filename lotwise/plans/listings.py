@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,9 @@ from ..operators import cleaning, features, market
 from ..sources.readers import attach_source_pk
 from ..sources.scratch import staged
 
+#: Distinct values of all text columns that are broadcast at most.
+MAX_VALUES = 200_000
+
 
 def clean_nulls(df: DataFrame) -> DataFrame:
     """Electric engines, body types from the commonest of brand and model, unfeatured ads, then rows with any null go."""
@@ -25,37 +30,50 @@ def clean_duplicates_and_impossibles(df: DataFrame, settings: Settings = DEFAULT
     return cleaning.drop_impossible(cleaning.keep_first(df, ["listing_id"], ["source_pk"]), settings=settings)
 
 
-def clean_listings(df: DataFrame, settings: Settings = DEFAULTS, normalize: bool = False) -> DataFrame:
-    """Clean rows, written once: repair reads the input twice (narrow, for body types, and whole), and everything after it
-    reads the written rows. No rule looks at a colour, so colours come last, from one narrow pass over what is left.
-    `normalize` puts the text columns in Unicode compatibility form as they are written, so that no later pass has to."""
-    rows = clean_duplicates_and_impossibles(clean_nulls(cleaning.fill_blank(df, schema.OPTIONAL_TEXT)), settings)
-    rows = text.normalize_columns(rows, schema.TEXT_COLUMNS) if normalize else rows
-    return color.clean_color_column(staged(rows, "clean")).drop("color").withColumnRenamed("color_clean", "color")
+def clean_rows(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Clean rows with colours as they were, written once: repair reads the input twice (narrow, for body types, and whole),
+    and everything after it reads the written rows."""
+    return staged(clean_duplicates_and_impossibles(clean_nulls(cleaning.fill_blank(df, schema.OPTIONAL_TEXT)), settings), "clean")
+
+
+def clean_listings(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """No rule looks at a colour, so colours come last, from one narrow pass over the rows that are left."""
+    return color.clean_color_column(clean_rows(df, settings)).drop("color").withColumnRenamed("color_clean", "color")
+
 
+def standard_text(df: DataFrame, columns: Sequence[str] = schema.TEXT_COLUMNS, most: int = MAX_VALUES) -> Callable[[DataFrame, Sequence[str]], DataFrame]:
+    """A function that puts columns of `df`, or of parts of it, in standard form. The rules run once for each distinct value,
+    in a written table that is broadcast while it has at most `most` rows; beyond, they run on every row."""
+    values = staged(text.standard_values(df, columns), "values")
+    if values.count() > most:
+        return text.standardize_text_columns
+    return lambda rows, some: text.with_standard_values(rows, some, values)
 
-def row_features(df: DataFrame, settings: Settings = DEFAULTS, unicode: bool = True) -> DataFrame:
-    """What a row alone tells. Standard text comes before what groups by it, and flags before scores."""
-    df = text.standardize_text_columns(df, schema.TEXT_COLUMNS, unicode)
+
+def row_features(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """What a row with standard text tells alone; flags come before scores."""
     df = text.keyword_flags(df, lookups.SELLER_PHRASES | lookups.CONTAINS_PHRASES)
     df = features.add_scores(df, schema.SCORES | schema.SELLER_SCORES)
     date = F.col("scrape_date") if "scrape_date" in df.columns else None
     return df.withColumns(numeric.numeric_features(F.col("year"), F.col("mileage"), F.col("engine_capacity"), F.col("price"), date, settings))
 
 
+def with_equipment_score(df: DataFrame) -> DataFrame:
+    return features.add_scores(df, {"equipment_score": schema.SCORES["equipment_score"]})
+
+
 def statistics_of(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(segments, cities) of rows with standard text and scores, written once: what later runs read to score single ads."""
-    return market.split_statistics(staged(market.segment_and_city_statistics(df), "statistics"))
-
-
-def build_features(df: DataFrame, settings: Settings = DEFAULTS, include_log_price: bool = False, statistics: tuple[DataFrame, DataFrame] | None = None, unicode: bool = True) -> DataFrame:
-    """All derived columns. Segments and cities are compared with their own rows, or with `statistics` (segments, cities) that
-    an earlier run saved, so that one ad or a stream of them gets the same columns."""
-    if statistics is None:
-        narrow = text.standardize_text_columns(df, [*market.SEGMENT[:2], "city"], unicode)
-        statistics = statistics_of(features.add_scores(narrow, {"equipment_score": schema.SCORES["equipment_score"]}))
-    segments, cities = statistics
-    df = market.location_features(market.market_features(row_features(df, settings, unicode), statistics=segments), statistics=cities)
+    """(segments, cities) of rows with standard text, written once: what later runs read to score single ads."""
+    return staged(market.segment_statistics(with_equipment_score(df)), "segments"), staged(market.city_statistics(df), "cities")
+
+
+def build_features(df: DataFrame, settings: Settings = DEFAULTS, include_log_price: bool = False, statistics: tuple[DataFrame, DataFrame] | None = None, standard: bool = False) -> DataFrame:
+    """All derived columns. Standard text (`standard`: the rows have it) comes before what groups by it. Segments and cities
+    are compared with their own rows, or with `statistics` (segments, cities) that an earlier run saved, so that one ad or
+    a stream of them gets the same columns."""
+    df = df if standard else text.standardize_text_columns(df, schema.TEXT_COLUMNS)
+    segments, cities = statistics or statistics_of(df)
+    df = market.location_features(market.market_features(row_features(df, settings), statistics=segments), statistics=cities)
     log_price = F.log1p(F.greatest("price", F.lit(0))) if include_log_price else F.lit(None).cast("double")
     return df.withColumn("log_price", log_price)
 
@@ -69,8 +87,11 @@ def select_processed(df: DataFrame, columns: list[str] = schema.PROCESSED) -> Da
 
 def process_listings(raw: DataFrame, settings: Settings = DEFAULTS, include_log_price: bool = False) -> DataFrame:
     """End to end. The processed listing_id is the raw table's own key, not the ad's number."""
-    df = clean_listings(attach_source_pk(raw), settings, normalize=True)
-    df = build_features(df, settings, include_log_price, unicode=False)
+    rows = clean_rows(attach_source_pk(raw), settings)
+    standard = standard_text(rows)
+    statistics = statistics_of(standard(rows, [*market.SEGMENT[:2], "city"]))  # before colours, which they do not need
+    df = color.clean_color_column(rows).drop("color").withColumnRenamed("color_clean", "color")
+    df = build_features(standard(df, schema.TEXT_COLUMNS), settings, include_log_price, statistics, standard=True)
     return select_processed(df.drop("listing_id").withColumnRenamed("source_pk", "listing_id"))
 
 
@@ -78,13 +99,15 @@ def refresh_segments(processed: DataFrame, raw: DataFrame, changed: DataFrame, s
     """Processed rows to merge after some raw rows changed (`changed`: brand, model, year and city of rows before and
     after, in standard form): those of every touched segment or city, rebuilt. Features are built for these rows alone, and
     statistics for their segments and cities, which need all rows of both but no more than narrow ones."""
-    ready = text.standardize_text_columns(clean_listings(attach_source_pk(raw), settings, normalize=True), schema.TEXT_COLUMNS, unicode=False)
+    rows = clean_rows(attach_source_pk(raw), settings)
+    ready = standard_text(rows)(rows, schema.TEXT_COLUMNS)
     in_segment = changed.select(*market.SEGMENT).distinct().withColumn("_segment", F.lit(True))
     in_city = changed.select("city").distinct().withColumn("_city", F.lit(True))
     marked = ready.join(in_segment, list(market.SEGMENT), "left").join(in_city, "city", "left")
     touched = staged(marked.filter("_segment or _city").drop("_segment", "_city"), "touched")
-    scored = features.add_scores(ready, {"equipment_score": schema.SCORES["equipment_score"]})
-    segments = market.segment_statistics(scored.join(touched.select(*market.SEGMENT).distinct(), list(market.SEGMENT), "left_semi"))
-    cities = market.city_statistics(scored.join(touched.select("city").distinct(), "city", "left_semi"))
-    built = build_features(touched, settings, statistics=(segments, cities), unicode=False)
+    narrow = with_equipment_score(ready).select(*market.SEGMENT, "city", "price", "mileage", "equipment_score")
+    segments = market.segment_statistics(narrow.join(touched.select(*market.SEGMENT).distinct(), list(market.SEGMENT), "left_semi"))
+    cities = market.city_statistics(narrow.join(touched.select("city").distinct(), "city", "left_semi"))
+    colored = color.clean_color_column(touched).drop("color").withColumnRenamed("color_clean", "color")
+    built = build_features(colored, settings, statistics=(segments, cities), standard=True)
     return select_processed(built.drop("listing_id").withColumnRenamed("source_pk", "listing_id"))

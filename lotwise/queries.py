@@ -545,8 +545,7 @@ def refresh_segments(spark, sf_dir):
 def score_with_saved_statistics(spark, sf_dir):
     """Some ads, given the columns that they have among all, from segments and cities that were saved before."""
     ready = listings.clean_listings(readers.attach_source_pk(raw_view(spark, sf_dir)))
-    scored = features.add_scores(text.standardize_text_columns(ready, schema.TEXT_COLUMNS), {"equipment_score": schema.SCORES["equipment_score"]})
-    saved = listings.statistics_of(scored)
+    saved = listings.statistics_of(text.standardize_text_columns(ready, schema.TEXT_COLUMNS))
     built = _rounded(listings.build_features(ready.filter("source_pk % 10 = 3"), statistics=saved))
     return built.select(F.col("source_pk").alias("listing_id"), "market_listing_count", "city_listing_count", "market_avg_price", "city_avg_price")
 

@@ -41,6 +41,12 @@ def test_listings_end_to_end(spark):
     assert one.city_listing_count == 4 and one.log_price > 15
 
 
+def test_values_beyond_the_bound_are_standardised_row_by_row(spark):
+    df = spark.createDataFrame([(" alto  vxr", None), ("n/a", "Ａudi"), (None, "x-y")], "a string, b string")
+    one, two = (listings.standard_text(df, ["a", "b"], most)(df, ["a", "b"]) for most in (1, 100))
+    assert sorted(one.collect()) == sorted(two.collect()) == [("Alto VXR", "Unknown"), ("Unknown", "Audi"), ("Unknown", "X-Y")]
+
+
 def test_refresh_rebuilds_touched_segments_only(spark):
     df = raw(spark, [{}, {"brand": "ace", "city": "swat"}, {"price": 4200000}])
     whole = listings.process_listings(df)
