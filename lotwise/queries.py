@@ -429,6 +429,41 @@ def extract_items(spark, sf_dir):
     return web.extract_items(read(spark, sf_dir, "pages")).withColumn("features", F.sort_array("features"))
 
 
+def built_pages(spark, sf_dir) -> DataFrame:
+    """Ad pages made of parts, of five kinds: structured data, the same in an array after a broken block, spec lists with a
+    list of features, description sentences with comments, and titles alone."""
+    k, s = F.col("p_partkey") % 5, lambda c: F.col(c).cast("string")
+    text_ = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    maker, model, size = F.regexp_replace("p_brand", "#", ""), F.col("p_type"), s("p_size")
+    title = text_("<title>", maker, " ", model, " ", (F.col("p_size") % 20 + 2000).cast("string"), " for sale in Town", size, " | Ads</title>")
+    car = text_('{"@type": "Car", "brand": {"name": "', maker, '"}, "model": "', model, '", "modelDate": ', (F.col("p_size") + 1970).cast("string"), ', "color": "', F.split("p_name", " ")[0],
+                '", "vehicleEngine": {"engineDisplacement": "', size, '00cc"}, "offers": {"price": ', s("p_partkey"), ', "priceCurrency": "PKR"}}')
+    script = lambda body: text_('<script type="application/ld+json">', body, "</script>")
+    body = F.when(k == 0, text_(script(car), '<div id="myCarousel"><div class="big featured-ribbon"></div></div>'))
+    body = body.when(k == 1, text_(script(F.lit("{broken")), script(text_('[{"@type": "Thing"}, ', car, "]")), '<div id="myCarousel"></div>'))
+    body = body.when(k == 2, text_('<ul id="scroll_car_detail"><li>Mileage</li><li><b>', size, ",000</b> km</li><li>Fuel</li><li>Petrol</li><li>Colour</li><li>", F.col("p_name"),
+                     "</li><li>Registered In</li><li>Town", size, '</li><li>odd</li></ul><ul class="car-feature-list"><li> Sun <i>Roof</i></li><li>ABS</li></ul>'))
+    body = body.when(k == 3, text_('<meta name="description" content="Asked for PKR ', size, ".5 lacs , a ", size, "00 cc, Teal ", size, ',500 KM Driven, Manual Car."><h2 id="scroll_seller_comments">C</h2><div>Kept by <b>', maker, "</b><br>alone</div>"))
+    url = F.when(F.col("p_partkey") % 3 == 0, F.lit("https://ads.example/x")).otherwise(text_("https://ads.example/x-", (F.col("p_partkey") + 1).cast("string"), "?p=1"))
+    hidden = F.when(F.col("p_partkey") % 6 == 0, text_('<input id="id" value=" ', (F.col("p_partkey") + 1).cast("string"), ' ">')).otherwise(F.lit(""))
+    return read(spark, sf_dir, "part").select("p_partkey", url.alias("url"), text_(title, hidden, F.coalesce(body, F.lit(""))).alias("html"))
+
+
+@query("""WITH p AS (SELECT *, p_partkey % 5 AS k, replace(p_brand, '#', '') AS maker, p_size::VARCHAR AS size FROM part)
+SELECT p_partkey, CASE WHEN p_partkey % 3 <> 0 OR p_partkey % 6 = 0 THEN p_partkey + 1 END AS listing_id, maker || ' ' || p_type || ' ' || (p_size % 20 + 2000) || ' for sale in Town' || size AS title,
+  'Town' || size AS city, maker AS brand, p_type AS model, CASE WHEN k < 2 THEN (p_size + 1970)::VARCHAR ELSE (p_size % 20 + 2000)::VARCHAR END AS year_raw,
+  CASE k WHEN 2 THEN size || ',000  km' WHEN 3 THEN size || ',500' END AS mileage_raw, CASE k WHEN 2 THEN 'Petrol' END AS fuel_type, CASE k WHEN 3 THEN 'Manual' END AS transmission,
+  CASE WHEN k < 2 THEN size || '00cc' WHEN k = 3 THEN size || '00' END AS engine_capacity_raw, CASE WHEN k < 2 THEN split_part(p_name, ' ', 1) WHEN k = 2 THEN p_name WHEN k = 3 THEN 'Teal' END AS color,
+  CASE WHEN k < 2 THEN p_partkey::VARCHAR WHEN k = 3 THEN size || '.5 lacs' END AS price_raw, CASE WHEN k < 2 THEN 'PKR' END AS price_currency,
+  CASE k WHEN 2 THEN 'Town' || size END AS registered_in, CASE k WHEN 2 THEN 'ABS, Sun  Roof' ELSE '' END AS features, CASE k WHEN 3 THEN 'Kept by ' || maker || ' alone' END AS seller_comments,
+  CASE k WHEN 0 THEN true WHEN 1 THEN false END AS is_featured FROM p""")
+def extract_built_pages(spark, sf_dir):
+    """Every layer of page extraction, on pages whose fields are known."""
+    items = web.extract_items(built_pages(spark, sf_dir)).withColumn("features", F.array_join(F.sort_array("features"), ", "))
+    fields = ["title", "city", "brand", "model", "year_raw", "mileage_raw", "fuel_type", "transmission", "engine_capacity_raw", "color", "price_raw", "price_currency", "registered_in", "features", "seller_comments", "is_featured"]
+    return items.select("p_partkey", "listing_id", *fields)
+
+
 @query()
 def pages_to_listings(spark, sf_dir):
     pages = read(spark, sf_dir, "pages").withColumn("url", F.concat("url", F.lit("-"), (F.col("page_id") + 1).cast("string")))
