@@ -14,6 +14,8 @@ MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2026-01-01T00:00:00Z"
+#: Groups of equal payloads (some 100 bytes each) that are broadcast at most; with more, pages are shuffled to them.
+MAX_BROADCAST_GROUPS = 500_000
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -35,7 +37,8 @@ def records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     full = full.withColumns({"bytes": F.octet_length("payload"), "digest": base32_sha1(F.col("payload"))})
     groups = full.filter(F.col("bytes") >= min_revisit_bytes).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies"))
     first = staged.write("first", groups.filter("copies > 1 and first_id is not null").select("digest", "first_id"))
-    joined = full.join(first.hint("merge"), "digest", "left")  # a row for each group of pages: not to be broadcast
+    small = first.count() <= MAX_BROADCAST_GROUPS
+    joined = full.join(F.broadcast(first) if small else first.hint("merge"), "digest", "left")
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(END))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">\r\n"))
