@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, near_dedup, neighbours, packing, sharding, suffix_dedup, token_counts, toxicity, warc
+from . import conversations, decontaminate, langid, near_dedup, neighbours, packing, sharding, substring_dedup, suffix_dedup, token_counts, toxicity, warc, whitening
 from .common import Staged, read, scratch
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -90,7 +90,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_packing": op2_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_dedup": op4_near_dedup, "op5_language": op5_language, "op6_neighbours": op6_neighbours, "op7_toxicity": op7_toxicity, "op8_warc": op8_warc, "op9_token_counts": op9_token_counts, "op10_decontamination": op10_decontamination}
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.without_repeats(read(spark, sf_dir, "documents"), words=13)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations")
+    return conversations.audited(turns, conversations.damaged(turns))
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_packing": op2_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_dedup": op4_near_dedup, "op5_language": op5_language, "op6_neighbours": op6_neighbours, "op7_toxicity": op7_toxicity, "op8_warc": op8_warc, "op9_token_counts": op9_token_counts, "op10_decontamination": op10_decontamination, "op11_substring_dedup": op11_substring_dedup, "op12_whitening": op12_whitening, "op13_conversations": op13_conversations}
 
 #: A text with A-Z in lower case and nothing else changed.
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -157,4 +171,52 @@ hits AS (SELECT doc_id, count(DISTINCT at_word) AS n_hit FROM (SELECT DISTINCT d
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    # A word is covered by a window that begins up to 12 words before it.
+    "op11_substring_dedup": r"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT r, doc_id, k, array_to_string(w[k:k + 12], ' ') AS g FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM w WHERE len(w) >= 13)),
+hit AS (SELECT r, k FROM g JOIN (SELECT g, min(doc_id) AS first FROM g GROUP BY g) USING (g) WHERE doc_id > first),
+gone AS (SELECT DISTINCT r, unnest(range(k, k + 13)) AS k FROM hit),
+lost AS (SELECT r, list(k) AS gone FROM gone GROUP BY r),
+kept AS (SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed, CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END AS kept FROM w LEFT JOIN lost USING (r))
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM kept""",
+    # The recursion takes one turn a step. A state is a way's (cost, edits, lines); the least of a list of ways survives. States: 1 nothing yet, 2 after the
+    # system turn, 3 after a user's, 4 after an assistant's. Inserts come after each turn: a user's from 1, 2 or 4, then an assistant's from 3.
+    "op13_conversations": r"""
+WITH RECURSIVE bits AS (SELECT i, i AS c, 0 AS k FROM range(256) t(i) UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crcs AS (SELECT list(c ORDER BY i) AS crcs FROM bits WHERE k = 8),
+o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+h AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_transform(range(1, len(name) + 1), lambda i: ascii(name[i])::BIGINT), lambda c, b: xor(c >> 8, crcs[xor(c & 255, b) + 1]), 4294967295), 4294967295) % 20 AS code FROM o, crcs),
+d AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role, CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE code <> 0
+), n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last FROM d),
+f AS (
+  SELECT *, role[1:1] AS r, CASE WHEN last = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd' WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+    lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM n
+), stats AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (i > 1 AND before || r NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM f GROUP BY conv_id
+), way(conv_id, i, w) AS (
+  SELECT conv_id, 0::BIGINT, [{'c': 0, 'e': '', 't': ''}, NULL, {'c': 2, 'e': 'I', 't': E'user:\n'}, {'c': 4, 'e': 'II', 't': E'user:\nassistant:\n'}] FROM stats
+  UNION ALL
+  SELECT conv_id, i, [w1, w2, w3, list_min([w4, {'c': w3.c + 2, 'e': w3.e || 'I', 't': w3.t || E'assistant:\n'}])] FROM (
+    SELECT conv_id, i, w1, w2, w4, list_min(list_filter([w3, {'c': w1.c + 2, 'e': w1.e || 'I', 't': w1.t || E'user:\n'}, {'c': w2.c + 2, 'e': w2.e || 'I', 't': w2.t || E'user:\n'}, {'c': w4.c + 2, 'e': w4.e || 'I', 't': w4.t || E'user:\n'}], lambda x: x.c IS NOT NULL)) AS w3 FROM (
+      SELECT conv_id, i, del[1] AS w1, list_min(list_filter([del[2], CASE WHEN stay AND r = 's' THEN keep[1] END], lambda x: x.c IS NOT NULL)) AS w2,
+        list_min(list_filter([del[3], CASE WHEN stay AND r = 'u' THEN keep[1] END, CASE WHEN stay AND r = 'u' THEN keep[2] END, CASE WHEN stay AND r = 'u' THEN keep[4] END, CASE WHEN stay THEN user[1] END, CASE WHEN stay THEN user[2] END, CASE WHEN stay THEN user[4] END], lambda x: x.c IS NOT NULL)) AS w3,
+        list_min(list_filter([del[4], CASE WHEN stay AND r = 'a' THEN keep[3] END, CASE WHEN stay THEN assistant[3] END], lambda x: x.c IS NOT NULL)) AS w4
+      FROM (
+        SELECT f.conv_id, f.i, f.r, fault NOT IN ('b', 'd') AS stay,
+          list_transform(w, lambda x: CASE WHEN x.c IS NOT NULL THEN {'c': x.c + 3, 'e': x.e || 'D', 't': x.t} END) AS del,
+          list_transform(w, lambda x: CASE WHEN x.c IS NOT NULL THEN {'c': x.c + (fault = 't')::INT, 'e': x.e || 'K', 't': x.t || role || ':' || text || E'\n'} END) AS keep,
+          list_transform(w, lambda x: CASE WHEN x.c IS NOT NULL THEN {'c': x.c + 2 + (fault = 't')::INT, 'e': x.e || 'R', 't': x.t || 'user:' || text || E'\n'} END) AS user,
+          list_transform(w, lambda x: CASE WHEN x.c IS NOT NULL THEN {'c': x.c + 2 + (fault = 't')::INT, 'e': x.e || 'R', 't': x.t || 'assistant:' || text || E'\n'} END) AS assistant
+        FROM way JOIN f ON f.conv_id IS NOT DISTINCT FROM way.conv_id AND f.i = way.i + 1
+      )
+    )
+  )
+), best AS (SELECT conv_id, list_min([w[1], w[4]]) AS x FROM way JOIN stats s USING (conv_id) WHERE i = s.n)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(x.c, 0)::BIGINT AS cost, coalesce(x.e, '') AS audit, sha256(coalesce(x.t[:-2], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN stats USING (conv_id) LEFT JOIN best USING (conv_id)""",
 }
