@@ -41,14 +41,8 @@ def pages_to_listings(pages: DataFrame, known: Sequence[str] = schema.FEAT) -> D
 
 
 def merge_listings(table: sinks.SnapshotTable, listings: DataFrame, start, end, order: str | None = None) -> DataFrame:
-    """Upserts a batch into the raw table and returns its run log. Of several rows of an ad the latest by `order` counts."""
+    """Upserts a batch into the raw table and returns its run log, counted while the rows are written. Of several rows of an
+    ad the latest by `order` counts."""
     one = sinks.latest(listings, "listing_id", order) if order else listings.dropDuplicates(["listing_id"])
-    one = one.withColumn("scrape_date", F.lit(end).cast("timestamp"))
-    tagged = sinks.tag_new(one, table.read(), "listing_id").persist()
-    try:
-        log = sinks.run_log(tagged, start, end)
-        rows = log.collect()  # one row, before the table moves on
-        table.write(tagged.drop("is_new"), "upsert")
-        return table.spark.createDataFrame(rows, log.schema)
-    finally:
-        tagged.unpersist()
+    counts = table.write(one.withColumn("scrape_date", F.lit(end).cast("timestamp")), "upsert")
+    return sinks.log_of(table.spark, counts, start, end)

@@ -18,10 +18,10 @@ from ..sources.scratch import staged
 MAX_VALUES = 200_000
 
 
-def clean_nulls(df: DataFrame) -> DataFrame:
+def clean_nulls(df: DataFrame, modes: DataFrame | None = None) -> DataFrame:
     """Electric engines, body types from the commonest of brand and model, unfeatured ads, then rows with any null go."""
     df = cleaning.fill_electric_engine(df)
-    df = cleaning.fill_from_mode(df, "body_type", ["brand", "model"])
+    df = cleaning.fill_from_mode(df, "body_type", ["brand", "model"], modes=modes)
     return cleaning.drop_null_rows(cleaning.fill_false(df))
 
 
@@ -30,10 +30,10 @@ def clean_duplicates_and_impossibles(df: DataFrame, settings: Settings = DEFAULT
     return cleaning.drop_impossible(cleaning.keep_first(df, ["listing_id"], ["source_pk"]), settings=settings)
 
 
-def clean_rows(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def clean_rows(df: DataFrame, settings: Settings = DEFAULTS, modes: DataFrame | None = None) -> DataFrame:
     """Clean rows with colours as they were, written once: repair reads the input twice (narrow, for body types, and whole),
-    and everything after it reads the written rows."""
-    return staged(clean_duplicates_and_impossibles(clean_nulls(cleaning.fill_blank(df, schema.OPTIONAL_TEXT)), settings), "clean")
+    and everything after it reads the written rows. `modes` are body types by brand and model of a larger table."""
+    return staged(clean_duplicates_and_impossibles(clean_nulls(cleaning.fill_blank(df, schema.OPTIONAL_TEXT), modes), settings), "clean")
 
 
 def clean_listings(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

@@ -12,6 +12,7 @@ from .config import Settings
 from .functions import color, numeric, text, web
 from .operators import cleaning, features, market, profile, streak
 from .plans import ingest, listings, price_model
+from .plans.store import ListingStore
 from .sources import readers, sinks
 from .sources.scratch import scratch
 from .streaming import ingest as streaming
@@ -358,9 +359,9 @@ delta AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_ord
 
 @query(f"WITH {_ORDERS} SELECT * FROM base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM delta) UNION ALL SELECT * FROM delta")
 def upsert(spark, sf_dir):
-    """Merged through two snapshots of a table, the second read back."""
+    """Merged through two versions of a table, the second read back."""
     base, delta = _orders(spark, sf_dir)
-    table = sinks.SnapshotTable(spark, scratch(spark, "orders"), "o_orderkey", base.schema.simpleString()[7:-1].replace(":", " "))
+    table = sinks.SnapshotTable(spark, scratch(spark, "orders"), "o_orderkey", base.schema.simpleString()[7:-1].replace(":", " "), buckets=16)
     table.write(base)
     table.write(delta, "upsert")
     return table.read()
@@ -576,6 +577,27 @@ def refresh_segments(spark, sf_dir):
     return part.select("listing_id", "brand", "model", "year", "city", "market_listing_count", "city_listing_count", "market_avg_price", "city_avg_price")
 
 
+@query(_listing_sql(schema.PROCESSED))
+def incremental_refresh(spark, sf_dir):
+    """All 127 columns, from a store that first held other prices, cities, body types and numbers of some ads, not some others,
+    and some that were withdrawn since."""
+    now = raw_view(spark, sf_dir)
+    seen = F.col("listing_id") % 19
+    was = now.filter(seen != 3).withColumns({
+        "price": F.when(seen == 5, F.col("price") + 77_700).otherwise(F.col("price")),
+        "city": F.when(seen == 6, F.lit("elsewhere")).otherwise(F.col("city")),
+        "body_type": F.when(seen == 7, F.lit("type 9")).when(seen == 8, F.lit(None)).otherwise(F.col("body_type")),
+        "model": F.when(seen == 9, F.lit("other")).otherwise(F.col("model")),
+        "mileage": F.when(seen == 10, F.lit(-1)).otherwise(F.col("mileage")),
+    })
+    gone = now.filter(seen == 11).withColumns({"id": -F.col("id"), "listing_id": -F.col("listing_id")})
+    store = ListingStore(spark, scratch(spark, "listing-store"), buckets=8)
+    store.refresh(was.unionByName(gone), batch=0)
+    changed = now.filter(seen.isin(3, 5, 6, 7, 8, 9, 10))
+    store.refresh(changed, changed.select("listing_id").unionByName(gone.select("listing_id")), batch=1)
+    return _rounded(store.processed())
+
+
 @query(f"""WITH whole AS ({_TOUCHED}) SELECT listing_id, market_listing_count, city_listing_count, market_avg_price, city_avg_price FROM whole WHERE listing_id % 10 = 3""")
 def score_with_saved_statistics(spark, sf_dir):
     """Some ads, given the columns that they have among all, from segments and cities that were saved before."""
@@ -606,7 +628,7 @@ def snapshot_append(spark, sf_dir):
     """Replace, reset, replace and append on a snapshot table, read by the scan that renames its key."""
     region = read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("id"), "r_name")
     nation = read(spark, sf_dir, "nation").select((F.col("n_nationkey") + 100).alias("id"), F.col("n_name").alias("r_name"))
-    table = sinks.SnapshotTable(spark, scratch(spark, "snapshots"), "id", "id int, r_name string")
+    table = sinks.SnapshotTable(spark, scratch(spark, "snapshots"), "id", "id int, r_name string", buckets=4)
     table.write(nation)
     table.reset()
     sinks.write_both(region, table, scratch(spark, "csv"))
@@ -627,14 +649,13 @@ def _merged_stream(spark, sf_dir) -> tuple[sinks.SnapshotTable, str]:
     """Events that land in three parts, each merged by user as it comes; the table and the folder of the run log."""
     landed, runs = scratch(spark, "landed"), scratch(spark, "runs")
     events = read(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
+    table = sinks.SnapshotTable(spark, scratch(spark, "latest"), "user_id", "user_id long, event_id long, event_type string, ts timestamp_ntz, _at struct<ts:timestamp_ntz,event_id:long>", buckets=8)
     ordered = lambda df: df.withColumn("_at", F.struct("ts", "event_id"))
-    table = sinks.SnapshotTable(spark, scratch(spark, "latest"), "user_id", "user_id long, event_id long, event_type string, ts timestamp_ntz, _at struct<ts:timestamp_ntz,event_id:long>")
-    merged = lambda df: sinks.latest(ordered(df).unionByName(table.read()), "user_id", "_at")
     checkpoint = scratch(spark, "stream")
     for n in range(3):  # a run after each landing goes on where the one before ended
         events.filter(F.col("event_id") % 3 == n).write.mode("append").parquet(landed)
         stream = streaming.read_stream(spark, landed, events.schema)
-        streaming.upsert_stream(stream, table, "_at", checkpoint, runs, prepare=merged).awaitTermination()
+        streaming.upsert_stream(stream, table, "_at", checkpoint, runs, prepare=ordered).awaitTermination()
     return table, runs
 
 
@@ -656,16 +677,16 @@ s AS (SELECT *, sum(hit::INT) OVER (PARTITION BY user_id, run ORDER BY ts, event
 SELECT user_id::VARCHAR AS feed, arg_max(streak, (ts, event_id))::BIGINT AS streak, max(streak) >= 4 AS cut_off FROM s GROUP BY user_id""")
 def stream_streak(spark, sf_dir):
     """Events that land in two parts, the earlier half first, each followed by a run that goes on from the state before."""
-    landed, out = scratch(spark, "feed"), scratch(spark, "streaks")
+    landed, checkpoint = scratch(spark, "feed"), scratch(spark, "feed-log")
     events = read(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
+    table = sinks.SnapshotTable(spark, scratch(spark, "streaks"), "feed", streaming.STREAKS, buckets=8)
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     middle = events.agg(F.percentile(at, 0.5)).first()[0]
     for late in (False, True):
         events.filter((at > middle) == late).write.mode("append").parquet(landed)
-        found = streaming.streak_stream(streaming.read_stream(spark, landed, events.schema, files_per_batch=1_000_000), F.col("event_type").isin("error", "view"), "user_id", ["ts", "event_id"], 4)
-        save = lambda b, i: b.withColumn("batch", F.lit(i)).write.mode("append").parquet(out)
-        found.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", f"{out}-log").trigger(availableNow=True).start().awaitTermination()
-    return sinks.latest(spark.read.parquet(out), "feed", "batch").drop("batch")
+        stream = streaming.read_stream(spark, landed, events.schema, files_per_batch=1_000_000)
+        streaming.streak_stream(stream, table, F.col("event_type").isin("error", "view"), "user_id", ["ts", "event_id"], checkpoint).awaitTermination()
+    return streaming.streaks_of(table, 4)
 
 
 @query()

@@ -89,7 +89,7 @@ def test_sinks(spark, tmp_path):
     assert table.read().count() == 5
     table.write(spark.createDataFrame([(9, "z", 1)], "id long, v string, extra int"), "append")
     assert table.read().count() == 6 and table.read().columns == ["id", "v", "extra"]
-    assert len(list((tmp_path / "t").glob("v=2-*"))) == 3  # an append leaves the snapshot's other parts alone
+    assert len(list((tmp_path / "t").glob("data-*"))) == 4  # an append leaves the others' files alone
     with pytest.raises(ValueError):
         table.write(one, "merge")
     with pytest.raises(ValueError):
@@ -104,6 +104,57 @@ def test_sinks(spark, tmp_path):
     assert (log.ads_scraped, log.new_ads, log.updated_ads, log.errors) == (1, 1, 0, 1)
 
 
+def _files(path):
+    return {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_upserts_write_their_buckets_alone(spark, tmp_path):
+    table = sinks.SnapshotTable(spark, f"file://{tmp_path}/t", "id", "id long, v string", buckets=16)
+    rows = spark.range(2000).select("id", F.lit("old").alias("v"))
+    assert table.write(rows) == {"new": 2000, "updated": 0, "late": 0}
+    before = _files(tmp_path)
+    few = spark.createDataFrame([(7, "new"), (5000, "new"), (None, "new")], "id long, v string")
+    assert table.write(few, "upsert") == {"new": 2, "updated": 1, "late": 0}
+    made = set(_files(tmp_path)) - set(before)
+    touched = {p.parent.name for p in made}
+    assert len(touched) <= 3 and {p: t for p, t in _files(tmp_path).items() if p in before} == before
+    assert table.read().count() == 2002 and sorted(r.v for r in table.rows_of(few).collect()) == ["new"] * 3
+    # A null key is a key; all rows of given keys go, whatever stands for them.
+    assert table.write(few.filter("id is null").withColumn("v", F.lit("again")), "upsert", keys=few.filter("id > 0").select("id")) == {"new": 0, "updated": 1, "late": 0}
+    assert sorted((r.id is None, r.v) for r in table.rows_of(few).collect()) == [(True, "again")] and table.read().count() == 2000
+    # A row that is older than the stored one is left out, an equally old one is not.
+    one = table.write(spark.createDataFrame([(8, "a"), (9, "old"), (10, "z"), (6000, "a")], "id long, v string"), "upsert", newer="v")
+    assert one == {"new": 1, "updated": 2, "late": 1} and [r.v for r in table.read().filter("id in (8, 9, 10)").orderBy("id").collect()] == ["old", "old", "z"]
+    table.vacuum(1)
+    assert len(list((tmp_path / "t").glob("v=*.json"))) == 1 and table.read().count() == 2001
+    assert {p.parts[-3] for p in _files(tmp_path)} == {p.name for p in (tmp_path / "t").glob("data-*")}
+
+
+def test_batches_are_written_once(spark, tmp_path):
+    table = sinks.SnapshotTable(spark, f"file://{tmp_path}/t", "id", "id long, v string", buckets=4)
+    rows, seen = spark.createDataFrame([(1, "a")], "id long, v string"), []
+    assert table.write(rows, "upsert", batch=("s", 0), on_counts=seen.append)["new"] == 1
+    assert table.write(rows, "upsert", batch=("s", 0), on_counts=seen.append) is None and table.write(rows, "append", batch=("s", 0)) is None
+    assert table.write(rows, "upsert", batch=("other", 0)) == {"new": 0, "updated": 1, "late": 0}
+    assert seen == [{"new": 1, "updated": 0, "late": 0}] and table.read().count() == 1 and table.applied(("s", 0)) and not table.applied(("s", 1))
+
+
+def test_writers_at_once_lose_nothing(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    table = sinks.SnapshotTable(spark, f"file://{tmp_path}/t", "id", "id long, v string", buckets=4)
+    table.write(spark.createDataFrame([(0, "a")], "id long, v string"))
+
+    def write(k):
+        rows = spark.createDataFrame([(k, "a"), (0, f"by {k}")] if k % 2 else [(k, "a")], "id long, v string")
+        return table.write(rows, "upsert" if k % 2 else "append")
+
+    with ThreadPoolExecutor(6) as pool:
+        counts = list(pool.map(write, range(1, 7)))
+    assert sorted(r.id for r in table.read().collect()) == list(range(7)) and sum(c["new"] for c in counts) == 6
+    assert not list((tmp_path / "t").glob("attempt-*"))
+
+
 def test_databases(spark, tmp_path):
     url = "jdbc:derby:memory:lotwise;create=true"
     for key in ("id", "ID"):
