@@ -106,16 +106,10 @@ def extended(docs: DataFrame, size: int, twice: int, seeded: bool) -> DataFrame:
             if not len(at):
                 continue
             row = words.row(at)
-            if seeded:
-                parts = [least_of(grams, twice - size + 1)[at]]
-            else:
-                parts = [at, at + twice - size]
-            for part in parts:
-                again = _listed(batch, grams[part], row)
+            chosen = least_of(grams, twice - size + 1) if seeded else None
+            for offset in [0] if seeded else [0, twice - size]:
+                again = _listed(batch, grams[chosen[at] if seeded else at + offset], row)
                 at, row = at[again], row[again]
-                parts = [p[again] for p in parts]
-                if len(parts) > 1:
-                    parts = [parts[1], parts[1]]
             yield _rows(batch, row, window_hashes(words.hashes, twice)[at], words.second(twice)[at])
 
     return docs.select("doc_id", "text", "alive").mapInArrow(run, "h1 long, h2 long, doc_id long")
@@ -182,22 +176,22 @@ def without_repeats(docs: DataFrame, words: int = 13, longest: bool = False) ->
     out = rows.withColumn("digest", F.md5(F.col("text").cast("binary"))).join(verdict, ["doc_id", "digest"], "left")
     out = _cut(out, words)
     if longest:
-        out = _with_longest(out, rows, texts, hits, beyond, words)
-    return out
+        reached = hits.select("doc_id", F.lit(words).alias("longest"))
+        out = _with_longest(out, reached if beyond is None else reached.unionByName(beyond), words)
+    return out.drop("copy")
 
 
-def _with_longest(out: DataFrame, rows: DataFrame, texts: DataFrame, hits: DataFrame, beyond: DataFrame | None, words: int) -> DataFrame:
-    first = hits.select("doc_id", F.lit(words).alias("longest"))
-    lengths_ = (first if beyond is None else first.unionByName(beyond)).groupBy("doc_id").agg(F.max("longest").alias("_longest"))
+def _with_longest(out: DataFrame, reached: DataFrame, words: int) -> DataFrame:
+    """A copy repeats as a whole: the greatest level that it has words for."""
     size = F.col("n_words")
     whole = F.when(size >= words, words * F.pow(F.lit(2), F.floor(F.log2(size / words)))).otherwise(0).cast("int")
-    copies = texts.filter("copy").select("doc_id").distinct().withColumn("_copy", F.lit(True))
-    joined = out.join(lengths_, "doc_id", "left").join(copies, "doc_id", "left")
-    return joined.withColumn("longest", F.coalesce(F.greatest("_longest", F.when(F.col("_copy"), whole)), F.lit(0))).drop("_longest", "_copy")
+    copies = out.filter("copy").select("doc_id", whole.alias("longest"))
+    most = reached.unionByName(copies).groupBy("doc_id").agg(F.max("longest").alias("longest"))
+    return out.join(most, "doc_id", "left").withColumn("longest", F.coalesce("longest", F.lit(0)))
 
 
 def _cut(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_words, n_removed, text) of (doc_id, text, copy, alive): a copy loses all it has in windows, any other text
+    """(doc_id, n_words, n_removed, text, copy) of (doc_id, text, copy, alive): a copy loses all it has in windows, any other text
     what its listed windows cover."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,6 +215,6 @@ def _cut(docs: DataFrame, size: int) -> DataFrame:
             whole = raw.tobytes()
             kept = [whole[a : max(a, b - 1)] for a, b in zip(lo.tolist(), hi.tolist())]
             total = np.diff(words.first)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(total), pa.array(total - np.diff(count)), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(total), pa.array(total - np.diff(count)), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(copy, pa.bool_())], ["doc_id", "n_words", "n_removed", "text", "copy"])
 
-    return docs.select("doc_id", "text", "copy", "alive").mapInArrow(run, "doc_id long, n_words long, n_removed long, text string")
+    return docs.select("doc_id", "text", "copy", "alive").mapInArrow(run, "doc_id long, n_words long, n_removed long, text string, copy boolean")
