@@ -103,7 +103,30 @@ def keyword_present(corpus: Column, phrases: Sequence[str]) -> Column:
     return F.coalesce(corpus.rlike(pattern), F.lit(False)) if pattern else F.lit(False)
 
 
+def phrases_found(corpus: Column, phrases: Sequence[str]) -> Column:
+    """The longest phrase at each place where one begins, as an array without repeats; one scan for all of them. Phrases may
+    overlap: the scan takes in no text, so that each word may begin one."""
+    words = sorted({p.lower().strip() for p in phrases if p.strip()}, key=lambda p: (-len(p), p))
+    # By first letter, so that most places are passed over after one look.
+    by_letter = {}
+    for w in words:
+        by_letter.setdefault(w[0], []).append(re.escape(w[1:]))
+    pattern = "|".join(f"{re.escape(first)}(?:{'|'.join(rest)})" for first, rest in sorted(by_letter.items()))
+    return F.array_distinct(F.regexp_extract_all(corpus, F.lit(rf"(?U)\b(?=((?:{pattern})\b))"), F.lit(1)))
+
+
 def keyword_flags(df: DataFrame, phrases: Mapping[str, Sequence[str]], columns: Sequence[str] = ("description", "seller_comments")) -> DataFrame:
-    """A boolean column for each key. The corpus is one column of its own projection, so it is built once for all flags."""
-    with_corpus = df.withColumn("_corpus", search_corpus(df, columns))
-    return with_corpus.withColumns({name: keyword_present(F.col("_corpus"), words) for name, words in phrases.items()}).drop("_corpus")
+    """A boolean column for each key: whether one of its phrases stands in the corpus as whole words. The corpus is scanned
+    once for the phrases of all keys; a key is true if any phrase found is one of its own or begins with one."""
+    wanted = {name: {p.lower().strip() for p in words if p.strip()} for name, words in phrases.items()}
+    every = set().union(*wanted.values()) if wanted else set()
+    if not every:
+        return df.withColumns({name: F.lit(False) for name in wanted})
+    found = df.withColumn("_corpus", search_corpus(df, columns)).withColumn("_found", phrases_found(F.col("_corpus"), sorted(every)))
+    begins = lambda long, short: re.match(rf"{re.escape(short)}\b", long) is not None
+
+    def flag(words: set[str]) -> Column:
+        telling = sorted(p for p in every if any(begins(p, w) for w in words))
+        return F.coalesce(F.arrays_overlap("_found", F.array(*map(F.lit, telling))), F.lit(False)) if telling else F.lit(False)
+
+    return found.withColumns({name: flag(words) for name, words in wanted.items()}).drop("_corpus", "_found")

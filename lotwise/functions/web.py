@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -57,20 +58,24 @@ def was_redirected(url: Column, requested_page: Column) -> Column:
     return page_number(url) != requested_page
 
 
-def looks_blocked(html: Column, within: int = 800) -> Column:
-    head = F.lower(F.substring(F.coalesce(html, F.lit("")), 1, within))
+def looks_blocked(page: Column, within: int = 800) -> Column:
+    head = F.lower(F.substring(F.coalesce(page, F.lit("")), 1, within))
     return head.rlike("|".join(BLOCK_WORDS))
 
 
+@F.pandas_udf(T.StringType())
+def _unescape(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: html.unescape(v).replace("\xa0", " "), na_action="ignore")
+
+
 def _entities(c: Column) -> Column:
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    """All named and numbered character references. Only texts that have one cross to Python; others cross as nulls."""
+    return F.coalesce(_unescape(F.when(c.contains("&"), c)), c)
 
 
-def page_title(html: Column) -> Column:
+def page_title(page: Column) -> Column:
     """The title up to its first bar."""
-    raw = _entities(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
+    raw = _entities(F.regexp_extract(page, r"(?is)<title[^>]*>(.*?)</title>", 1))
     return F.nullif(F.trim(F.substring_index(F.trim(raw), "|", 1)), F.lit(""))
 
 
@@ -158,9 +163,9 @@ _PARTS = T.StructType().add("ld", _TEXTS).add("specs", _TEXTS).add("meta", _TEXT
 @F.pandas_udf(_PARTS)
 def parse_ad_html(pages: pd.Series) -> pd.DataFrame:
     rows = []
-    for html in pages:
+    for source in pages:
         page = _Page()
-        page.feed(html or "")
+        page.feed(source or "")
         page.close()  # gives out the text at the end of a page that was cut short
         rows.append(page.row())
     return pd.DataFrame(rows, columns=["ld", "specs", "meta", "hidden_id", "features", "comments", "is_featured"])

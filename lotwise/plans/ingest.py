@@ -4,20 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions import numeric, text, web
-from ..operators import features
+from ..operators import features, rejects
 from ..sources import sinks
 
 TEXT_FIELDS = ["title", "brand", "model", "city", "fuel_type", "transmission", "color", "body_type", "description", "seller_comments", "registered_in", "assembly"]
 
 
+def item_rules() -> dict[str, Column]:
+    """What an item must have."""
+    return {"no_id": F.col("listing_id").isNotNull() & (F.col("listing_id") != 0), "no_address": F.length(F.coalesce("ad_url", F.lit(""))) > 0}
+
+
 def valid_items(items: DataFrame) -> DataFrame:
     """Items with an id and an address."""
-    return items.filter(F.col("listing_id").isNotNull() & (F.col("listing_id") != 0) & (F.length(F.coalesce("ad_url", F.lit(""))) > 0))
+    return items.filter(rejects.reason(item_rules()).isNull())
+
+
+def split_items(items: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) items; the latter with the reason."""
+    return rejects.split(items.withColumn("reason", rejects.reason(item_rules())), path)
 
 
 def clean_items(items: DataFrame) -> DataFrame:

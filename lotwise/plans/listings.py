@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import lookups, schema
 from ..config import DEFAULTS, Settings
 from ..functions import color, numeric, text
-from ..operators import cleaning, features, market
+from ..operators import cleaning, features, market, rejects
 from ..sources.readers import attach_source_pk
 from ..sources.scratch import staged
 
@@ -36,6 +36,23 @@ def clean_rows(df: DataFrame, settings: Settings = DEFAULTS, modes: DataFrame |
     return staged(clean_duplicates_and_impossibles(clean_nulls(cleaning.fill_blank(df, schema.OPTIONAL_TEXT), modes), settings), "clean")
 
 
+def clean_with_rejects(df: DataFrame, path: str, settings: Settings = DEFAULTS) -> tuple[DataFrame, DataFrame, Observation]:
+    """`clean_rows`, the rows that it turns away with their reasons, and counts of both and of repaired body types, all from
+    the one pass that writes them. Kept and rejected rows are those of `df`."""
+    seen = Observation()
+    lacked = cleaning.is_missing_label(F.col("body_type")).alias("_lacked")
+    rows = cleaning.fill_blank(df, schema.OPTIONAL_TEXT)
+    modes = cleaning.modes_of(cleaning.label_counts(rows, "body_type", ["brand", "model"]), ["brand", "model"])
+    marked = cleaning.fill_electric_engine(rows).select("*", lacked)
+    full = cleaning.fill_false(cleaning.fill_from_mode(marked, "body_type", ["brand", "model"], modes=modes))
+    rules = cleaning.listing_rules(settings)
+    told = cleaning.cleaning_reason(full, ["listing_id"], ["source_pk"], rules)
+    unknown = F.col("body_type") == "Unknown"
+    repaired = [F.count_if(F.col("_lacked") & ~F.coalesce(unknown, F.lit(False))).alias("n_filled"), F.count_if(F.col("_lacked") & unknown).alias("n_unknown")]
+    kept, rejected = rejects.split(told.observe(seen, *rejects.reason_counts(["null_value", "duplicate", *rules]), *repaired).drop("_lacked"), path)
+    return kept, rejected, seen
+
+
 def clean_listings(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """No rule looks at a colour, so colours come last, from one narrow pass over the rows that are left."""
     return color.clean_color_column(clean_rows(df, settings)).drop("color").withColumnRenamed("color_clean", "color")
@@ -85,9 +102,10 @@ def select_processed(df: DataFrame, columns: list[str] = schema.PROCESSED) -> Da
     return df.select(*columns)
 
 
-def process_listings(raw: DataFrame, settings: Settings = DEFAULTS, include_log_price: bool = False) -> DataFrame:
-    """End to end. The processed listing_id is the raw table's own key, not the ad's number."""
-    rows = clean_rows(attach_source_pk(raw), settings)
+def process_listings(raw: DataFrame, settings: Settings = DEFAULTS, include_log_price: bool = False, rows: DataFrame | None = None) -> DataFrame:
+    """End to end. The processed listing_id is the raw table's own key, not the ad's number. `rows` are clean rows that were
+    written before (`clean_with_rejects`)."""
+    rows = rows if rows is not None else clean_rows(attach_source_pk(raw), settings)
     standard = standard_text(rows)
     statistics = statistics_of(standard(rows, [*market.SEGMENT[:2], "city"]))  # before colours, which they do not need
     df = color.clean_color_column(rows).drop("color").withColumnRenamed("color_clean", "color")

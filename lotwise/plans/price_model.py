@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -43,6 +44,44 @@ def score(model: PipelineModel, df: DataFrame, numbers: Sequence[str], target: s
     return out.select(*df.columns, "predicted_price", (F.col(target) - F.col("predicted_price")).alias("price_difference"))
 
 
+def split_by_key(df: DataFrame, key: str, percent: int = 20) -> tuple[DataFrame, DataFrame]:
+    """(training, test) rows: a key's side depends on the key alone, so an ad never changes sides between runs."""
+    place = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long") % 100
+    marked = df.withColumn("_place", place)
+    return marked.filter(F.col("_place") >= percent).drop("_place"), marked.filter(F.col("_place") < percent).drop("_place")
+
+
+def metrics(scored: DataFrame, slices: Sequence[str] = (), target: str = "price", predicted: str = "predicted_price") -> DataFrame:
+    """(slice, value, n, rmse, mae, r2) of all rows (slice "all") and of each value of each column in `slices`, in one aggregate.
+    Rows without a price or a prediction are left out; r2 is null where the price doesn't vary."""
+    rows = scored.select(F.col(target).cast("double").alias("_y"), F.col(predicted).cast("double").alias("_p"), *slices).dropna(subset=["_y", "_p"])
+    parts = [F.struct(F.lit("all").alias("slice"), F.lit(None).cast("string").alias("value")), *[F.struct(F.lit(c).alias("slice"), F.col(c).cast("string").alias("value")) for c in slices]]
+    error = F.col("_y") - F.col("_p")
+    sums = rows.select("_y", "_p", F.explode(F.array(*parts)).alias("_s")).groupBy("_s").agg(
+        F.count("*").alias("n"), F.sqrt(F.avg(error * error)).alias("rmse"), F.avg(F.abs(error)).alias("mae"), F.avg(error * error).alias("_mse"), F.var_pop("_y").alias("_var"),
+    )
+    return sums.select("_s.slice", "_s.value", "n", "rmse", "mae", (1 - F.try_divide(F.col("_mse"), F.col("_var"))).alias("r2"))
+
+
+def select_model(df: DataFrame, categories: Sequence[str], numbers: Sequence[str], grid: Sequence[Mapping[str, int]], key: str, target: str = "price", percent: int = 20, metric: str = "rmse") -> tuple[PipelineModel, DataFrame]:
+    """The model of the `grid` (settings of `train`) that does best on held-out keys, fitted on the others, and the metrics of
+    all of them. The split is by key, so no ad stands on both sides; held-out rows are scored once a model."""
+    training, test = (side.persist() for side in split_by_key(df, key, percent))
+    try:
+        best, tried = None, []
+        for n, setting in enumerate(grid):
+            model = train(training, categories, numbers, target, **setting)
+            row = metrics(score(model, test, numbers, target), target=target).first()
+            tried.append((n, json.dumps(dict(setting)), row["n"], row["rmse"], row["mae"], row["r2"]))
+            value = -row[metric] if metric == "r2" else row[metric]
+            if best is None or value < best[0]:
+                best = (value, model)
+        return best[1], df.sparkSession.createDataFrame(tried, "model int, setting string, n long, rmse double, mae double, r2 double")
+    finally:
+        training.unpersist()
+        test.unpersist()
+
+
 def evaluate(scored: DataFrame, target: str = "price") -> dict[str, float]:
     typed = scored.withColumn(target, F.col(target).cast("double"))
     return {m: RegressionEvaluator(labelCol=target, predictionCol="predicted_price", metricName=m).evaluate(typed) for m in ("rmse", "mae", "r2")}

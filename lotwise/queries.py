@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import lookups, schema
 from .config import Settings
 from .functions import color, numeric, text, web
-from .operators import cleaning, features, market, profile, streak
+from .operators import cleaning, features, market, profile, rejects, streak
 from .plans import ingest, listings, price_model
 from .plans.store import ListingStore
 from .sources import readers, sinks
@@ -561,6 +561,48 @@ def training_table(spark, sf_dir):
     return _rounded(listings.process_listings(raw_view(spark, sf_dir)).select(*schema.TRAINING))
 
 
+def _faulty(spark, sf_dir) -> DataFrame:
+    """The raw view with impossible prices, years and distances."""
+    raw = readers.attach_source_pk(raw_view(spark, sf_dir))
+    k = F.col("source_pk")
+    return raw.withColumns({"price": F.when(k % 31 == 0, 0).otherwise(F.col("price")), "year": F.when(k % 37 == 0, 3000).otherwise(F.col("year")), "mileage": F.when(k % 41 == 0, -1).otherwise(F.col("mileage"))})
+
+
+_FAULTY = """WITH r AS (SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey AS id, l_orderkey * 10 + l_linenumber AS ad, p_brand, p_type FROM lineitem JOIN part ON l_partkey = p_partkey),
+n AS (SELECT *, row_number() OVER (PARTITION BY ad, id % 29 = 0 ORDER BY id) AS nth, count(*) FILTER (id % 13 <> 0) OVER (PARTITION BY p_brand, p_type) AS labels FROM r),
+t AS (SELECT *, CASE WHEN id % 29 = 0 THEN 'null_value' WHEN nth > 1 THEN 'duplicate' WHEN id % 31 = 0 THEN 'price' WHEN id % 37 = 0 THEN 'year' WHEN id % 41 = 0 THEN 'mileage' ELSE 'kept' END AS reason FROM n)"""
+
+
+@query(f"{_FAULTY} SELECT reason, count(*) AS n, sum(id)::DOUBLE AS ids FROM t GROUP BY reason")
+def rejects_by_reason(spark, sf_dir):
+    """Every raw row once: kept, or with the reason for which cleaning turned it away."""
+    kept, rejected, _ = listings.clean_with_rejects(_faulty(spark, sf_dir), scratch(spark, "rejects"))
+    both = kept.select(F.lit("kept").alias("reason"), "source_pk").unionByName(rejected.select("reason", "source_pk"))
+    return both.groupBy("reason").agg(F.count("*").alias("n"), F.sum(F.col("source_pk").cast("decimal(38,0)")).cast("double").alias("ids"))
+
+
+@query(f"""{_FAULTY} SELECT count(*) AS n_rows, {", ".join(f"count(*) FILTER (reason = '{c}') AS n_{c}" for c in ("kept", "null_value", "duplicate", "price", "year", "mileage", "engine_capacity", "listing_id"))},
+  count(*) FILTER (id % 13 = 0 AND labels > 0) AS n_filled, count(*) FILTER (id % 13 = 0 AND labels = 0) AS n_unknown FROM t""")
+def cleaning_report(spark, sf_dir):
+    """What cleaning kept, repaired and turned away, counted while the rows were written."""
+    kept, _, seen = listings.clean_with_rejects(_faulty(spark, sf_dir), scratch(spark, "rejects"))
+    return rejects.counts_of(kept, seen)
+
+
+@query("""WITH v AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 7 = 0 THEN 'corrupt' WHEN c_custkey % 5 = 0 THEN 'unreadable' WHEN c_custkey % 3 = 0 THEN 'no_name' ELSE 'kept' END AS reason FROM customer)
+SELECT reason, count(*) AS n, sum(CASE WHEN reason IN ('kept', 'no_name') THEN k ELSE 0 END)::BIGINT AS keys FROM v GROUP BY reason""")
+def csv_rejects(spark, sf_dir):
+    """A file with short records, words for numbers and empty names, split by what is wrong."""
+    path, k = scratch(spark, "csv"), F.col("c_custkey").cast("string")
+    line = F.when(F.col("c_custkey") % 7 == 0, F.concat(k, F.lit(",short"))).when(F.col("c_custkey") % 5 == 0, F.concat(k, F.lit(",name,ten"))).when(F.col("c_custkey") % 3 == 0, F.concat(k, F.lit(",,3"))).otherwise(F.concat(k, F.lit(",name,3")))
+    read(spark, sf_dir, "customer").select(line).write.text(path)
+    rows = readers.read_csv(spark, path, "k long, name string, size int", reasons=True, header=False)
+    told = rows.withColumn("reason", F.coalesce("reason", rejects.reason({"no_name": F.length(F.coalesce("name", F.lit(""))) > 0})))
+    kept, rejected = rejects.split(told, scratch(spark, "split"))
+    both = kept.withColumn("reason", F.lit("kept")).unionByName(rejected)
+    return both.groupBy("reason").agg(F.count("*").alias("n"), F.sum(F.when(F.col("reason").isin("kept", "no_name"), F.col("k")).otherwise(0)).alias("keys"))
+
+
 _TOUCHED = "SELECT * FROM (" + _listing_sql(["listing_id", "brand", "model", "year", "city", "market_listing_count", "city_listing_count", "market_avg_price", "city_avg_price"]) + ")"
 
 
@@ -711,6 +753,28 @@ def saved_model(spark, sf_dir):
     return both.agg(F.count("*").alias("n_offers"), F.count_if(F.col("before") != F.col("predicted_price")).alias("n_differ"))
 
 
+@query("""WITH o AS (SELECT l_orderkey, l_returnflag, l_linestatus, p_brand, l_quantity::INT AS quantity, round(l_extendedprice * 100)::BIGINT AS price, ('0x' || substr(md5(l_orderkey::VARCHAR), 1, 8))::BIGINT % 100 AS place FROM lineitem JOIN part ON l_partkey = p_partkey),
+means AS (SELECT p_brand, quantity, avg(price) AS predicted FROM o WHERE place >= 25 GROUP BY ALL),
+t AS (SELECT price::DOUBLE AS y, predicted AS p, l_returnflag, l_linestatus FROM o JOIN means USING (p_brand, quantity) WHERE place < 25),
+s AS (SELECT 'all' AS slice, NULL AS value, y, p FROM t UNION ALL SELECT 'l_returnflag', l_returnflag, y, p FROM t UNION ALL SELECT 'l_linestatus', l_linestatus, y, p FROM t)
+SELECT slice, value, count(*) AS n, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse, round(avg(abs(y - p)), 4) AS mae, round(1 - avg((y - p) * (y - p)) / var_pop(y), 6) AS r2 FROM s GROUP BY slice, value""")
+def evaluation(spark, sf_dir):
+    """Errors of the mean price of brand and quantity, learned from some orders, on the others, whole and by slice."""
+    items, parts = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "part")
+    rows = items.join(parts, items.l_partkey == parts.p_partkey).select("l_orderkey", "l_returnflag", "l_linestatus", "p_brand", F.col("l_quantity").cast("int").alias("quantity"), F.round(F.col("l_extendedprice") * 100).cast("long").alias("price"))
+    training, test = price_model.split_by_key(rows, "l_orderkey", 25)
+    scored = test.join(training.groupBy("p_brand", "quantity").agg(F.avg("price").alias("predicted_price")), ["p_brand", "quantity"])
+    found = price_model.metrics(scored, ["l_returnflag", "l_linestatus"])
+    return found.select("slice", "value", "n", *[F.round(c, n).alias(c) for c, n in (("rmse", 4), ("mae", 4), ("r2", 6))])
+
+
+@query()
+def model_selection(spark, sf_dir):
+    """Two forests of other depths, by their errors on held-out orders."""
+    grid = [{"trees": 3, "depth": 2}, {"trees": 3, "depth": 5}]
+    return price_model.select_model(offers(spark, sf_dir), ["brand"], ["year", "mileage", "equipment_score"], grid, "l_orderkey")[1]
+
+
 @query(f"""WITH {OFFERS}, p AS (SELECT price, market_median_price AS predicted, (market_avg_price - price) / market_avg_price * 100 AS below FROM offers JOIN stats USING (brand, model, year))
 SELECT (floor(below / 10) * 10)::BIGINT AS bucket, count(*) AS n, round(avg(abs(price - predicted)), 4) AS mae FROM p GROUP BY 1""")
 def error_by_distance(spark, sf_dir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +13,19 @@ from ..lookups import NA_TOKENS
 from ..schema import raw_listings
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None, na_tokens: Sequence[str] = NA_TOKENS, multi_line: bool = False) -> DataFrame:
-    """CSV with a header, typed by a schema; the tokens are null in every column. An empty sequence keeps them as text.
-    `multi_line` reads line breaks inside quotes, at the price of one task for each file."""
+def read_csv(spark: SparkSession, path: str, schema: str | None = None, na_tokens: Sequence[str] = NA_TOKENS, multi_line: bool = False, reasons: bool = False, header: bool = True) -> DataFrame:
+    """CSV, with a header unless said otherwise, typed by a schema; the tokens are null in every column. An empty sequence keeps them as text.
+    `multi_line` reads line breaks inside quotes, at the price of one task for each file.
+
+    With `reasons`, columns `reason` and `record` are added: a record with too few or too many fields is "corrupt", one that
+    holds text where its type asks for something else "unreadable" (null for all others), with the record's text."""
     from pyspark.sql.types import StringType, StructField, StructType
 
     fields = spark.createDataFrame([], schema or raw_listings()).schema.fields
     text = StructType([StructField(f.name, StringType()) for f in fields])
-    raw = spark.read.schema(text).option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path)
+    if reasons:
+        text = text.add("_record", StringType())
+    raw = spark.read.schema(text).option("header", header).option("columnNameOfCorruptRecord", "_record").option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path)
     value = lambda c: F.when(F.trim(c).isin(*na_tokens), F.lit(None)).otherwise(c) if na_tokens else c
 
     def typed(f):
@@ -29,7 +35,12 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, na_token
             return c.try_cast("double").try_cast(kind).alias(f.name)
         return (c if kind == "string" else c.try_cast(kind)).alias(f.name)
 
-    return raw.select(*[typed(f) for f in fields])
+    if not reasons:
+        return raw.select(*[typed(f) for f in fields])
+    bad = reduce(lambda a, b: a | b, [value(F.col(f.name)).isNotNull() & typed(f).isNull() for f in fields if f.dataType.simpleString() != "string"], F.lit(False))
+    why = F.when(F.col("_record").isNotNull(), "corrupt").when(bad, "unreadable")
+    record = F.when(why.isNotNull(), F.coalesce("_record", F.to_csv(F.struct(*[F.col(f.name) for f in fields]))))
+    return raw.select(*[typed(f) for f in fields], why.alias("reason"), record.alias("record"))
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, *, partitions: int = 16, limit: int | None = None, **options: str) -> DataFrame:
