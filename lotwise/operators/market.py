@@ -48,7 +48,7 @@ def _variance(total: Column, squares: Column, n: Column, whole: bool) -> Column:
     """Sample variance from sums. Of whole numbers the sums are exact: total**2 / n is taken off in integers but for the
     remainder of total by n, so that no digits cancel out."""
     if not whole:
-        return F.greatest(F.try_divide(squares - total * F.try_divide(total, n), n - 1), F.lit(0.0))
+        return F.when(n > 1, F.greatest((squares - total * (total / n)) / (n - 1), F.lit(0.0)))
     q, r = F.expr("_total div _n"), F.expr("_total % _n")
     exact = (squares - q.cast("decimal(38,0)") * (total + r)).cast("double")
     return F.try_divide(exact - r.cast("double") * F.try_divide(r.cast("double"), n), n - 1)

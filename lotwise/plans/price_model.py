@@ -7,26 +7,28 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in columns})
-
-
 def train(df: DataFrame, categories: Sequence[str], numbers: Sequence[str], target: str = "price", *, trees: int = 20, depth: int = 8, max_categories: int = 128, seed: int = 7) -> PipelineModel:
-    """Categories are indexed by frequency (unseen ones get a place of their own), numbers imputed by their median."""
+    """Categories are indexed by frequency (unseen ones get a place of their own), numbers (flags too) imputed by their median.
+    One tree is a plain regression tree over all rows. The target is not read when the model scores."""
+    tree = {"featuresCol": "features", "labelCol": target, "predictionCol": "predicted_price", "maxDepth": depth, "maxBins": max_categories, "seed": seed}
+    as_numbers = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `{c}_number`" for c in numbers)
     stages = [
+        SQLTransformer(statement=f"SELECT *, {as_numbers} FROM __THIS__"),
         StringIndexer(inputCols=list(categories), outputCols=[f"{c}_index" for c in categories], handleInvalid="keep", stringOrderType="frequencyDesc"),
         OneHotEncoder(inputCols=[f"{c}_index" for c in categories], outputCols=[f"{c}_one" for c in categories], handleInvalid="keep"),
-        Imputer(inputCols=list(numbers), outputCols=[f"{c}_full" for c in numbers], strategy="median"),
+        Imputer(inputCols=[f"{c}_number" for c in numbers], outputCols=[f"{c}_full" for c in numbers], strategy="median"),
         VectorAssembler(inputCols=[*[f"{c}_one" for c in categories], *[f"{c}_full" for c in numbers]], outputCol="features"),
-        RandomForestRegressor(featuresCol="features", labelCol=target, predictionCol="predicted_price", numTrees=trees, maxDepth=depth, maxBins=max_categories, seed=seed),
+        DecisionTreeRegressor(**tree) if trees == 1 else RandomForestRegressor(numTrees=trees, **tree),
     ]
-    return Pipeline(stages=stages).fit(_numeric(df, [*numbers, target]))
+    if not categories:
+        stages = [stages[0], *stages[3:]]
+    return Pipeline(stages=stages).fit(df)
 
 
 def save(model: PipelineModel, path: str) -> None:
@@ -38,10 +40,11 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def score(model: PipelineModel, df: DataFrame, numbers: Sequence[str], target: str = "price") -> DataFrame:
-    """`df` with predicted_price and price_difference, the asked minus the fair price; works on one row or a stream."""
-    out = model.transform(_numeric(df, [*numbers, target]))
-    return out.select(*df.columns, "predicted_price", (F.col(target) - F.col("predicted_price")).alias("price_difference"))
+def score(model: PipelineModel, df: DataFrame, target: str = "price") -> DataFrame:
+    """`df` with predicted_price and, where it has a price, price_difference, the asked minus the fair price; works on one row or
+    a stream."""
+    out = model.transform(df).select(*df.columns, "predicted_price")
+    return out.withColumn("price_difference", F.col(target) - F.col("predicted_price")) if target in df.columns else out
 
 
 def split_by_key(df: DataFrame, key: str, percent: int = 20) -> tuple[DataFrame, DataFrame]:
@@ -71,7 +74,7 @@ def select_model(df: DataFrame, categories: Sequence[str], numbers: Sequence[str
         best, tried = None, []
         for n, setting in enumerate(grid):
             model = train(training, categories, numbers, target, **setting)
-            row = metrics(score(model, test, numbers, target), target=target).first()
+            row = metrics(score(model, test, target), target=target).first()
             tried.append((n, json.dumps(dict(setting)), row["n"], row["rmse"], row["mae"], row["r2"]))
             value = -row[metric] if metric == "r2" else row[metric]
             if best is None or value < best[0]:

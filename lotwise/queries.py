@@ -11,7 +11,7 @@ from . import lookups, schema
 from .config import Settings
 from .functions import color, numeric, text, web
 from .operators import cleaning, features, market, profile, rejects, streak
-from .plans import ingest, listings, price_model
+from .plans import artefact, ingest, listings, price_model
 from .plans.store import ListingStore
 from .sources import readers, sinks
 from .sources.scratch import scratch
@@ -737,7 +737,7 @@ def fair_prices(spark, sf_dir):
     df = offers(spark, sf_dir)
     numbers = ["year", "mileage", "equipment_score"]
     model = price_model.train(df, ["brand", "model"], numbers, trees=4, depth=4)
-    scored = price_model.score(model, df, numbers)
+    scored = price_model.score(model, df)
     return scored.orderBy("price_difference").limit(50)
 
 
@@ -748,8 +748,8 @@ def saved_model(spark, sf_dir):
     numbers = ["year", "mileage", "equipment_score"]
     model = price_model.train(df, ["brand", "model"], numbers, trees=2, depth=3)
     price_model.save(model, path)
-    before = price_model.score(model, df, numbers).withColumnRenamed("predicted_price", "before")
-    both = price_model.score(price_model.load(path), before.drop("price_difference"), numbers)
+    before = price_model.score(model, df).withColumnRenamed("predicted_price", "before")
+    both = price_model.score(price_model.load(path), before.drop("price_difference"))
     return both.agg(F.count("*").alias("n_offers"), F.count_if(F.col("before") != F.col("predicted_price")).alias("n_differ"))
 
 
@@ -783,6 +783,23 @@ def error_by_distance(spark, sf_dir):
     return price_model.error_by_market_distance(df).withColumn("mae", F.round("mae", 4))
 
 
+@query(_LISTINGS.rsplit("\nSELECT", 1)[0].replace("FEATS", "1 AS feats").replace("SCORES", "0 AS equipment_score") + """,
+sums AS (SELECT mileage, count(*) OVER u AS n, sum(price) OVER u AS s, count(*) OVER () AS n_all, sum(price) OVER () AS s_all FROM e WINDOW u AS (ORDER BY mileage)),
+cut AS (SELECT mileage AS upto FROM sums WHERE n < n_all ORDER BY s::DOUBLE * s / n + (s_all - s)::DOUBLE * (s_all - s) / (n_all - n) DESC LIMIT 1),
+sides AS (SELECT mileage <= upto AS low, avg(price) AS predicted FROM e, cut GROUP BY 1),
+market AS (SELECT p_brand, p_type, year, avg(mileage) AS mean FROM e GROUP BY ALL)
+SELECT id AS source_pk, upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2)) AS model, CASE WHEN id % 13 = 0 THEN coalesce(mode, 'Unknown') ELSE body END AS body_type,
+  round(mean, 6) AS market_avg_mileage, round(predicted, 4) AS predicted_price, round(price - predicted, 4) AS price_difference
+FROM r LEFT JOIN modes USING (p_brand, p_type) LEFT JOIN market USING (p_brand, p_type, year), cut, sides WHERE low = (mileage <= upto)""")
+def score_raw_ads(spark, sf_dir):
+    """All raw ads, scored by one artefact, saved and loaded, of repair, features, statistics and a tree of one cut."""
+    raw, path = readers.attach_source_pk(raw_view(spark, sf_dir)), scratch(spark, "artefact")
+    price_model.save(artefact.fit(raw, [], ["mileage"], trees=1, depth=1), path)
+    scored = price_model.load(path).transform(raw)
+    made = scored.withColumn("price_difference", F.col("price") - F.col("predicted_price"))
+    return made.select("source_pk", "model", F.initcap("body_type").alias("body_type"), F.round("market_avg_mileage", 6).alias("market_avg_mileage"), *[F.round(c, 4).alias(c) for c in ("predicted_price", "price_difference")])
+
+
 @query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 100")
 def feed_order(spark, sf_dir):
     return read(spark, sf_dir, "orders").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(100).select("o_orderkey", "o_orderdate")

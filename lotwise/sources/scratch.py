@@ -7,7 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import exclusive
+
 _own_dirs: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,7 +30,18 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """`df` written to the shared folder and read back: what reads it several times computes it once."""
+    """`df` written to the shared folder and read back: what reads it several times computes it once. Results that are not read
+    yet may need it; `clear` deletes all of a session's."""
     path = scratch(df.sparkSession, name)
+    _staged.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes all tables that this session has staged so far; for use between runs, when no result of theirs is still to be
+    read. Returns how many there were."""
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        exclusive.delete(spark, path)
+    return len(paths)

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +121,21 @@ def test_extraction_layers(spark):
     cut = web.extract_items(pages).filter("listing_id = 6").first()
     assert (cut.color, cut.title) == ("teal", None)
     assert (six.listing_id, six.title, six.brand) == (5, None, None)
+
+
+def test_phrases_overlap_in_one_scan(spark):
+    phrases = {"a": ["urgent sale", "sale price"], "b": ["sale"], "c": ["sale price negotiable"], "d": ["price negotiable"], "e": ["paint", "painted"], "f": ["touch-up", "x+y"], "g": ["never"], "h": []}
+    texts = ["urgent sale price negotiable", "painted", "repaint salesman", "Touch-Up, x+y!", "SALE", "", None, "prepaint paint-job", "no sale price"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, description string")
+    got = text.keyword_flags(df, phrases).orderBy("k").collect()
+    for row in got:
+        corpus = (texts[row.k] or "").lower()
+        for name, words in phrases.items():
+            assert row[name] == any(re.search(rf"\b{re.escape(w)}\b", corpus) for w in words), (row.k, name)
+    assert text.keyword_flags(df, {"h": []}).filter("h").count() == 0
+
+
+def test_titles_hold_all_references(spark):
+    pages = ["<title>Caf&eacute; &#8211; A&amp;B &lt;x&gt; &#x41;&nbsp;b | site</title>", "<title>plain</title>", "", None]
+    df = spark.createDataFrame([(p,) for p in pages], "html string")
+    assert [r.t for r in df.select(web.page_title(F.col("html")).alias("t")).collect()] == ["Caf\u00e9 \u2013 A&B <x> A b", "plain", None, None]
