@@ -31,8 +31,10 @@ class TokenRollup:
 
     `compact` maintains the totals: it adds all batches that the newest totals lack to them and moves sums and the names of
     what they hold, as one folder, to the next number, again exclusively. Batches go only after that, so one that dies
-    anywhere loses nothing and counts nothing twice. Null keys are groups of their own; a null count is zero tokens; an empty
-    batch is valid and changes nothing. Batch names are those of folders."""
+    anywhere loses nothing and counts nothing twice; and they go one compaction later, with the totals before, so a
+    result of `totals` can be read while and after the rollup is compacted once. Names of batches ever held are a table
+    that is only asked about the batches at hand. Null keys are groups of their own; a null count is zero tokens; an
+    empty batch is valid and changes nothing. Batch names are those of folders."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -56,16 +58,22 @@ class TokenRollup:
             delete(self.spark, attempt)
             return False
 
-    def _held(self) -> tuple[int, set[str]]:
-        """The number of the newest totals, 0 without any, and the batches in them."""
-        numbers = sorted(map(int, self._names("total")))
-        if not numbers:
-            return 0, set()
-        return numbers[-1], {r.batch for r in self.spark.read.schema("batch string").parquet(f"{self.path}/total={numbers[-1]}/batches").collect()}
+    def _number(self) -> int:
+        """Of the newest totals; 0 without any."""
+        return max(map(int, self._names("total")), default=0)
+
+    def _names_in(self, number: int) -> DataFrame:
+        """Names of the batches in totals."""
+        rows = self.spark.read.schema("batch string")
+        return rows.parquet(f"{self.path}/total={number}/batches") if number else self.spark.createDataFrame([], "batch string")
+
+    def _held(self, number: int, names: list[str]) -> set[str]:
+        """Those of the batches that totals hold."""
+        return {r.batch for r in self._names_in(number).filter(F.col("batch").isin(names)).collect()} if number and names else set()
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """True if the batch was new."""
-        if batch_id in self._names("batch") or batch_id in self._held()[1]:
+        if batch_id in self._names("batch") or self._held(self._number(), [batch_id]):
             return False
         attempt = f"{self.path}/attempt-{uuid.uuid4().hex}"
         delta = changes.groupBy(*KEYS).agg(F.sum(F.col("sign").cast("long")).alias("n_docs"), F.sum(F.coalesce(F.col("n_tokens"), F.lit(0)) * F.col("sign")).cast("long").alias("n_tokens"))
@@ -79,23 +87,27 @@ class TokenRollup:
 
     def compact(self) -> bool:
         """True if the totals have been brought up to the batches committed so far."""
-        number, held = self._held()
-        new = [b for b in self._names("batch") if b not in held]
+        number, names = self._number(), self._names("batch")
+        held = self._held(number, names)
+        new = [b for b in names if b not in held]
         if new:
             attempt = f"{self.path}/attempt-{uuid.uuid4().hex}"
             self._summed(number, new).write.parquet(f"{attempt}/sums")
-            self.spark.createDataFrame([(b,) for b in [*held, *new]], "batch string").coalesce(1).write.parquet(f"{attempt}/batches")
+            added = self.spark.createDataFrame([(b,) for b in new], "batch string")
+            self._names_in(number).unionByName(added).hint("rebalance").write.parquet(f"{attempt}/batches")
             if not self._move(attempt, f"total={number + 1}"):
                 return False
-        number, held = self._held()
-        for name in [f"batch={b}" for b in self._names("batch") if b in held] + [f"total={n}" for n in self._names("total") if int(n) < number - 1]:
+            number += 1
+        # What the totals before these held already is read by no result that was asked for since.
+        for name in [f"batch={b}" for b in held] + [f"total={n}" for n in self._names("total") if int(n) < number - 1]:
             delete(self.spark, f"{self.path}/{name}")
         return True
 
     def totals(self) -> DataFrame:
         """The newest totals and the batches committed since. Keys whose documents are all taken back are left out."""
-        number, held = self._held()
-        return self._summed(number, [b for b in self._names("batch") if b not in held])
+        number, names = self._number(), self._names("batch")
+        held = self._held(number, names)
+        return self._summed(number, [b for b in names if b not in held])
 
 
 def changes(new: DataFrame, old: DataFrame | None = None) -> DataFrame:

@@ -553,7 +553,10 @@ def test_rollup(spark, tmp_path):
         assert rollup.compact() and not rollup.commit("4", rows(("s", "en", "t1", 1, 1)))
         assert [tuple(r) for r in rollup.totals().collect()] == [("s", "en", "t1", 2, 14)]
     assert rollup.commit("5", rows(("s", "en", "t1", 1, 1))) and rollup.totals().first().n_tokens == 15
-    assert rollup.compact() and rollup.totals().first().n_tokens == 15 and rollup._names("batch") == []
+    asked = rollup.totals()
+    assert rollup.compact() and asked.first().n_tokens == 15  # a result outlives the compaction after it
+    assert rollup.totals().first().n_tokens == 15 and rollup._names("batch") == ["5"]
+    assert rollup.compact() and rollup.totals().first().n_tokens == 15 and rollup._names("batch") == [] and not rollup.commit("5", rows())
 
 
 def test_rollup_of_two_writers_and_crashes(spark, tmp_path, monkeypatch):
@@ -579,7 +582,7 @@ def test_rollup_of_two_writers_and_crashes(spark, tmp_path, monkeypatch):
             one.compact()
     assert two.totals().first().n_tokens == 14 and two.compact() and two.totals().first().n_tokens == 14
     with monkeypatch.context() as m:  # a compaction that began before another has ended
-        m.setattr(one, "_held", lambda: (0, set()))
+        m.setattr(one, "_number", lambda: 0)
         m.setattr(one, "_names", lambda kind: ["late"] if kind == "batch" else [])
         two.commit("late", rows(("s", "en", "t", 1, 1)))
         assert not one.compact()
