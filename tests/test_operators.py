@@ -1,4 +1,5 @@
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from lotwise.operators import cleaning, features, market, profile, streak
@@ -171,6 +172,32 @@ def test_databases(spark, tmp_path):
         sinks.write_jdbc(rows, url, "ads", "upsert")
 
 
+def test_database_writes_are_whole(spark, monkeypatch):
+    url, cols = "jdbc:derby:memory:whole;create=true", "id long, v string"
+    read = lambda: sorted(tuple(r) for r in readers.read_jdbc(spark, url, "ads").collect())
+    sinks.write_jdbc(spark.createDataFrame([(k, "old") for k in range(5)], cols).repartition(3), url, "ads")
+    new = spark.createDataFrame([(3, "new"), (9, "new")], cols)
+    run = sinks._statements
+
+    def fails(spark, url, statements, options):
+        return run(spark, url, [*statements, "DELETE FROM not_there"] if statements[-1].startswith("INSERT") else statements, options)
+
+    for mode in ("replace", "upsert"):  # the last statement fails: the rows before are there
+        monkeypatch.setattr(sinks, "_statements", fails)
+        with pytest.raises(Py4JJavaError):
+            sinks.write_jdbc(new, url, "ads", mode, "id")
+        monkeypatch.undo()
+        assert read() == [(k, "old") for k in range(5)]
+    for _ in range(2):
+        sinks.write_jdbc(new, url, "ads", "upsert", "id")
+        assert read() == [(0, "old"), (1, "old"), (2, "old"), (3, "new"), (4, "old"), (9, "new")]
+    sinks.write_jdbc(new, url, "ads")
+    sinks.write_jdbc(new.filter("id = 9").withColumn("id", F.lit(10).cast("long")), url, "ads", "append")
+    assert read() == [(3, "new"), (9, "new"), (10, "new")]
+    tables = spark.read.format("jdbc").options(url=url, query="SELECT tablename AS t FROM sys.systables WHERE tabletype = 'T'").load()
+    assert [r[0] for r in tables.collect()] == ["ADS"]
+
+
 def test_csv_keeps_quotes_and_breaks(spark, tmp_path):
     rows = [(1, 'say "hi", ok'), (2, 'two\nlines, "and" more'), (3, '"'), (4, "back\\slash")]
     sinks.write_csv(spark.createDataFrame(rows, "id long, v string"), f"file://{tmp_path}/c")
