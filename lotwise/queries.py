@@ -465,6 +465,46 @@ def extract_built_pages(spark, sf_dir):
     return items.select("p_partkey", "listing_id", *fields)
 
 
+@query("""WITH p AS (SELECT *, p_partkey % 5 AS k, replace(p_brand, '#', '') AS maker FROM part WHERE p_partkey % 3 <> 0 OR p_partkey % 6 = 0)
+SELECT p_partkey + 1 AS listing_id, maker || ' ' || p_type || ' ' || (p_size % 20 + 2000) || ' for sale in Town' || p_size AS title, maker AS brand, p_type AS model, 'Town' || p_size AS city,
+  (CASE WHEN k < 2 THEN p_size + 1970 ELSE p_size % 20 + 2000 END)::INT AS year, (CASE k WHEN 2 THEN p_size * 1000 WHEN 3 THEN p_size * 1000 + 500 END)::BIGINT AS mileage,
+  (CASE WHEN k IN (0, 1, 3) THEN p_size * 100 END)::DOUBLE AS engine_capacity, (CASE WHEN k < 2 THEN p_partkey WHEN k = 3 THEN p_size * 100000 + 50000 END)::BIGINT AS price,
+  CASE WHEN k < 2 THEN split_part(p_name, ' ', 1) WHEN k = 2 THEN p_name WHEN k = 3 THEN 'Teal' END AS color, CASE k WHEN 2 THEN 'Town' || p_size END AS registered_in,
+  CASE k WHEN 3 THEN 'Kept by ' || maker || ' alone' END AS seller_comments, k = 2 AS feat_abs, k = 2 AS feat_sun_roof, false AS feat_drls FROM p""")
+def built_listings(spark, sf_dir):
+    """Pages to listings: extraction, valid items alone, cleaned texts and numbers, features as columns."""
+    made = ingest.pages_to_listings(built_pages(spark, sf_dir))
+    return made.select("listing_id", "title", "brand", "model", "city", "year", "mileage", "engine_capacity", "price", "color", "registered_in", "seller_comments", "feat_abs", "feat_sun_roof", "feat_drls")
+
+
+@query("""WITH p AS (SELECT p_partkey % 2 = 0 AS early FROM part WHERE p_partkey % 3 <> 0 OR p_partkey % 6 = 0)
+SELECT 1 AS run, count(*) FILTER (early) AS ads_scraped, count(*) FILTER (early) AS new_ads, 0::BIGINT AS updated_ads, 60::BIGINT AS duration_seconds FROM p
+UNION ALL SELECT 2, count(*), count(*) FILTER (NOT early), count(*) FILTER (early), 60 FROM p""")
+def landing_log(spark, sf_dir):
+    """Run logs of two landings of pages in the raw table, the second of all pages again."""
+    pages = built_pages(spark, sf_dir)
+    listings_ = ingest.pages_to_listings(pages)
+    table = sinks.SnapshotTable(spark, scratch(spark, "landed"), "listing_id", listings_.schema.simpleString()[7:-1].replace(":", " ") + ", scrape_date timestamp", buckets=8)
+    logs = [ingest.merge_listings(table, ingest.pages_to_listings(some), "2026-01-01 00:00:00", "2026-01-01 00:01:00").withColumn("run", F.lit(run)) for run, some in ((1, pages.filter("p_partkey % 2 = 0")), (2, pages))]
+    return logs[0].unionByName(logs[1]).select("run", "ads_scraped", "new_ads", "updated_ads", "duration_seconds")
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'White' WHEN 1 THEN 'Black' WHEN 2 THEN 'Blue' WHEN 3 THEN 'Red' WHEN 4 THEN 'Red' WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Pink' ELSE 'Multi' END AS color_clean FROM part""")
+def color_scripts(spark, sf_dir):
+    """Colours in Urdu, in full-width letters and in digits, with words around them."""
+    words = ["سفید رنگ", "گاڑی کالی ہے", "نیلا", " سرخ ", "ＲＥＤ", "１２ ３４", "گلابی", "ｗｈｉｔｅ and black"]
+    name = F.element_at(F.array(*map(F.lit, words)), (F.col("p_partkey") % 8 + 1).cast("int"))
+    return color.clean_color_column(read(spark, sf_dir, "part").select("p_partkey", name.alias("name")), "name").select("p_partkey", "color_clean")
+
+
+@query("""SELECT p_partkey, p_name || ' fi 2' AS cleaned, array_to_string(list_transform(string_split(p_type, ' '), lambda w: upper(w[1:1]) || lower(w[2:])), ' ') AS label FROM part""")
+def normalize_text(spark, sf_dir):
+    """Texts in full-width letters, with a ligature, a raised digit and wide blanks, in their compatibility form."""
+    plain, wide = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ ", "".join(chr(ord(c) + 0xFEE0) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") + "\u3000"
+    widened = lambda c: F.translate(c, plain, wide)
+    return read(spark, sf_dir, "part").select("p_partkey", text.clean_text(F.concat(F.lit("\u3000 "), widened("p_name"), F.lit(" \ufb01 \u00b2 "))).alias("cleaned"), text.standardize_text(widened("p_type")).alias("label"))
+
+
 @query()
 def pages_to_listings(spark, sf_dir):
     pages = read(spark, sf_dir, "pages").withColumn("url", F.concat("url", F.lit("-"), (F.col("page_id") + 1).cast("string")))
