@@ -20,7 +20,8 @@ BLOCK = 64
 SMOOTHING = 0.1
 #: A language enters a document's set where it raises the log-likelihood by more than PENALTY * log(words).
 PENALTY = 2.0
-ROUNDS = 8
+#: What a text's log-likelihood may lack to its maximum when expectation-maximisation ends.
+TOLERANCE = 0.01
 
 _LETTER = np.zeros(256, bool)
 _LETTER[0x61:0x7B] = _LETTER[0x80:] = True
@@ -68,41 +69,74 @@ def _likelihoods(logs: np.ndarray) -> np.ndarray:
     return np.exp(logs - logs.max(axis=1, keepdims=True))
 
 
-def shares(like: np.ndarray, first: np.ndarray, allowed: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each document's maximum-likelihood shares of its `allowed` languages, and the log-likelihood; all documents have words."""
-    n = np.diff(first)
-    theta = allowed / allowed.sum(axis=1, keepdims=True)
-    for _ in range(rounds):
-        weighted = like * np.repeat(theta, n, axis=0)
-        weighted /= np.maximum(weighted.sum(axis=1, keepdims=True), 1e-30)
-        theta = np.add.reduceat(weighted, first[:-1], axis=0) / n[:, None]
-    total = np.log(np.maximum((like * np.repeat(theta, n, axis=0)).sum(axis=1), 1e-30))
-    return theta, np.add.reduceat(total, first[:-1])
+def _of_rows(first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words of some texts, and the first of each of these with one bound more."""
+    n = np.diff(first)[rows]
+    return np.repeat(first[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum()), np.concatenate([[0], np.cumsum(n)])
+
+
+def shares(like: np.ndarray, first: np.ndarray, allowed: np.ndarray, begin: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each document's maximum-likelihood shares of its `allowed` languages, the log-likelihood, and a bound on what that lacks
+    to its maximum, TOLERANCE at most; all documents have words.
+
+    The log-likelihood is concave in the shares, so what it can still gain is bounded by its steepest slope: for n words,
+    n * (the largest mean, over words, of a language's likelihood to the mixture's, less 1). Rounds go on until that is within
+    TOLERANCE, however many. The mean ratio is also what a round multiplies a share by; rounds that gain are followed by ones
+    that take the ratio to twice the power, and one that loses is taken back to a plain round, which never loses."""
+    theta = np.where(allowed, 1.0, 0.0) if begin is None else np.where(allowed, np.maximum(begin, 1e-12), 0.0)
+    theta /= theta.sum(axis=1, keepdims=True)
+    fit, gap = np.zeros(len(theta)), np.zeros(len(theta))
+    open_, like, n = np.arange(len(theta)), like.astype(np.float64), np.diff(first)
+    now, before, last, by, power = theta.copy(), theta.copy(), np.full(len(theta), -np.inf), np.ones_like(theta), np.ones(len(theta))
+    while len(open_):
+        mixed = np.maximum((like * np.repeat(now, n, axis=0)).sum(axis=1), 1e-300)
+        ratio = np.add.reduceat(like / mixed[:, None], first[:-1], axis=0) / n[:, None]
+        ratio[~allowed[open_]] = 0
+        value = np.add.reduceat(np.log(mixed), first[:-1])
+        lost = (value < last) & (power > 1)
+        left = n * np.maximum(ratio.max(axis=1) - 1, 0)
+        done = ~lost & (left <= TOLERANCE)
+        theta[open_[done]], fit[open_[done]], gap[open_[done]] = now[done], value[done], left[done]
+        power = np.where(lost, 1, np.minimum(2 * power, 1024))
+        before, last, by = np.where(lost[:, None], before, now), np.where(lost, last, value), np.where(lost[:, None], by, ratio)
+        power[lost] = 1
+        step = np.exp(power[:, None] * np.log(np.maximum(by, 1e-300)))
+        now = before * np.minimum(step, 1e100)
+        now = np.where(allowed[open_], np.maximum(now / now.sum(axis=1, keepdims=True), 1e-200), 0)
+        if done.any():
+            picked, bounds = _of_rows(first, np.flatnonzero(~done))
+            like, first, n = like[picked], bounds, n[~done]
+            open_, now, before, last, by, power = (x[~done] for x in (open_, now, before, last, by, power))
+    return theta, fit, gap
 
 
 def mixtures(like: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Shares after selection: languages go one by one, the least first, while the penalised likelihood rises."""
+    """Shares after selection: languages go one by one, the least first, while the penalised likelihood rises. A document is of
+    one language where no larger set can be worth its cost: the likelihood of all words each in its best language (which
+    is 1 here), or that of the best mixture of all languages, bounds what any set can reach."""
     n_docs, n_lang = len(first) - 1, like.shape[1]
     cost = PENALTY * np.log(np.diff(first) + 1.0)
-    best, fit = shares(like, first, np.ones((n_docs, n_lang), np.float32), ROUNDS)
-    alone = np.add.reduceat(np.log(np.maximum(like, 1e-30)), first[:-1], axis=0)
+    alone = np.add.reduceat(np.log(np.maximum(like.astype(np.float64), 1e-30)), first[:-1], axis=0)
     top = alone.argmax(axis=1)
-    rows = np.arange(n_docs)
-    single = alone[rows, top] >= fit - cost  # no set of two or more can be worth its cost
-    out = np.zeros_like(best)
-    out[rows[single], top[single]] = 1
+    out = np.zeros((n_docs, n_lang))
+    single = alone.max(axis=1) >= -cost
     open_ = np.flatnonzero(~single)
-    theta, fit = best[open_], fit[open_]
+    if len(open_):
+        picked, bounds = _of_rows(first, open_)
+        theta, fit, gap = shares(like[picked], bounds, np.ones((len(open_), n_lang), bool))
+        one = alone[open_].max(axis=1) >= fit + gap - cost[open_]
+        single[open_[one]] = True
+        open_, theta, fit = open_[~one], theta[~one], fit[~one]
+    out[single, top[single]] = 1
     allowed = np.ones((len(open_), n_lang), bool)
-    score = fit - cost[open_] * (n_lang - 1)
-    out[open_] = theta
+    score = fit - cost[open_] * (n_lang - 1) if len(open_) else np.zeros(0)
+    if len(open_):
+        out[open_] = theta
     while len(open_):
         smaller = allowed.copy()
         smaller[np.arange(len(open_)), np.where(allowed, theta, np.inf).argmin(axis=1)] = False
-        n = np.diff(first)[open_]
-        picked = np.repeat(first[open_] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        bounds = np.concatenate([[0], np.cumsum(n)])
-        theta, fit = shares(like[picked], bounds, smaller.astype(np.float32), ROUNDS)
+        picked, bounds = _of_rows(first, open_)
+        theta, fit, _ = shares(like[picked], bounds, smaller, theta)
         new = fit - cost[open_] * (smaller.sum(axis=1) - 1)
         better = new > score
         out[open_[better]] = theta[better]
@@ -148,12 +182,6 @@ def _has_letter(text: pa.Array) -> np.ndarray:
     return has
 
 
-def _of_rows(first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words of some texts, and the first of each of these with one bound more."""
-    n = np.diff(first)[rows]
-    return np.repeat(first[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum()), np.concatenate([[0], np.cumsum(n)])
-
-
 def _decided(doc_ids: pa.Array, rows: np.ndarray, theta: np.ndarray, names: list[list[str]]) -> pa.RecordBatch:
     """Rows of the result; `names` are the languages of theta's columns for each of `rows`, the other texts are "und"."""
     pred, score, found = ["und"] * len(doc_ids), np.zeros(len(doc_ids)), [[] for _ in range(len(doc_ids))]
@@ -169,7 +197,8 @@ KEPT = "array<struct<lang:string,logs:binary>>"
 
 def identify(docs: DataFrame, train=None, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", block: int = BLOCK) -> DataFrame:
     """(doc_id, lang_pred, score, shares) of every whole text: its main language, that language's share of the words, and
-    the shares of all languages in the set whose penalised likelihood is best.
+    the shares of all languages in the set that is left when none can go without loss of penalised likelihood (see `mixtures`).
+    Shares are those of the maximum likelihood: expectation-maximisation goes on until it lacks TOLERANCE at most.
 
     Grams are counted over all documents with a language for which `train` holds (sums of each task go to the shuffle,
     so a language that most documents have is one row of it a gram and task); the model's size depends on the languages
