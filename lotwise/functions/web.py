@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -91,13 +92,20 @@ class _Page(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, dict[str, str]]] = []
+        self.open: list[tuple[str, dict[str, str], list[str]]] = []
+        self.inside: Counter[str] = Counter()  # open tags of each kind that matters
         self.ld, self.specs, self.items, self.icons = [], [], [], []
         self.meta = self.hidden = self.comments = None
         self.carousel, self.ribbon, self.heading, self.in_comments = False, False, False, 0
 
-    def _inside(self, tag: str, **attrs: str) -> bool:
-        return any(t == tag and all(v in (a.get(k) or "").split() for k, v in attrs.items()) for t, a in self.open)
+    @staticmethod
+    def _kinds(tag: str, a: dict[str, str]) -> list[str]:
+        kinds = ["li"] if tag == "li" else []
+        if tag == "ul" and "scroll_car_detail" in a.get("id", "").split():
+            kinds.append("specs")
+        if tag == "ul" and "car-feature-list" in a.get("class", "").split():
+            kinds.append("items")
+        return [*kinds, "carousel"] if a.get("id") == "myCarousel" else kinds
 
     def handle_starttag(self, tag, attrs):
         a = {k: v or "" for k, v in attrs}
@@ -110,7 +118,7 @@ class _Page(HTMLParser):
             self.icons.append(a["alt"].strip())
         if a.get("id") == "myCarousel":
             self.carousel = True
-        if tag == "div" and "featured-ribbon" in classes and any(x.get("id") == "myCarousel" for _, x in self.open):
+        if tag == "div" and "featured-ribbon" in classes and self.inside["carousel"]:
             self.ribbon = True
         if tag == "h2" and a.get("id") == "scroll_seller_comments":
             self.heading = True
@@ -119,14 +127,18 @@ class _Page(HTMLParser):
         if tag == "script" and a.get("type") == "application/ld+json":
             self.ld.append("")
         if tag == "li":
-            (self.specs if self._inside("ul", id="scroll_car_detail") else self.items if self._inside("ul", **{"class": "car-feature-list"}) else []).append([])
+            (self.specs if self.inside["specs"] else self.items if self.inside["items"] else []).append([])
         if tag not in self._VOID:
-            self.open.append((tag, a))
+            kinds = self._kinds(tag, a)
+            self.inside.update(kinds)
+            self.open.append((tag, a, kinds))
 
     def handle_endtag(self, tag):
-        if any(t == tag for t, _ in self.open):
-            while self.open and self.open.pop()[0] != tag:
-                pass
+        if any(t == tag for t, _, _ in self.open):
+            last = None
+            while last != tag:
+                last, _, kinds = self.open.pop()
+                self.inside.subtract(kinds)
         if self.in_comments > len(self.open):
             self.in_comments, self.heading = 0, False
 
@@ -136,8 +148,8 @@ class _Page(HTMLParser):
             if self.open[-1][1].get("type") == "application/ld+json" and self.ld:
                 self.ld[-1] += data
             return
-        if self._inside("li"):
-            for found, inside in ((self.specs, self._inside("ul", id="scroll_car_detail")), (self.items, self._inside("ul", **{"class": "car-feature-list"}))):
+        if self.inside["li"]:
+            for found, inside in ((self.specs, self.inside["specs"]), (self.items, self.inside["items"])):
                 if inside and found:
                     found[-1].append(data)
         if self.in_comments and data.strip():

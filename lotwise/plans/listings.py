@@ -113,10 +113,11 @@ def process_listings(raw: DataFrame, settings: Settings = DEFAULTS, include_log_
     return select_processed(df.drop("listing_id").withColumnRenamed("source_pk", "listing_id"))
 
 
-def refresh_segments(processed: DataFrame, raw: DataFrame, changed: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def refresh_segments(raw: DataFrame, changed: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Processed rows to merge after some raw rows changed (`changed`: brand, model, year and city of rows before and
     after, in standard form): those of every touched segment or city, rebuilt. Features are built for these rows alone, and
-    statistics for their segments and cities, which need all rows of both but no more than narrow ones."""
+    statistics for their segments and cities, but all raw rows are cleaned first: this keeps no state. `store.ListingStore`
+    does, and reads the changed ads alone."""
     rows = clean_rows(attach_source_pk(raw), settings)
     ready = standard_text(rows)(rows, schema.TEXT_COLUMNS)
     in_segment = changed.select(*market.SEGMENT).distinct().withColumn("_segment", F.lit(True))

@@ -655,7 +655,7 @@ def refresh_segments(spark, sf_dir):
     """Rows to merge after one brand's ads of one city changed: those of their segments and of the city."""
     raw = raw_view(spark, sf_dir)
     changed = raw.filter("brand = 'brand#7' and city = 'NATION_3' and registered_in is not null").select(F.initcap("brand").alias("brand"), F.initcap("model").alias("model"), "year", F.initcap("city").alias("city"))
-    part = _rounded(listings.refresh_segments(None, raw, changed))
+    part = _rounded(listings.refresh_segments(raw, changed))
     return part.select("listing_id", "brand", "model", "year", "city", "market_listing_count", "city_listing_count", "market_avg_price", "city_avg_price")
 
 

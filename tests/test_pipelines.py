@@ -51,7 +51,7 @@ def test_refresh_rebuilds_touched_segments_only(spark):
     df = raw(spark, [{}, {"brand": "ace", "city": "swat"}, {"price": 4200000}])
     whole = listings.process_listings(df)
     changed = whole.filter("brand = 'Zed'").select("brand", "model", "year", "city")
-    part = listings.refresh_segments(whole, df, changed)
+    part = listings.refresh_segments(df, changed)
     assert sorted(r.listing_id for r in part.collect()) == [1, 3]
     assert part.exceptAll(whole).count() == 0
 
