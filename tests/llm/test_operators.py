@@ -596,6 +596,7 @@ def test_rollup_of_two_writers_and_crashes(spark, tmp_path, monkeypatch):
         with pytest.raises(ZeroDivisionError):
             one.compact()
     assert one.totals().first().n_tokens == 5 and one.commit("b", rows(("s", "en", "t", 9, 1)))
+    assert one.compact() and two._names("batch") == ["a", "b"]
     with monkeypatch.context() as m:  # totals are named, but the batches have not gone yet
         m.setattr(token_counts, "delete", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
