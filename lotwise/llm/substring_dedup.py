@@ -160,14 +160,16 @@ def without_repeats(docs: DataFrame, words: int = 13, longest: bool = False) ->
             steps.append(2 * size)
         twice = steps[level]
         alive = staged.write(f"alive-{level}", found.groupBy("doc_id").agg(F.collect_list("h1").alias("alive")).join(texts.filter("not copy"), "doc_id"))
+        staged.drop(f"alive-{level - 1}", f"windows-{level - 1}")
         if alive.isEmpty():
             break
         found = repeated(staged.write(f"windows-{level}", extended(known.join(alive, ["doc_id", "digest"]), size, twice, level == 1)))
+        if twice >= words:
+            found = staged.write(f"found-{level}", found)
+            staged.drop(f"alive-{level}", f"windows-{level}")
         if twice == words:
-            found = staged.write("found", found)
             hits = found.filter("later").groupBy("doc_id").agg(F.collect_list("h1").alias("alive"))
         elif twice > words:
-            found = staged.write(f"found-{level}", found)
             reached = found.filter("later").select("doc_id").distinct().withColumn("longest", F.lit(twice))
             beyond = reached if beyond is None else beyond.unionByName(reached)
     if hits is None:
