@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 from collections import Counter
+from collections.abc import Callable
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -74,9 +75,14 @@ def _entities(c: Column) -> Column:
     return F.coalesce(_unescape(F.when(c.contains("&"), c)), c)
 
 
-def page_title(page: Column) -> Column:
-    """The title up to its first bar."""
-    raw = _entities(F.regexp_extract(page, r"(?is)<title[^>]*>(.*?)</title>", 1))
+def ampersands(c: Column) -> Column:
+    """The one reference `&amp;` alone; all else stays as it is written."""
+    return F.replace(c, F.lit("&amp;"), F.lit("&"))
+
+
+def page_title(page: Column, decode: Callable[[Column], Column] = _entities) -> Column:
+    """The title up to its first bar, with its character references read by `decode`: all of them, or `ampersands`."""
+    raw = decode(F.regexp_extract(page, r"(?is)<title[^>]*>(.*?)</title>", 1))
     return F.nullif(F.trim(F.substring_index(F.trim(raw), "|", 1)), F.lit(""))
 
 
