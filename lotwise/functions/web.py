@@ -189,6 +189,10 @@ def parse_ad_html(pages: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["ld", "specs", "meta", "hidden_id", "features", "comments", "is_featured"])
 
 
+#: So that a filter on a parsed field neither parses every page a second time nor is moved in front of a shuffle.
+parse_ad_html = parse_ad_html.asNondeterministic()
+
+
 def _filled(*sources: Column) -> Column:
     """The first source that is neither null nor empty."""
     return F.coalesce(*[F.nullif(s, F.lit("")) for s in sources])

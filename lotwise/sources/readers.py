@@ -81,6 +81,12 @@ def read_listings(spark: SparkSession, source: str, **options) -> DataFrame:
     return readers[source](spark, **options)
 
 
+def spread(df: DataFrame, per_core: int = 4) -> DataFrame:
+    """Rows dealt out evenly over `per_core` tasks for each core, before costly work on each. A scan splits a table by bytes,
+    so a small, well packed file of many rows would be one task's. The number is given, as Spark would join small parts."""
+    return df.repartition(max(32, per_core * df.sparkSession.sparkContext.defaultParallelism))
+
+
 def attach_source_pk(df: DataFrame) -> DataFrame:
     """source_pk as it is, else from id, else, with a warning, from listing_id."""
     if "source_pk" in df.columns:
