@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,8 @@ from pyspark.sql.types import StringType
 from ..lookups import ACRONYMS, GARBAGE_TEXT
 
 FIELD_MARK = " <FIELD> "
+#: Stands between phrases that were found; none holds it.
+PHRASE_MARK = "\x1f"
 
 
 @F.pandas_udf(StringType())
@@ -117,16 +120,18 @@ def phrases_found(corpus: Column, phrases: Sequence[str]) -> Column:
 
 def keyword_flags(df: DataFrame, phrases: Mapping[str, Sequence[str]], columns: Sequence[str] = ("description", "seller_comments")) -> DataFrame:
     """A boolean column for each key: whether one of its phrases stands in the corpus as whole words. The corpus is scanned
-    once for the phrases of all keys; a key is true if any phrase found is one of its own or begins with one."""
+    once for the phrases of all keys; a key is true if any phrase found is one of its own or begins with one. The phrases found
+    are one short text, in which a key's are looked up: a set of an array's entries would be built for each key and row."""
     wanted = {name: {p.lower().strip() for p in words if p.strip()} for name, words in phrases.items()}
     every = set().union(*wanted.values()) if wanted else set()
     if not every:
         return df.withColumns({name: F.lit(False) for name in wanted})
-    found = df.withColumn("_corpus", search_corpus(df, columns)).withColumn("_found", phrases_found(F.col("_corpus"), sorted(every)))
+    found = df.withColumn("_corpus", search_corpus(df, columns)).withColumn("_found", F.array_join(phrases_found(F.col("_corpus"), sorted(every)), PHRASE_MARK))
+    found = found.withColumn("_found", F.concat(F.lit(PHRASE_MARK), "_found", F.lit(PHRASE_MARK)))
     begins = lambda long, short: re.match(rf"{re.escape(short)}\b", long) is not None
 
     def flag(words: set[str]) -> Column:
         telling = sorted(p for p in every if any(begins(p, w) for w in words))
-        return F.coalesce(F.arrays_overlap("_found", F.array(*map(F.lit, telling))), F.lit(False)) if telling else F.lit(False)
+        return reduce(lambda a, b: a | b, [F.contains(F.col("_found"), F.lit(PHRASE_MARK + p + PHRASE_MARK)) for p in telling], F.lit(False))
 
     return found.withColumns({name: flag(words) for name, words in wanted.items()}).drop("_corpus", "_found")

@@ -74,7 +74,7 @@ class RepairAds(_WithTables):
 
 class AdFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Colours and texts in standard form, flags, scores and numeric features: what an ad tells alone. The settings are
-    parameters of the stage."""
+    parameters of the stage. Of a table each distinct text is put in standard form once, of a stream each row's."""
 
     km_per_year = Param(Params._dummy(), "km_per_year", "usual distance a year", TypeConverters.toFloat)
     fallback_year = Param(Params._dummy(), "fallback_year", "year of ads without a date", TypeConverters.toInt)
@@ -86,7 +86,8 @@ class AdFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         settings = Settings(**asdict(DEFAULTS) | {"km_per_year": self.getOrDefault(self.km_per_year), "fallback_year": self.getOrDefault(self.fallback_year)})
-        df = text.standardize_text_columns(dataset, schema.TEXT_COLUMNS)
+        columns = [c for c in schema.TEXT_COLUMNS if c in dataset.columns]
+        df = text.standardize_text_columns(dataset, columns) if dataset.isStreaming else listings.standard_text(dataset, columns)(dataset, columns)
         return listings.row_features(df.withColumn("color", color.standardize_color(F.col("color"))), settings)
 
 
@@ -109,8 +110,10 @@ def fit(raw: DataFrame, categories: Sequence[str], numbers: Sequence[str], setti
         raise ValueError(f"these columns hold the price or stem from it: {leaks}")
     ads = attach_source_pk(raw)
     modes = cleaning.modes_of(cleaning.label_counts(ads, "body_type", ["brand", "model"]), ["brand", "model"])
-    rows = listings.clean_rows(ads, settings)
-    ready = staged(AdFeatures(settings).transform(rows), "ready")  # read by statistics and by each pass of training
+    built = AdFeatures(settings).transform(listings.clean_rows(ads, settings))
+    read = {*market.SEGMENT, "city", schema.TARGET, "mileage", "equipment_score", *categories, *numbers}
+    # Read by statistics and by each pass of training: what these read, so that no other column is moved or made.
+    ready = staged(built.select(*[c for c in built.columns if c in read]), "ready")
     segments, cities = listings.statistics_of(ready)
     stages = [RepairAds({"modes": modes}), AdFeatures(settings), CompareAds({"segments": segments, "cities": cities})]
     trained = price_model.train(stages[2].transform(ready), categories, numbers, schema.TARGET, **model)

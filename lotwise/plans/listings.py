@@ -79,9 +79,15 @@ def with_equipment_score(df: DataFrame) -> DataFrame:
     return features.add_scores(df, {"equipment_score": schema.SCORES["equipment_score"]})
 
 
+def compared(df: DataFrame) -> DataFrame:
+    """What segments and cities are made of. The score is counted before texts are joined, so that flags do not pass the joins."""
+    return with_equipment_score(df).select(*market.SEGMENT, "city", "price", "mileage", "equipment_score")
+
+
 def statistics_of(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(segments, cities) of rows with standard text, written once: what later runs read to score single ads."""
-    return staged(market.segment_statistics(with_equipment_score(df)), "segments"), staged(market.city_statistics(df), "cities")
+    df = df if "equipment_score" in df.columns else compared(df)
+    return staged(market.segment_statistics(df), "segments"), staged(market.city_statistics(df), "cities")
 
 
 def build_features(df: DataFrame, settings: Settings = DEFAULTS, include_log_price: bool = False, statistics: tuple[DataFrame, DataFrame] | None = None, standard: bool = False) -> DataFrame:
@@ -107,7 +113,7 @@ def process_listings(raw: DataFrame, settings: Settings = DEFAULTS, include_log_
     written before (`clean_with_rejects`)."""
     rows = rows if rows is not None else clean_rows(attach_source_pk(raw), settings)
     standard = standard_text(rows)
-    statistics = statistics_of(standard(rows, [*market.SEGMENT[:2], "city"]))  # before colours, which they do not need
+    statistics = statistics_of(standard(compared(rows), [*market.SEGMENT[:2], "city"]))  # before colours, which they do not need
     df = color.clean_color_column(rows).drop("color").withColumnRenamed("color_clean", "color")
     df = build_features(standard(df, schema.TEXT_COLUMNS), settings, include_log_price, statistics, standard=True)
     return select_processed(df.drop("listing_id").withColumnRenamed("source_pk", "listing_id"))
