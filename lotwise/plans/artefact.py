@@ -109,12 +109,15 @@ def fit(raw: DataFrame, categories: Sequence[str], numbers: Sequence[str], setti
     if leaks:
         raise ValueError(f"these columns hold the price or stem from it: {leaks}")
     ads = attach_source_pk(raw)
-    modes = cleaning.modes_of(cleaning.label_counts(ads, "body_type", ["brand", "model"]), ["brand", "model"])
-    built = AdFeatures(settings).transform(listings.clean_rows(ads, settings))
-    read = {*market.SEGMENT, "city", schema.TARGET, "mileage", "equipment_score", *categories, *numbers}
+    modes = staged(cleaning.modes_of(cleaning.label_counts(ads, "body_type", ["brand", "model"]), ["brand", "model"]), "modes")
     # Read by statistics and by each pass of training: what these read, so that no other column is moved or made.
-    ready = staged(built.select(*[c for c in built.columns if c in read]), "ready")
+    read = {*market.SEGMENT, "city", schema.TARGET, "mileage", "equipment_score", *categories, *numbers}
+    rows = listings.clean_columns(ads, read, settings, modes)
+    texts = [c for c in schema.TEXT_COLUMNS if c in rows.columns]
+    ready = staged(listings.standard_text(rows, texts)(rows, texts), "ready")
     segments, cities = listings.statistics_of(ready)
     stages = [RepairAds({"modes": modes}), AdFeatures(settings), CompareAds({"segments": segments, "cities": cities})]
-    trained = price_model.train(stages[2].transform(ready), categories, numbers, schema.TARGET, **model)
+    # Each pass of training looks segments and cities up only where it reads a comparison with them.
+    rows = ready if {*categories, *numbers} <= {*ready.columns} else stages[2].transform(ready)
+    trained = price_model.train(rows, categories, numbers, schema.TARGET, **model)
     return PipelineModel([*stages, *trained.stages])
