@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def train(df: DataFrame, categories: Sequence[str], numbers: Sequence[str], target: str = "price", *, trees: int = 20, depth: int = 8, max_categories: int = 128, seed: int = 7) -> PipelineModel:
-    """Categories are indexed by frequency (unseen ones get a place of their own), numbers (flags too) imputed by their median.
-    One tree is a plain regression tree over all rows. The target is not read when the model scores."""
-    tree = {"featuresCol": "features", "labelCol": target, "predictionCol": "predicted_price", "maxDepth": depth, "maxBins": max_categories, "seed": seed}
+#: Rows that one task of a tree's training holds at most, each as a number of a few bytes for every feature.
+ROWS_IN_TASK = 500_000
+
+
+def encoders(df: DataFrame, categories: Sequence[str], numbers: Sequence[str]) -> PipelineModel:
+    """The stages in front of the trees, which give `features`."""
     as_numbers = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `{c}_number`" for c in numbers)
     stages = [
         SQLTransformer(statement=f"SELECT *, {as_numbers} FROM __THIS__"),
@@ -24,13 +26,36 @@ def train(df: DataFrame, categories: Sequence[str], numbers: Sequence[str], targ
         OneHotEncoder(inputCols=[f"{c}_index" for c in categories], outputCols=[f"{c}_one" for c in categories], handleInvalid="keep"),
         Imputer(inputCols=[f"{c}_number" for c in numbers], outputCols=[f"{c}_full" for c in numbers], strategy="median"),
         VectorAssembler(inputCols=[*[f"{c}_one" for c in categories], *[f"{c}_full" for c in numbers]], outputCol="features"),
-        DecisionTreeRegressor(**tree) if trees == 1 else RandomForestRegressor(numTrees=trees, **tree),
     ]
     if not categories:
         stages = [stages[0], *stages[3:]]
     return Pipeline(stages=stages).fit(df)
 
 
+def trees_of(target: str = "price", *, trees: int = 20, depth: int = 8, max_categories: int = 128, seed: int = 7) -> DecisionTreeRegressor | RandomForestRegressor:
+    tree = {"featuresCol": "features", "labelCol": target, "predictionCol": "predicted_price", "maxDepth": depth, "maxBins": max_categories, "seed": seed}
+    return DecisionTreeRegressor(**tree) if trees == 1 else RandomForestRegressor(numTrees=trees, **tree)
+
+
+def dealt(rows: DataFrame, n: int, most: int = ROWS_IN_TASK) -> DataFrame:
+    """The `n` rows of a scan, dealt over so many tasks that none gets more than about `most`: a scan splits a table by bytes, and
+    well packed rows are many times as large once they are features. As they stand, if their tasks are enough."""
+    return rows.repartition(-(-n // most)) if n > most * rows.rdd.getNumPartitions() else rows
+
+
+def train(df: DataFrame, categories: Sequence[str], numbers: Sequence[str], target: str = "price", **settings: int) -> PipelineModel:
+    """Categories are indexed by frequency (unseen ones get a place of their own), numbers (flags too) imputed by their median.
+    `settings` are those of `trees_of`; one tree is a plain regression tree over all rows. The target is not read when the model
+    scores. What training reads of `df` is kept while it runs, as it is read in several passes."""
+    rows = df.select(*dict.fromkeys([*categories, *numbers, target])).persist()
+    try:
+        made = encoders(rows, categories, numbers)
+        tree = trees_of(target, **settings).fit(dealt(made.transform(rows).select("features", target), rows.count()))
+        return PipelineModel([*made.stages, tree])
+    finally:
+        rows.unpersist()
+
+
 def save(model: PipelineModel, path: str) -> None:
     """The model with its encoders, in a folder that `load` reads; an older one there is replaced."""
     model.write().overwrite().save(path)
@@ -68,21 +93,27 @@ def metrics(scored: DataFrame, slices: Sequence[str] = (), target: str = "price"
 
 def select_model(df: DataFrame, categories: Sequence[str], numbers: Sequence[str], grid: Sequence[Mapping[str, int]], key: str, target: str = "price", percent: int = 20, metric: str = "rmse") -> tuple[PipelineModel, DataFrame]:
     """The model of the `grid` (settings of `train`) that does best on held-out keys, fitted on the others, and the metrics of
-    all of them. The split is by key, so no ad stands on both sides; held-out rows are scored once a model."""
-    training, test = (side.persist() for side in split_by_key(df, key, percent))
+    all of them. The split is by key, so no ad stands on both sides; held-out rows are scored once a model. Settings are of trees
+    alone, so rows are encoded once for all models."""
+    read = list(dict.fromkeys([*categories, *numbers, target]))
+    kept = [side.select(*read).persist() for side in split_by_key(df.select(*dict.fromkeys([key, *read])), key, percent)]
     try:
+        made = encoders(kept[0], categories, numbers)
+        training, test = (made.transform(side).select("features", target) for side in kept)
+        training = dealt(training, kept[0].count()).persist()
+        kept.append(training)
         best, tried = None, []
         for n, setting in enumerate(grid):
-            model = train(training, categories, numbers, target, **setting)
-            row = metrics(score(model, test, target), target=target).first()
+            tree = trees_of(target, **setting).fit(training)
+            row = metrics(tree.transform(test), target=target).first()
             tried.append((n, json.dumps(dict(setting)), row["n"], row["rmse"], row["mae"], row["r2"]))
             value = -row[metric] if metric == "r2" else row[metric]
             if best is None or value < best[0]:
-                best = (value, model)
-        return best[1], df.sparkSession.createDataFrame(tried, "model int, setting string, n long, rmse double, mae double, r2 double")
+                best = (value, tree)
+        return PipelineModel([*made.stages, best[1]]), df.sparkSession.createDataFrame(tried, "model int, setting string, n long, rmse double, mae double, r2 double")
     finally:
-        training.unpersist()
-        test.unpersist()
+        for rows in kept:
+            rows.unpersist()
 
 
 def evaluate(scored: DataFrame, target: str = "price") -> dict[str, float]:
