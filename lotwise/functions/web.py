@@ -178,15 +178,14 @@ _TEXT, _TEXTS = T.StringType(), T.ArrayType(T.StringType())
 _PARTS = T.StructType().add("ld", _TEXTS).add("specs", _TEXTS).add("meta", _TEXT).add("hidden_id", _TEXT).add("features", _TEXTS).add("comments", _TEXT).add("is_featured", T.BooleanType())
 
 
-@F.pandas_udf(_PARTS)
-def parse_ad_html(pages: pd.Series) -> pd.DataFrame:
-    rows = []
-    for source in pages:
-        page = _Page()
-        page.feed(source or "")
-        page.close()  # gives out the text at the end of a page that was cut short
-        rows.append(page.row())
-    return pd.DataFrame(rows, columns=["ld", "specs", "meta", "hidden_id", "features", "comments", "is_featured"])
+@F.udf(_PARTS, useArrow=False)
+def parse_ad_html(source: str | None) -> dict:
+    """Pages cross to Python by a hundred, not in Arrow batches of ten thousand: parsing a page takes far longer than handing it over,
+    and a worker holds few of them."""
+    page = _Page()
+    page.feed(source or "")
+    page.close()  # gives out the text at the end of a page that was cut short
+    return page.row()
 
 
 #: So that a filter on a parsed field neither parses every page a second time nor is moved in front of a shuffle.
