@@ -59,8 +59,20 @@ def shingle_sets(text: pa.Array, words: int) -> list[np.ndarray]:
     return out
 
 
-def signed(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, key1, key2, signature): the two keys tell different sets apart, whatever the texts."""
+def band_keys(mins: np.ndarray, rows: int) -> np.ndarray:
+    """The buckets of each signature: a bucket is a band with its values."""
+    values = mix(mins.astype(np.uint64) + np.uint64(1))
+    n = N_HASHES // rows
+    keys = np.zeros((len(mins), n), np.uint64) + np.arange(n, dtype=np.uint64)
+    for j in range(rows):
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + values[:, j : n * rows : rows])
+    return keys
+
+
+def signed(docs: DataFrame, words: int, rows: int) -> DataFrame:
+    """(doc_id, n_shingles, key1, key2, buckets, signature): the two keys tell different sets apart, whatever the texts. Buckets
+    come from whole hashes of 32 bits. The signature, which is written, moved and compared, holds their lowest 8: equal hashes
+    stay equal, and unlike ones that agree there (one in 256) are one match too many, so that no link is lost by it."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
@@ -76,32 +88,31 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
                 for k, a in enumerate(_MULTIPLIERS):
                     mins[:, k] = np.minimum.reduceat(flat * a, starts) >> np.uint64(32)
             signatures = np.empty(len(sets), object)
-            signatures[at] = [row.tobytes() for row in mins]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), *(pa.array(k.view(np.int64)) for k in keys), pa.array(signatures.tolist(), pa.binary())], ["doc_id", "n_shingles", "key1", "key2", "signature"])
+            signatures[at] = [row.tobytes() for row in mins.astype(np.uint8)]
+            buckets = np.empty(len(sets), object)
+            buckets[at] = [row.tobytes() for row in band_keys(mins, rows)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sizes), *(pa.array(k.view(np.int64)) for k in keys), *(pa.array(x.tolist(), pa.binary()) for x in (buckets, signatures))],
+                ["doc_id", "n_shingles", "key1", "key2", "buckets", "signature"],
+            )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, key1 long, key2 long, signature binary")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, key1 long, key2 long, buckets binary, signature binary")
 
 
 def _rows(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(len(column), N_HASHES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), N_HASHES)
 
 
-def bands(unique: DataFrame, rows: int) -> DataFrame:
-    """(bucket, id): a bucket is a band with its values."""
+def bands(firsts: DataFrame, rows: int) -> DataFrame:
+    """(bucket, id) of each bucket of each id."""
+    n = N_HASHES // rows
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            if not batch.num_rows:
-                continue
-            values = mix(_rows(batch.column("signature")).astype(np.uint64) + np.uint64(1))
-            n = N_HASHES // rows
-            keys = np.zeros((batch.num_rows, n), np.uint64) + np.arange(n, dtype=np.uint64)
-            for j in range(rows):
-                keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + values[:, j : n * rows : rows])
-            ids = np.repeat(batch.column("id").to_numpy(), n)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], ["bucket", "id"])
+            keys = np.frombuffer(b"".join(batch.column("buckets").to_pylist()), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(batch.column("id").to_numpy(), n))], ["bucket", "id"])
 
-    return unique.select("id", "signature").mapInArrow(run, "bucket long, id long")
+    return firsts.select("id", "buckets").mapInArrow(run, "bucket long, id long")
 
 
 def likely(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, least: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,7 +223,7 @@ def linked_blocks(members: DataFrame, unique: DataFrame, docs: DataFrame, words:
         return pa.table({c: pa.array([f[k] for f in found], pa.int64()) for k, c in enumerate("ab")})
 
     signatures = unique.select("id", "signature")
-    dealt = _dealt(members.withColumn("bytes", F.lit(4 * N_HASHES)), BLOCK, "bytes").join(signatures, "id")
+    dealt = _dealt(members.withColumn("bytes", F.lit(N_HASHES)), BLOCK, "bytes").join(signatures, "id")
     marked = staged.write("marked", dealt.groupBy("bucket", "i", "j").applyInArrow(mark, "bucket long, id long").distinct())
     open_ = staged.write("unsettled", members.join(marked, ["bucket", "id"]).withColumn("bytes", 8 * F.col("n_shingles")))
     sets = full_sets(docs, open_.select(F.col("id").alias("doc_id")).distinct(), words, staged)
@@ -255,16 +266,19 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, words: int = 5, id_co
     spark = docs.sparkSession
     staged = Staged(spark, "near-dedup")
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    table = staged.write("signed", signed(docs, words))
+    table = staged.write("signed", signed(docs, words, band_rows(percent)))
     narrow = staged.write("narrow", table.select("doc_id", "n_shingles", "key1", "key2"))
     same = ["n_shingles", "key1", "key2"]
     classes = staged.write("classes", narrow.filter("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")))
-    firsts = table.filter("n_shingles > 0").select(F.col("doc_id").alias("id"), "n_shingles", "signature").join(classes.select("id"), "id", "left_semi")
-    unique = staged.write("unique", firsts.dropDuplicates(["id"]))
-    banded = staged.write("bands", bands(unique, band_rows(percent)))
+    firsts = table.filter("n_shingles > 0").select(F.col("doc_id").alias("id"), "n_shingles", "buckets", "signature").join(classes.select("id"), "id", "left_semi")
+    firsts = staged.write("firsts", firsts.dropDuplicates(["id"]))
+    staged.drop("signed")
+    unique = staged.write("unique", firsts.drop("buckets"))
+    banded = staged.write("bands", bands(firsts, band_rows(percent)))
+    staged.drop("firsts")
     buckets = staged.write("buckets", banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("size")).filter("size > 1"))
     members = staged.write("members", banded.join(buckets, "bucket"))
-    staged.drop("signed", "bands", "buckets")
+    staged.drop("bands", "buckets")
 
     pairs = staged.write("pairs", members.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
     links = staged.write("links", confirmed(staged.write("likely", pruned(pairs, unique, percent)), docs, words, percent, staged))
