@@ -82,10 +82,12 @@ def standard_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def with_standard_values(df: DataFrame, columns: Sequence[str], values: DataFrame) -> DataFrame:
-    """The columns replaced by their standard form, from a table of `standard_values` that is small enough to be broadcast."""
+    """The columns replaced by their standard form, from a table of `standard_values` that is small enough to be broadcast. Values
+    are grouped, which tells the optimizer that each stands once: it leaves out the join of a column that nobody reads."""
     for c in columns:
-        known = F.broadcast(values.filter(F.col("column") == c).select(F.col("value").alias("_value"), F.col("standard").alias("_standard")))
-        df = df.join(known, df[c].eqNullSafe(known["_value"]), "left").withColumn(c, F.col("_standard")).drop("_value", "_standard")
+        known = values.filter(F.col("column") == c).groupBy(F.col("value").alias("_value")).agg(F.first("standard").alias("_standard"))
+        standard = F.when(F.col(c).isNull(), standardize_text(F.lit(None), unicode=False)).otherwise(F.col("_standard"))
+        df = df.join(F.broadcast(known), df[c] == known["_value"], "left").withColumn(c, standard).drop("_value", "_standard")
     return df
 
 

@@ -38,8 +38,10 @@ def clean_rows(df: DataFrame, settings: Settings = DEFAULTS, modes: DataFrame |
 
 def clean_columns(df: DataFrame, columns: Collection[str], settings: Settings = DEFAULTS, modes: DataFrame | None = None) -> DataFrame:
     """Those of `columns` that clean rows have, written once, with what a row tells alone (`row_features`, standard colours) but texts as they
-    were. Rules and features are told where a row is read, so that it is moved and sorted with these columns alone."""
-    whole = clean_nulls(cleaning.fill_blank(df, schema.OPTIONAL_TEXT), modes)
+    were. Rules and features are told where a row is read, so that it is moved and sorted with these columns alone. A repaired body
+    type is never null, so it turns no row away and is not looked up unless it is one of them."""
+    rows = cleaning.fill_blank(df, schema.OPTIONAL_TEXT)
+    whole = clean_nulls(rows, modes) if "body_type" in columns else cleaning.drop_null_rows(cleaning.fill_false(cleaning.fill_electric_engine(rows.drop("body_type"))))
     marked = whole.withColumn("_possible", cleaning.is_possible(cleaning.listing_rules(settings)))
     built = row_features(marked.withColumn("color", color.standardize_color(F.col("color"))), settings)
     moved = {*columns, "listing_id", "source_pk", "_possible"}
