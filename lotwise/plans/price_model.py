@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -72,10 +72,14 @@ def score(model: PipelineModel, df: DataFrame, target: str = "price") -> DataFra
     return out.withColumn("price_difference", F.col(target) - F.col("predicted_price")) if target in df.columns else out
 
 
+def place_of(key: str) -> Column:
+    """0 to 99, by the key alone."""
+    return F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long") % 100
+
+
 def split_by_key(df: DataFrame, key: str, percent: int = 20) -> tuple[DataFrame, DataFrame]:
     """(training, test) rows: a key's side depends on the key alone, so an ad never changes sides between runs."""
-    place = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long") % 100
-    marked = df.withColumn("_place", place)
+    marked = df.withColumn("_place", place_of(key))
     return marked.filter(F.col("_place") >= percent).drop("_place"), marked.filter(F.col("_place") < percent).drop("_place")
 
 
@@ -93,15 +97,16 @@ def metrics(scored: DataFrame, slices: Sequence[str] = (), target: str = "price"
 
 def select_model(df: DataFrame, categories: Sequence[str], numbers: Sequence[str], grid: Sequence[Mapping[str, int]], key: str, target: str = "price", percent: int = 20, metric: str = "rmse") -> tuple[PipelineModel, DataFrame]:
     """The model of the `grid` (settings of `train`) that does best on held-out keys, fitted on the others, and the metrics of
-    all of them. The split is by key, so no ad stands on both sides; held-out rows are scored once a model. Settings are of trees
-    alone, so rows are encoded once for all models."""
+    all of them. The split is by key (as `split_by_key`), so no ad stands on both sides; held-out rows are scored once a model.
+    `df` is read once for both sides, and dealt over tasks before its rows grow to features. Settings are of trees alone, so rows
+    are encoded once for all models."""
     read = list(dict.fromkeys([*categories, *numbers, target]))
-    kept = [side.select(*read).persist() for side in split_by_key(df.select(*dict.fromkeys([key, *read])), key, percent)]
+    kept = [df.select(*read, (place_of(key) < percent).alias("_held")).persist()]
     try:
-        made = encoders(kept[0], categories, numbers)
-        training, test = (made.transform(side).select("features", target) for side in kept)
-        training = dealt(training, kept[0].count()).persist()
-        kept.append(training)
+        sides = [kept[0].filter(side).select(*read) for side in ("not _held", "_held")]
+        made = encoders(sides[0], categories, numbers)
+        training, test = (made.transform(side).select("features", target) for side in (dealt(sides[0], sides[0].count()), sides[1]))
+        kept.append(training.persist())
         best, tried = None, []
         for n, setting in enumerate(grid):
             tree = trees_of(target, **setting).fit(training)
