@@ -12,7 +12,7 @@ from ..config import DEFAULTS, Settings
 from ..functions import color, flags, numeric, text
 from ..operators import cleaning, features, market, rejects
 from ..sources.readers import attach_source_pk
-from ..sources.scratch import staged
+from ..sources.scratch import shares, staged
 
 #: Distinct values of all text columns that are broadcast at most.
 MAX_VALUES = 200_000
@@ -32,8 +32,12 @@ def clean_duplicates_and_impossibles(df: DataFrame, settings: Settings = DEFAULT
 
 def clean_rows(df: DataFrame, settings: Settings = DEFAULTS, modes: DataFrame | None = None) -> DataFrame:
     """Clean rows with colours as they were, written once: repair reads the input twice (narrow, for body types, and whole),
-    and everything after it reads the written rows. `modes` are body types by brand and model of a larger table."""
-    return staged(clean_duplicates_and_impossibles(clean_nulls(cleaning.fill_blank(df, schema.OPTIONAL_TEXT), modes), settings), "clean")
+    and everything after it reads the written rows. Many ads are moved in shares, one after the other, and flags as bits. `modes`
+    are body types by brand and model of a larger table."""
+    packed, unpacked, _ = flags.packed_flags(clean_nulls(cleaning.fill_blank(df, schema.OPTIONAL_TEXT), modes))
+    n = shares(df)
+    of = [packed] if n == 1 else [packed.filter(F.pmod(F.xxhash64("listing_id"), F.lit(n)) == k) for k in range(n)]
+    return staged([unpacked(clean_duplicates_and_impossibles(some, settings)) for some in of], "clean")
 
 
 def clean_columns(df: DataFrame, columns: Collection[str], settings: Settings = DEFAULTS, modes: DataFrame | None = None) -> DataFrame:
